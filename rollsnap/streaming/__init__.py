@@ -1,0 +1,3 @@
+"""Structured Streaming forms of the feeds (T1 JSON tail, T2 insert-only load)."""
+
+from .streams import append_unseen_stream, json_tail, run_to_parquet  # noqa: F401
