@@ -17,6 +17,12 @@ WS_CLASS = (
     "[\\t\\n\\x0B\\f\\r\\x1C\\x1D\\x1E\\x1F \\x85\\xA0\\u1680"
     "\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
 )
+# The same characters as a plain string (a trim set).
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 # Same class in RE2 syntax (DuckDB oracle SQL).
 WS_CLASS_RE2 = (
     "[\\t\\n\\x0B\\f\\r\\x1C\\x1D\\x1E\\x1F \\x{85}\\x{A0}\\x{1680}"
@@ -34,10 +40,10 @@ def _c(c) -> Column:
 def strip_ws(c) -> Column:
     """Strip leading/trailing whitespace (tabs and Unicode spaces too).
 
-    ``trim`` only removes blanks, so a regex anchored at both ends is used.
-    Null stays null.
+    Plain ``trim`` only removes blanks; ``trim(str, chars)`` strips any
+    character of a set natively (no regex per row). Null stays null.
     """
-    return F.regexp_replace(_c(c), f"^{WS_CLASS}+|{WS_CLASS}+\\z", "")
+    return F.trim(_c(c), F.lit(WS_CHARS))
 
 
 def join_nonnull(sep: str, *cols) -> Column:

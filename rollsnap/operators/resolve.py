@@ -7,7 +7,7 @@ each lookup is a set-based join over the **distinct** query texts:
   relational division through an inverted index. Every query probes only the
   posting list of its *rarest* token - a place holding all tokens holds that
   one, so nothing is lost - and candidates are verified with
-  ``size(array_except(query_tokens, place_tokens)) = 0``. A query is
+  ``forall(query_tokens, t -> array_contains(place_tokens, t))``. A query is
   accepted when exactly one place (J5) or one place group (J4) remains.
   No cross join, no per-row Python, no cap on candidates.
 * J3 (exact three-key lookup): equi-join to the places that are unique on
@@ -30,6 +30,7 @@ from ..contracts import PLACE_RESULT_COLUMNS, PLACE_TEXT_FIELDS
 from ..functions.keys import number_or_zero
 from ..functions.predicates import contains_literal, equals_flag, pattern_flag
 from ..functions.text import analyze, search_text
+from ..session import stage
 
 NOT_FOUND = "Not Found"
 SUCCESS = "Success"
@@ -61,41 +62,51 @@ def index_places(
     return base.select(F.explode("pt").alias("t"), "place_id", "group_id", "pt")
 
 
+def token_key(text) -> "F.Column":
+    """Canonical form of a query: its sorted distinct tokens joined by blanks
+    (tokens never hold blanks, so equal keys mean equal token sets). Texts
+    that differ only in spacing, case, punctuation or empty parts share one
+    key and are looked up once."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.array_join(F.array_sort(analyze(c)), " ")
+
+
 def token_lookup(texts: DataFrame, index: DataFrame, collapse: bool, text_col: str = "text") -> DataFrame:
-    """J4 (``collapse=True``) / J5 (``collapse=False``) over distinct texts.
+    """J4 (``collapse=True``) / J5 (``collapse=False``).
 
     Returns ``(text, place_id)`` for every accepted text: all query tokens
     occur in the place, and exactly one group (J4) / one place (J5) matches.
-    Empty texts are never accepted. The representative of a collapsed group
-    is its smallest place id.
+    Empty queries are never accepted. The representative of a collapsed group
+    is its smallest place id. Texts are analysed once per distinct text and
+    looked up once per distinct token set.
     """
-    q = (
-        texts.select(F.col(text_col).alias("text"))
-        .where(F.col("text").isNotNull())
-        .distinct()
-        .withColumn("qt", analyze("text"))
-        .where(F.size("qt") > 0)
+    tk = (
+        texts.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
+        .withColumn("key", token_key("text"))
+        .where(F.col("key") != "")
     )
+    q = tk.select("key").distinct().withColumn("qt", F.split("key", " "))
     freq = index.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     probes = (
-        q.select("text", "qt", F.explode("qt").alias("t"))
+        q.select("key", "qt", F.explode("qt").alias("t"))
         .join(freq, "t")
-        .groupBy("text", "qt")
+        .groupBy("key", "qt")
         .agg(F.count(F.lit(1)).alias("known"), F.min(F.struct("df", "t")).alias("probe"))
         # a token absent from every place makes the query unanswerable
         .where(F.col("known") == F.size("qt"))
-        .select("text", "qt", F.col("probe.t").alias("t"))
+        .select("key", "qt", F.col("probe.t").alias("t"))
     )
-    hits = probes.join(index, "t").where(F.size(F.array_except("qt", "pt")) == 0)
+    # verify containment; for short token sets a linear scan beats hashing
+    hits = probes.join(index, "t").where(F.forall("qt", lambda x: F.array_contains("pt", x)))
     g = F.coalesce(F.col("group_id"), F.lit(_NULL_GROUP))
-    agg = hits.groupBy("text").agg(
+    agg = hits.groupBy("key").agg(
         F.count(F.lit(1)).alias("n_hits"),
         F.min(g).alias("g_lo"),
         F.max(g).alias("g_hi"),
         F.min("place_id").alias("place_id"),
     )
     ok = (F.col("g_lo") == F.col("g_hi")) if collapse else (F.col("n_hits") == 1)
-    return agg.where(ok).select("text", "place_id")
+    return tk.join(agg.where(ok).select("key", "place_id"), "key").select("text", "place_id")
 
 
 def unique_keys(places: DataFrame, keys: list[str], id_col: str = "place_id") -> DataFrame:
@@ -202,10 +213,14 @@ def cascade(
     place_id: str = "place_id",
     group_id: str | None = "group_id",
     results_col: str = "results",
+    materialize: bool = True,
 ) -> DataFrame:
     """Resolve rows still 'Not Found' through ``passes`` in order.
 
-    ``row_key`` names the column(s) that identify a row uniquely.
+    ``row_key`` names the column(s) that identify a row uniquely. With
+    ``materialize`` the narrow lookup inputs of the unresolved rows (key and
+    query texts) are written once to the shared folder, since every pass
+    reads them; the full rows are read once more for the final merge.
 
     A hit copies the place id and its 12 attributes and sets 'Success';
     misses keep 'Not Found' with blank attributes and 0/0 coordinates;
@@ -216,7 +231,11 @@ def cascade(
     # the (unique) row key travels as one struct column
     df = df.withColumn("__row", F.struct(*[F.col(f"`{k}`") for k in key_cols]))
     row_key = "__row"
-    pending = df.where(F.col(results_col) == F.lit(NOT_FOUND))
+    needed = sorted({p.text for p in passes if p.text} | {r for p in passes for r, _ in p.keys})
+    pending = df.where(F.col(results_col) == F.lit(NOT_FOUND)).select(row_key, *needed)
+    if materialize:
+        # the narrow lookup inputs feed every pass: write them once
+        pending = stage(pending, "cascade-pending")
     found: list[DataFrame] = []
 
     for kind, table, collapse, src in (("group", places, True, "places"), ("doc", units, False, "units")):

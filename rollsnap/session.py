@@ -70,3 +70,13 @@ def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared folder and continue from
+    the files: a plan that reads its input several times computes it once,
+    and the lineage is cut (a lost executor re-reads files, it does not
+    recompute upstream stages)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
