@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from .. import contracts as C
 from ..operators import resolve
 from . import feeds
-from .bind_resolve import places_from_part
+from ..functions import predicates as P
+from .bind_clean import _homeless_sql
+from .bind_resolve import _PLACES_SQL, _accept_sql, _tok, places_from_part
 from .registry import binding, table
 
 FILE_DATE = "2024-06-30"
@@ -147,12 +149,124 @@ def resolved_roll(spark, d):
     )
 
 
-@binding("e2_voters_resolve")
+def _label_sql(w: str) -> str:
+    return (f"CASE WHEN substr({w}, 1, 1) BETWEEN 'a' AND 'e' THEN 'male' "
+            f"WHEN substr({w}, 1, 1) BETWEEN 'f' AND 'j' THEN 'female' "
+            f"WHEN substr({w}, 1, 1) BETWEEN 'k' AND 'o' THEN 'mostly_male' "
+            f"WHEN substr({w}, 1, 1) BETWEEN 'p' AND 's' THEN 'mostly_female' "
+            f"WHEN substr({w}, 1, 1) BETWEEN 't' AND 'v' THEN 'andy' END")
+
+
+def _resolve_sql() -> str:
+    """Brute-force E2: every pass's lookup answered by ``list_has_all`` over
+    all (distinct query, place) pairs, first hit in pass order."""
+    homeless = (f"({_homeless_sql('physical_address_1')} OR {_homeless_sql('physical_address_2')} "
+                f"OR coalesce(contains(physical_address_2, '{P.SECOND_LINE_LITERAL}'), false))")
+    texts = {
+        "t02": "physical_house_number || ' ' || physical_street_pre_direction || ' ' || physical_street_name"
+               " || ' ' || physical_zip_code || ' ' || physical_unit_number",
+    }
+    texts["t04"] = f"({texts['t02']}) || ' ' || physical_unit_type"
+    texts["t06"] = f"({texts['t04']}) || ' ' || physical_street_suffix"
+    texts["t07"] = "physical_address_2 || ' ' || physical_zip_code"
+    qs = ",\n    ".join(
+        f"q{n} AS (SELECT DISTINCT {n} AS text, {_tok(n)} AS qt FROM v WHERE r01 = 'Not Found')" for n in texts)
+    group = ["t02", "t06", "t07"]
+    doc = ["t02", "t04", "t06", "t07"]
+    acc = ",\n    ".join(
+        [f"g{n} AS ({_accept_sql('q' + n, 'pl', True)})" for n in group]
+        + [f"d{n} AS ({_accept_sql('q' + n, 'un', False)})" for n in doc])
+    order = ["gt02.pid", "dt02.pid", "dt04.pid", "ex.pid", "gt06.pid", "dt06.pid", "gt07.pid", "dt07.pid"]
+    joins = " ".join(
+        [f"LEFT JOIN g{n} ON g{n}.text = v.{n}" for n in group]
+        + [f"LEFT JOIN d{n} ON d{n}.text = v.{n}" for n in doc])
+    cols = {c: c for c in C.VOTERS_FINAL_COLUMNS}
+    nf, hl, ok = "results = 'Not Found'", "results = 'Homeless'", "results = 'Success'"
+    raw_full = "physical_address_1 || ' ' || physical_address_2"
+    cols.update({
+        "file_date": f"DATE '{FILE_DATE}' AS file_date",
+        "state": "'or' AS state",
+        "birthdate": "CASE WHEN length(CAST(birthdate AS VARCHAR)) = 4 THEN CAST(birthdate AS VARCHAR) || '-01-01' "
+                     "ELSE CAST(birthdate AS VARCHAR) END AS birthdate",
+        "gender": "gender",
+        "physical_id": f"CASE WHEN {hl} THEN 'Homeless' WHEN {nf} THEN 'Not-Found-' || {raw_full} "
+                       f"WHEN {ok} THEN CAST(hit AS VARCHAR) WHEN results = 'Confidential' THEN precinct_link END AS physical_id",
+        "PropertyAddressFull": f"CASE WHEN {hl} THEN 'Homeless' WHEN {nf} THEN {raw_full} "
+                               f"WHEN {ok} THEN h_name || ' ' || h_brand END AS PropertyAddressFull",
+        "PropertyAddressHouseNumber": f"CASE WHEN {nf} THEN '' WHEN {ok} THEN CAST(h_size AS VARCHAR) END AS PropertyAddressHouseNumber",
+        "PropertyAddressStreetDirection": f"CASE WHEN {nf} OR {ok} THEN '' END AS PropertyAddressStreetDirection",
+        "PropertyAddressStreetName": f"CASE WHEN {nf} THEN '' WHEN {ok} THEN h_name END AS PropertyAddressStreetName",
+        "PropertyAddressStreetSuffix": f"CASE WHEN {nf} THEN '' WHEN {ok} THEN h_type END AS PropertyAddressStreetSuffix",
+        "PropertyAddressCity": f"CASE WHEN {hl} THEN 'Homeless' WHEN {nf} THEN physical_city WHEN {ok} THEN '' END AS PropertyAddressCity",
+        "PropertyAddressState": f"CASE WHEN {hl} THEN 'Homeless' WHEN {nf} THEN physical_state WHEN {ok} THEN '' END AS PropertyAddressState",
+        "PropertyAddressZIP": f"CASE WHEN {hl} THEN 'Homeless' WHEN {nf} THEN physical_zip_code WHEN {ok} THEN h_brand END AS PropertyAddressZIP",
+        "PropertyAddressZIP4": f"CASE WHEN {nf} OR {ok} THEN '' END AS PropertyAddressZIP4",
+        "PropertyAddressCRRT": f"CASE WHEN {nf} OR {ok} THEN '' END AS PropertyAddressCRRT",
+        "PropertyLatitude": f"CASE WHEN {ok} THEN h_lat ELSE 0.0 END AS PropertyLatitude",
+        "PropertyLongitude": f"CASE WHEN {ok} THEN CAST(-h_size AS DOUBLE) ELSE 0.0 END AS PropertyLongitude",
+        "address_type": f"CASE WHEN {hl} THEN 'Homeless' WHEN physical_unit_type <> '' THEN 'apartment' "
+                        f"ELSE 'residential' END AS address_type",
+        "results": "results",
+        "mail_id": "mail_address_1 || ' ' || mail_zip_code AS mail_id",
+    })
+    select = ",\n      ".join(cols[c] for c in C.VOTERS_FINAL_COLUMNS)
+    return f"""
+    WITH clean AS ({_clean_sql()}),
+    pl AS ({_PLACES_SQL}),
+    un AS (SELECT * FROM pl WHERE p_size <= 25),
+    v AS (SELECT *, {', '.join(f'{e} AS {n}' for n, e in texts.items())},
+                 CASE WHEN {homeless} THEN 'Homeless' WHEN confidential = 'Confidential' THEN 'Confidential'
+                      ELSE 'Not Found' END AS r01
+          FROM clean),
+    {qs},
+    {acc},
+    ex AS (SELECT CAST(p_size AS VARCHAR) AS hn, p_name AS sn, p_brand AS zip, min(pid) AS pid FROM pl
+           GROUP BY p_size, p_name, p_brand HAVING count(*) = 1),
+    h AS (SELECT v.*, CASE WHEN v.r01 = 'Not Found' THEN coalesce({', '.join(order)}) END AS hit
+          FROM v {joins}
+          LEFT JOIN ex ON ex.hn = v.physical_house_number AND ex.sn = v.physical_street_name
+                      AND ex.zip = v.physical_zip_code),
+    nm AS (SELECT lower(w) AS n, min({_label_sql('w')}) AS label
+           FROM (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS w FROM part)
+           WHERE {_label_sql('w')} IS NOT NULL GROUP BY lower(w)),
+    r AS (SELECT h.*, CASE WHEN hit IS NOT NULL THEN 'Success' ELSE r01 END AS results,
+                 hp.p_name AS h_name, hp.p_brand AS h_brand, hp.p_type AS h_type, hp.p_size AS h_size,
+                 hp.p_retailprice AS h_lat,
+                 coalesce(a.label, 'unknown') AS g1, coalesce(b.label, 'unknown') AS g2
+          FROM h LEFT JOIN part hp ON hp.p_partkey = h.hit
+                 LEFT JOIN nm a ON lower(h.name_first) = a.n LEFT JOIN nm b ON lower(h.name_middle) = b.n),
+    g AS (SELECT r.*, CASE WHEN g1 IN ('unknown', 'andy') THEN g2 ELSE g1 END AS gx FROM r),
+    out AS (SELECT g.*, CASE WHEN gx IN ('unknown', 'andy') THEN 'unknown' WHEN gx = 'mostly_male' THEN 'male'
+                             WHEN gx = 'mostly_female' THEN 'female' ELSE gx END AS gender FROM g)
+    SELECT {select}
+    FROM out
+    """
+
+
+_RESOLVE_SQL = _resolve_sql()
+
+
+@binding("e2_voters_resolve", _RESOLVE_SQL)
 def q_e2(spark, d):
     return resolved_roll(spark, d).select(*C.VOTERS_FINAL_COLUMNS)
 
 
-@binding("e3_voters_publish")
+def _publish_sql() -> str:
+    cols = []
+    for c in C.VOTERS_FINAL_COLUMNS:
+        kind, _ = C.VOTERS_TYPES[c]
+        if c == "registration_date":
+            cols.append(f"coalesce(registration_date, DATE '{FILE_DATE}') AS registration_date")
+        elif c == "birthdate":
+            cols.append("CAST(birthdate AS DATE) AS birthdate")
+        elif kind == "string":
+            cols.append(f"coalesce({c}, '') AS {c}")
+        else:
+            cols.append(c)
+    return f"SELECT {', '.join(cols)} FROM ({_RESOLVE_SQL})"
+
+
+@binding("e3_voters_publish", _publish_sql())
 def q_e3(spark, d):
     good, _rejects = feeds.voters_publish(resolved_roll(spark, d), None, FILE_DATE)
     return good
