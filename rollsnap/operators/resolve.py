@@ -71,7 +71,8 @@ def token_key(text) -> "F.Column":
     return F.array_join(F.array_sort(analyze(c)), " ")
 
 
-def token_lookup(texts: DataFrame, index: DataFrame, collapse: bool, text_col: str = "text") -> DataFrame:
+def token_lookup(texts: DataFrame, index: DataFrame, collapse: bool, text_col: str = "text",
+                 freq: DataFrame | None = None) -> DataFrame:
     """J4 (``collapse=True``) / J5 (``collapse=False``).
 
     Returns ``(text, place_id)`` for every accepted text: all query tokens
@@ -86,7 +87,7 @@ def token_lookup(texts: DataFrame, index: DataFrame, collapse: bool, text_col: s
         .where(F.col("key") != "")
     )
     q = tk.select("key").distinct().withColumn("qt", F.split("key", " "))
-    freq = index.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    freq = freq if freq is not None else token_frequencies(index)
     probes = (
         q.select("key", "qt", F.explode("qt").alias("t"))
         .join(freq, "t")
@@ -109,6 +110,11 @@ def token_lookup(texts: DataFrame, index: DataFrame, collapse: bool, text_col: s
     return tk.join(agg.where(ok).select("key", "place_id"), "key").select("text", "place_id")
 
 
+def token_frequencies(index: DataFrame) -> DataFrame:
+    """Posting-list length per token (partial aggregation map-side)."""
+    return index.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+
+
 def unique_keys(places: DataFrame, keys: list[str], id_col: str = "place_id") -> DataFrame:
     """Places that are the only hit for their key -> ``(keys..., place_id)``."""
     return (
@@ -214,6 +220,8 @@ def cascade(
     group_id: str | None = "group_id",
     results_col: str = "results",
     materialize: bool = True,
+    strategy: str = "auto",
+    min_chain_rows: int = 1_000_000,
 ) -> DataFrame:
     """Resolve rows still 'Not Found' through ``passes`` in order.
 
@@ -222,6 +230,14 @@ def cascade(
     query texts) are written once to the shared folder, since every pass
     reads them; the full rows are read once more for the final merge.
 
+    ``strategy``: ``"chain"`` runs the passes in order, each on the rows the
+    earlier passes left unresolved (work shrinks as rows resolve; one staged
+    table per pass); ``"all"`` evaluates every pass for every unresolved row
+    in one job and keeps the lowest pass that hit (fewer jobs, more lookups);
+    ``"auto"`` chains while at least ``min_chain_rows`` rows are unresolved
+    and each pass resolves at least half of its input, then finishes the
+    remaining passes all at once. All give the same answer.
+
     A hit copies the place id and its 12 attributes and sets 'Success';
     misses keep 'Not Found' with blank attributes and 0/0 coordinates;
     rows that were not 'Not Found' on entry are left as they are.
@@ -237,26 +253,14 @@ def cascade(
         # the narrow lookup inputs feed every pass: write them once
         pending = stage(pending, "cascade-pending")
     found: list[DataFrame] = []
-
-    for kind, table, collapse, src in (("group", places, True, "places"), ("doc", units, False, "units")):
-        token_passes = [p for p in passes if p.kind == kind]
-        if not token_passes:
-            continue
-        asks = reduce(
-            lambda a, b: a.unionByName(b),
-            [pending.select(F.col(row_key).alias("row_key"), F.lit(p.number).alias("pass_no"),
-                            F.col(p.text).alias("text")) for p in token_passes],
-        )
-        index = index_places(table, place_id, group_id if collapse else None)
-        accepted = token_lookup(asks.select("text"), index, collapse)
-        found.append(asks.join(accepted, "text").select("row_key", "pass_no", "place_id", F.lit(src).alias("src")))
-
-    for p in (p for p in passes if p.kind == "exact"):
-        rows = pending.select(F.col(row_key).alias("row_key"), *[F.col(r).alias(f"__k{i}") for i, (r, _) in enumerate(p.keys)])
-        u = unique_keys(places, [pc for _, pc in p.keys], place_id)
-        u = u.select(*[F.col(pc).alias(f"__k{i}") for i, (_, pc) in enumerate(p.keys)], "place_id")
-        hit = rows.join(u, [f"__k{i}" for i in range(len(p.keys))])
-        found.append(hit.select("row_key", F.lit(p.number).alias("pass_no"), "place_id", F.lit("places").alias("src")))
+    tables = {"group": (places, True, "places"),
+              "doc": (units, False, "places" if units is places else "units")}
+    if strategy == "all":
+        found = _all_at_once(pending, row_key, passes, tables, places, place_id, group_id)
+    else:
+        found = _chain(pending, row_key, passes, tables, places, place_id, group_id,
+                       min_rows=0 if strategy == "chain" else min_chain_rows,
+                       min_resolved=0.0 if strategy == "chain" else 0.5)
 
     if not found:
         return df.drop("__row")
@@ -291,6 +295,77 @@ def cascade(
 
 
 # --------------------------------------------------------------------------- post-pass rules
+def _lookup_index(table: DataFrame, place_id: str, group_id: str | None, collapse: bool, staged: bool):
+    index = index_places(table, place_id, group_id if collapse else None)
+    if staged:
+        index = stage(index, "token-index")
+    return index, token_frequencies(index)
+
+
+def _exact_hits(rows: DataFrame, row_key: str, p: Pass, places: DataFrame, place_id: str) -> DataFrame:
+    r = rows.select(F.col(row_key).alias("row_key"), *[F.col(rc).alias(f"__k{i}") for i, (rc, _) in enumerate(p.keys)])
+    u = unique_keys(places, [pc for _, pc in p.keys], place_id)
+    u = u.select(*[F.col(pc).alias(f"__k{i}") for i, (_, pc) in enumerate(p.keys)], "place_id")
+    hit = r.join(u, [f"__k{i}" for i in range(len(p.keys))])
+    return hit.select("row_key", F.lit(p.number).alias("pass_no"), "place_id", F.lit("places").alias("src"))
+
+
+def _all_at_once(pending, row_key, passes, tables, places, place_id, group_id) -> list[DataFrame]:
+    found: list[DataFrame] = []
+    for kind, (table, collapse, src) in tables.items():
+        token_passes = [p for p in passes if p.kind == kind]
+        if not token_passes:
+            continue
+        asks = reduce(
+            lambda a, b: a.unionByName(b),
+            [pending.select(F.col(row_key).alias("row_key"), F.lit(p.number).alias("pass_no"),
+                            F.col(p.text).alias("text")) for p in token_passes],
+        )
+        index, freq = _lookup_index(table, place_id, group_id, collapse, staged=False)
+        accepted = token_lookup(asks.select("text"), index, collapse, freq=freq)
+        found.append(asks.join(accepted, "text").select("row_key", "pass_no", "place_id", F.lit(src).alias("src")))
+    for p in (p for p in passes if p.kind == "exact"):
+        found.append(_exact_hits(pending, row_key, p, places, place_id))
+    return found
+
+
+def _chain(pending, row_key, passes, tables, places, place_id, group_id,
+           min_rows: int = 0, min_resolved: float = 0.0) -> list[DataFrame]:
+    found: list[DataFrame] = []
+    indexes: dict[str, tuple[DataFrame, DataFrame]] = {}
+    todo = sorted(passes, key=lambda x: x.number)
+    n = pending.count()   # staged, narrow: cheap
+    while todo and n:
+        if n < min_rows or len(todo) == 1:
+            # few rows left (or one pass): one job for all remaining passes
+            found.extend(_all_at_once(pending, row_key, todo, tables, places, place_id, group_id))
+            break
+        p = todo.pop(0)
+        if p.kind == "exact":
+            hit = _exact_hits(pending, row_key, p, places, place_id)
+        else:
+            table, collapse, src = tables[p.kind]
+            if p.kind not in indexes:
+                indexes[p.kind] = _lookup_index(table, place_id, group_id, collapse, staged=True)
+            index, freq = indexes[p.kind]
+            asks = pending.select(F.col(row_key).alias("row_key"), F.col(p.text).alias("text"))
+            accepted = token_lookup(asks.select("text"), index, collapse, freq=freq)
+            hit = asks.join(accepted, "text").select(
+                "row_key", F.lit(p.number).alias("pass_no"), "place_id", F.lit(src).alias("src"))
+        hit = stage(hit, "cascade-hits")
+        found.append(hit)
+        # only rows this pass left unresolved go on to the next pass
+        pending = stage(pending.join(hit.select(F.col("row_key").alias(row_key)), row_key, "left_anti"),
+                        "cascade-pending")
+        m = pending.count()
+        if m and todo and (n - m) < min_resolved * n:
+            # this pass resolved little: chaining does not pay, batch the rest
+            found.extend(_all_at_once(pending, row_key, todo, tables, places, place_id, group_id))
+            break
+        n = m
+    return found
+
+
 def post_rules(df: DataFrame) -> DataFrame:
     """R1-R4 in order: address type, numeric coordinates, Not-Found ids from
     the raw address, Homeless literals."""

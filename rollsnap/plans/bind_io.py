@@ -189,7 +189,7 @@ def q_e6(spark, d):
 @binding("k5_headerless_csv", "SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer")
 def q_k5(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    out = sinks.csv_drop(c, scratch_path(spark, "logstash"))
+    out = sinks.csv_drop(c, scratch_path(spark, "csv-drop"))
     return spark.read.schema("c_custkey LONG, c_name STRING, c_mktsegment STRING, c_acctbal DOUBLE").csv(out)
 
 

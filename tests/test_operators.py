@@ -132,3 +132,22 @@ def test_u1_union_by_name(spark):
     c = spark.createDataFrame([("3",)], "id string")
     got = sorted(tuple(r) for r in reshape.union_by_name([a, b, c]).select("id", "county").collect())
     assert got == [("1", "x"), ("2", "y"), ("3", None)]
+
+
+def test_j6_strategies_agree(spark):
+    places = _places(spark, [("d1", "P1", "1 MAIN ST 97000"), ("d2", "P2", "5 OAK RD 97000"),
+                             ("d3", "P3", "5 OAK RD 97000 REAR"), ("d4", "P4", "7 PINE 97001")])
+    rows = spark.createDataFrame(
+        [(str(i), t, u, "Not Found") for i, (t, u) in enumerate(
+            [("1 main st", "x"), ("5 oak rd", "5 oak rd rear"), ("7 pine", "y"), ("zzz", "zzz"), ("", "1 main")])],
+        "id string, t string, u string, results string")
+    for c in ["physical_id", "PropertyAddressFull"] + resolve.PLACE_ATTRS:
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None).cast("double" if c.startswith("PropertyL") else "string"))
+    passes = [resolve.Pass(2.0, "group", "t"), resolve.Pass(3.0, "doc", "u"), resolve.Pass(4.0, "group", "u")]
+    got = {}
+    for strategy in ("all", "chain", "auto"):
+        out = resolve.cascade(rows, "id", passes, places, strategy=strategy)
+        got[strategy] = sorted((r.id, r.results, r.physical_id) for r in out.collect())
+    assert got["all"] == got["chain"] == got["auto"]
+    assert ("1", "Success", "d3") in got["all"] and ("0", "Success", "d1") in got["all"]
