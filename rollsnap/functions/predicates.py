@@ -56,17 +56,26 @@ def present(c) -> Column:
 def pattern_flag(cols, tests=HOMELESS_TESTS) -> Column:
     """OR of (startswith | contains) tests over several columns.
 
-    All 'contains' patterns of one column are folded into one
-    case-insensitive (Unicode-aware) regular expression; 'startswith' tests
-    stay case-sensitive prefix checks. Null text never matches.
+    'contains' tests ignore case. For ASCII-only text (byte length = char
+    length) that is exactly ``lower(text)`` containing the lower-cased
+    pattern - a plain byte search; any other text goes through one
+    case-insensitive, Unicode-aware regular expression of all patterns.
+    'startswith' tests stay case-sensitive prefix checks. Null never matches.
     """
     contains = [p for kind, p in tests if kind == "contains"]
     starts = [p for kind, p in tests if kind == "startswith"]
+    # the byte-search path is exact only for plain ASCII literals
+    ascii_ok = all(p.isascii() and not any(ch in p for ch in ".^$*+?{}[]\\|()") for p in contains)
     terms: list[Column] = []
     for c in cols:
         col = _c(c)
         if contains:
-            terms.append(col.rlike("(?iu)" + "|".join(contains)))
+            regex = col.rlike("(?iu)" + "|".join(contains))
+            if ascii_ok:
+                low = F.lower(col)
+                fast = reduce(lambda a, b: a | b, [low.contains(p.lower()) for p in contains])
+                regex = F.when(F.octet_length(col) == F.length(col), fast).otherwise(regex)
+            terms.append(regex)
         terms.extend(col.startswith(p) for p in starts)
     return F.coalesce(reduce(lambda a, b: a | b, terms), F.lit(False))
 

