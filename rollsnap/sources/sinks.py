@@ -56,9 +56,7 @@ def append_unseen(new: DataFrame, path: str, on: list[str] | None = None,
     if table_exists(spark, path):
         old = spark.read.parquet(path)
         if partition_by:
-            # restrict the existing side to the partitions being loaded
-            touched = new.select(*partition_by).distinct()
-            old = old.join(touched, partition_by, "left_semi")
+            old = _touched_partitions(old, new, partition_by)
         todo = new_rows(new, old, on)
     else:
         todo = new
@@ -67,6 +65,27 @@ def append_unseen(new: DataFrame, path: str, on: list[str] | None = None,
     return int(obs.get.get("rows", 0))
 
 
+MAX_PRUNE_VALUES = 10_000
+
+
+def _touched_partitions(old: DataFrame, new: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Restrict the existing table to the partitions ``new`` writes into.
+
+    With one partition column and a modest number of touched values (read
+    with a bounded ``limit``), the values become a literal ``IN`` filter, so
+    the scan prunes partitions statically; otherwise a semi-join on the
+    distinct touched values does the restriction.
+    """
+    touched = new.select(*partition_by).distinct()
+    if len(partition_by) == 1:
+        vals = [r[0] for r in touched.limit(MAX_PRUNE_VALUES + 1).collect()]
+        if len(vals) <= MAX_PRUNE_VALUES and None not in vals:
+            return old.where(F.col(partition_by[0]).isin(vals))
+    t = touched.alias("__t")
+    cond = [F.col(f"__o.`{c}`").eqNullSafe(F.col(f"__t.`{c}`")) for c in partition_by]
+    return old.alias("__o").join(t, cond, "left_semi")
+
+
 def csv_drop(df: DataFrame, folder: str, name: str | None = None) -> str:
     """K5: header-less CSV drop in a timestamp-named subfolder."""
     name = name or str(int(_dt.datetime.now(_dt.timezone.utc).timestamp()))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators.diff import new_rows
 from ..operators.metrics import observe_rows
-from ..sources.sinks import append_rows
+from ..sources.sinks import _touched_partitions, append_rows
 from ..sources.tables import table_exists
 
 
@@ -66,7 +66,7 @@ def append_unseen_stream(
             old = spark.read.parquet(target)
             if partition_by:
                 # only the partitions this batch touches are read
-                old = old.join(fresh.select(*partition_by).distinct(), partition_by, "left_semi")
+                old = _touched_partitions(old, fresh, partition_by)
             fresh = new_rows(fresh, old.select(*fresh.columns), on)
         fresh, obs = observe_rows(fresh, f"batch-{epoch_id}")
         append_rows(fresh, target, partition_by)
