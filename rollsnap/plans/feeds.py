@@ -13,6 +13,7 @@ from ..functions import dates as D
 from ..functions import keys as K
 from ..functions.text import strip_ws
 from ..operators import dedup, diff, dims, filters, project, reshape, resolve
+from ..operators.metrics import observe_rows
 from ..sources import delimited, sinks, zipped
 
 
@@ -170,3 +171,47 @@ def precincts(raw: DataFrame, file_date, state: str = "or") -> DataFrame:
         "state": F.lit(state.lower()),
     })
     return project.final_projection(df, C.PRECINCT_FINAL_COLUMNS)
+
+
+# --------------------------------------------------------------------------- loads
+def daily_voted_load(ballots: DataFrame, root: str) -> dict[str, int]:
+    """E6 loads: processed layer (K1); keyed document store by
+    ``STATE-election_date-voter`` (C3 + K8, later write wins); insert-only
+    current and history tables partitioned by election date (J1 + K3, only
+    touched partitions read). Returns rows appended per table."""
+    processed = sinks.write_layer(ballots, f"{root}/processed")
+    store = sinks.upsert_store(ballot_ids(processed), f"{root}/store", ["id"])
+    return {
+        "current": sinks.append_unseen(processed, f"{root}/current", partition_by=["election_date"]),
+        "history": sinks.append_unseen(processed, f"{root}/history", partition_by=["election_date"]),
+        "store": store.count(),
+    }
+
+
+def motor_voter_load(snapshot: DataFrame, ledger_path: str, state: str = "or") -> int:
+    """E7 (incremental): one snapshot's first-seen rows appended to the
+    ledger - J2 on (state, county, voter) against the ledger, then K3.
+    Applied to snapshots in ascending date order it builds the same ledger
+    as ``motor_voter``. Returns rows appended."""
+    spark = snapshot.sparkSession
+    df = dedup.distinct_rows(snapshot.select("state_voter_id", "county", "file_date"))
+    df = project.final_projection(project.with_constants(df, {"state": state.lower()}), C.MOTOR_FINAL_COLUMNS)
+    keys = ["state", "county", "state_voter_id"]
+    first = diff.first_seen(df, keys, "file_date")   # one row per key inside the snapshot
+    if sinks.table_exists(spark, ledger_path):
+        first = diff.new_keys(first, spark.read.parquet(ledger_path), keys)
+    first, obs = observe_rows(project.final_projection(first, C.MOTOR_FINAL_COLUMNS), "ledger")
+    sinks.append_rows(first, ledger_path)
+    return int(obs.get.get("rows", 0))
+
+
+def precincts_load(df: DataFrame, table_path: str, csv_folder: str | None = None,
+                   view: str | None = None) -> DataFrame:
+    """E8 loads: processed/final layers (K1), the dated table replaced
+    (K2), optional current view (K7) and header-less CSV drop (K5)."""
+    sinks.replace_snapshot(df, table_path, "file_date")
+    if view:
+        sinks.current_view(df.sparkSession, table_path, view)
+    if csv_folder:
+        sinks.csv_drop(df, csv_folder)
+    return df.sparkSession.read.parquet(table_path)

@@ -121,6 +121,24 @@ def keyed_upsert(existing: DataFrame | None, new: DataFrame, key: list[str] | Co
     return tagged.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__v")
 
 
+def upsert_store(new: DataFrame, store_root: str, key: list[str]) -> DataFrame:
+    """K8 as a versioned keyed store: merge ``new`` into the newest version
+    (later write wins per key) and write the result as the next version; a
+    reader of the previous version is never disturbed. Returns the new
+    version."""
+    spark = new.sparkSession
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(store_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    versions = sorted(st.getPath().getName() for st in (fs.listStatus(root) if fs.exists(root) else [])
+                      if st.isDirectory() and st.getPath().getName().startswith("v"))
+    existing = spark.read.parquet(f"{store_root}/{versions[-1]}") if versions else None
+    merged = keyed_upsert(existing, new, key)
+    path = f"{store_root}/v{len(versions) + 1:06d}"
+    merged.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
+
 def split_rejects(df: DataFrame, valid: Column, quarantine: str | None = None) -> tuple[DataFrame, DataFrame]:
     """K9: rows failing ``valid`` go to a quarantine folder (JSON lines);
     returns ``(good, rejects)``. Pair with ``observe_rows`` for counts."""
