@@ -44,8 +44,9 @@ def not_sentinel(c, sentinel: str = SENTINEL_ID) -> Column:
 
 
 def in_codes(c, codes) -> Column:
-    """membership in a code list; null is not a member."""
-    return F.coalesce(_c(c).isin(*codes), F.lit(False))
+    """membership in a code list; null is not a member (null in a
+    filter drops the row). Kept a bare ``IN`` so it pushes into the scan."""
+    return _c(c).isin(*codes)
 
 
 def present(c) -> Column:
