@@ -29,15 +29,24 @@ def voters_clean(
     tie_breakers: list[str] | None = None,
     sample: int | None = None,
     seed: int = 42,
+    report: dict | None = None,
 ) -> DataFrame:
     """Contract -> sentinel/status/precinct filters -> registration date
     -> latest record per voter -> (sample) -> birth rule and age -> precinct
     link -> blanks. (Keep-first after latest-per-key is a no-op and is not
-    re-run.)"""
+    re-run.) With ``report`` (a dict), A8 stage counters ``validated``,
+    ``cleaned`` and ``latest`` are attached; they fill when the result runs,
+    without extra jobs."""
     df = project.contract_project(raw, C.VOTERS_CONTRACT)
+    if report is not None:
+        df, report["validated"] = observe_rows(df, "validated")
     df = filters.clean_roll(df)
+    if report is not None:
+        df, report["cleaned"] = observe_rows(df, "cleaned")
     df = df.withColumn("registration_date", D.parse_mdy("registration_date"))
     df = dedup.latest_per_key(df, "state_voter_id", "registration_date", tie_breakers)
+    if report is not None:
+        df, report["latest"] = observe_rows(df, "latest")
     if sample:
         df = project.fixed_sample(df, sample, seed, ["state_voter_id"])
     if _as_date(file_date) < D.BIRTH_RULE_CUTOVER:

@@ -82,3 +82,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def cluster_conf(shuffle_bytes: int | None = None, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings the feeds are designed for on a large cluster: AQE with skew
+    splitting, shuffle partitions sized from the expected shuffle volume,
+    128 MB input splits for the raw extracts. ``spark.checkpoint.dir`` must
+    name shared storage; it is read from the session, never invented there."""
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    }
+    if shuffle_bytes:
+        conf["spark.sql.shuffle.partitions"] = str(max(200, shuffle_bytes // partition_bytes))
+    return conf

@@ -63,6 +63,45 @@ def header_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
     return line.lstrip("﻿").rstrip("\r")
 
 
+# Beyond this many files, header lines are read by Spark tasks in parallel.
+PARALLEL_HEADER_FILES = 64
+
+
+def _first_lines(batches, encoding: str = "UTF-8"):
+    import pandas as pd
+    from pyarrow import fs as pafs
+
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            uri = path if "://" in path else "file://" + path
+            if uri.startswith("file:/") and not uri.startswith("file://"):
+                uri = "file://" + uri[len("file:"):]
+            filesystem, p = pafs.FileSystem.from_uri(uri)
+            with filesystem.open_input_stream(p) as f:
+                head = b""
+                while b"\n" not in head:
+                    chunk = f.read(65536)
+                    if not chunk:
+                        break
+                    head += chunk
+            line = head.split(b"\n", 1)[0].decode(encoding, errors="replace")
+            out.append(line.lstrip("\ufeff").rstrip("\r"))
+        yield pd.DataFrame({"path": list(pdf["path"]), "header": out})
+
+
+def header_lines(spark: SparkSession, files: list[str], encoding: str = "UTF-8") -> dict[str, str]:
+    """Header line of every file. A few files are peeked from the driver;
+    many files (an object store answers each open slowly) are peeked by
+    Spark tasks in parallel, and only (path, header) pairs come back."""
+    if len(files) <= PARALLEL_HEADER_FILES:
+        return {f: header_line(spark, f, encoding) for f in files}
+    paths = spark.createDataFrame([(f,) for f in files], "path string")
+    paths = paths.repartition(min(len(files) // 8 + 1, spark.sparkContext.defaultParallelism * 4))
+    rows = paths.mapInPandas(lambda it: _first_lines(it, encoding), "path string, header string").collect()
+    return {r.path: r.header for r in rows}
+
+
 def read_delimited(
     spark: SparkSession,
     paths: list[str] | str,
@@ -78,8 +117,8 @@ def read_delimited(
     if not files:
         raise FileNotFoundError(f"no files under {paths}")
     groups: dict[str, list[str]] = defaultdict(list)
-    for f in files:
-        groups[header_line(spark, f, encoding)].append(f)
+    for f, h in header_lines(spark, files, encoding).items():
+        groups[h].append(f)
     frames = []
     for files_ in groups.values():
         df = (

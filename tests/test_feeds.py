@@ -50,3 +50,14 @@ def test_e8_replace_keeps_other_dates(spark):
     feeds.precincts_load(base.withColumn("file_date", F.lit("2024-02-01").cast("date")), t, view="precincts_current")
     assert spark.read.parquet(t).count() == 2
     assert spark.table("precincts_current").first().file_date == dt.date(2024, 2, 1)
+
+
+def test_e1_stage_counts_observed(spark):
+    from rollsnap.plans import bind_feeds
+
+    report = {}
+    out = feeds.voters_clean(bind_feeds.raw_roll(spark, SF), "2024-06-30", 2024,
+                             tie_breakers=["physical_address_1"], report=report)
+    n = out.count()
+    got = {k: v.get["rows"] for k, v in report.items()}
+    assert got["validated"] >= got["cleaned"] >= got["latest"] == n > 0

@@ -151,3 +151,25 @@ def test_j6_strategies_agree(spark):
         got[strategy] = sorted((r.id, r.results, r.physical_id) for r in out.collect())
     assert got["all"] == got["chain"] == got["auto"]
     assert ("1", "Success", "d3") in got["all"] and ("0", "Success", "d1") in got["all"]
+
+
+def test_header_peek_parallel_matches_driver(spark, tmp_path):
+    from rollsnap.sources import delimited
+
+    files = []
+    for i in range(70):
+        f = tmp_path / f"f{i}.csv"
+        f.write_text(("A,B\n" if i % 2 else "B,A\n") + "1,2\n")
+        files.append(str(f))
+    par = delimited.header_lines(spark, files)
+    assert par == {f: delimited.header_line(spark, f) for f in files}
+    df = delimited.read_delimited(spark, files)
+    assert sorted(df.columns) == ["A", "B"] and df.count() == 70
+
+
+def test_latest_per_key_limits_before_the_shuffle(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id AS d")
+    plan = dedup.latest_per_key(df, "k", "d", [])._jdf.queryExecution().executedPlan().toString()
+    # a partial WindowGroupLimit runs map-side, before the Exchange
+    assert plan.count("WindowGroupLimit") >= 2
+    assert plan.rfind("WindowGroupLimit") > plan.find("Exchange")
