@@ -101,3 +101,32 @@ def cluster_conf(shuffle_bytes: int | None = None, partition_bytes: int = 256 <<
     if shuffle_bytes:
         conf["spark.sql.shuffle.partitions"] = str(max(200, shuffle_bytes // partition_bytes))
     return conf
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rollsnap`` importable in every Python worker (the zip reader and
+    fixture writers run there): the package is zipped once per application
+    and distributed with ``addPyFile``, Spark's own code-shipping path."""
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - connect sessions ship code differently
+        return
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="rollsnap-pkg-"), "rollsnap.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
