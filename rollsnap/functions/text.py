@@ -72,7 +72,7 @@ def analyze(c) -> Column:
     empty pieces; the result is an array<string> (empty for blank text).
     """
     parts = F.split(F.lower(_c(c)), TOKEN_SPLIT)
-    return F.array_distinct(F.filter(parts, lambda t: t != F.lit("")))
+    return F.array_distinct(F.array_remove(parts, ""))
 
 
 def upper(c) -> Column:

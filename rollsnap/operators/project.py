@@ -94,13 +94,22 @@ def typed_projection(
     return good, rejects
 
 
-def fixed_sample(df: DataFrame, n: int, seed: int = 42, keys: list[str] | None = None) -> DataFrame:
+def fixed_sample(df: DataFrame, n: int, seed: int = 42, keys: list[str] | None = None,
+                 rank: Column | None = None) -> DataFrame:
     """Exactly ``n`` rows (or all, if fewer), repeatable for a seed.
 
-    Rows are ranked by a seeded 64-bit hash of their key columns; Spark plans
+    Rows are ranked by a seeded 64-bit hash of their key columns (or by the
+    given ``rank`` expression), ties broken by the keys; Spark plans
     ``orderBy(...).limit(n)`` as a per-partition top-n followed by a single
     merge of n-row lists, so only n rows per partition move.
     """
     keys = keys or df.columns
-    h = F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.lit(seed))
+    h = rank if rank is not None else F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.lit(seed))
     return df.orderBy(h, *[F.col(f"`{k}`").asc_nulls_first() for k in keys]).limit(n)
+
+
+def integer_rank(key, seed: int = 42) -> Column:
+    """Seeded multiplicative (Knuth) hash of a non-negative integer key, mod
+    2**32 - plain integer arithmetic, so any SQL engine ranks rows alike."""
+    c = F.col(key) if isinstance(key, str) else key
+    return (c.cast("long") * F.lit(2654435761) + F.lit(seed)) % F.lit(4294967296)

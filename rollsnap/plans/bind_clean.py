@@ -534,8 +534,15 @@ def q_p7(spark, d):
     return good
 
 
-# ---------------------------------------------------------------- P8 (rows-only)
-@binding("p8_fixed_sample")
+# ---------------------------------------------------------------- P8
+@binding(
+    "p8_fixed_sample",
+    """
+    SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+    ORDER BY (o_orderkey * 2654435761 + 7) % 4294967296, o_orderkey
+    LIMIT 500
+    """,
+)
 def q_p8(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return project.fixed_sample(o, 500, seed=7, keys=["o_orderkey"])
+    return project.fixed_sample(o, 500, keys=["o_orderkey"], rank=project.integer_rank("o_orderkey", 7))
