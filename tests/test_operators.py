@@ -173,3 +173,12 @@ def test_latest_per_key_limits_before_the_shuffle(spark):
     # a partial WindowGroupLimit runs map-side, before the Exchange
     assert plan.count("WindowGroupLimit") >= 2
     assert plan.rfind("WindowGroupLimit") > plan.find("Exchange")
+
+
+def test_keep_last_and_upsert_limit_before_the_shuffle(spark):
+    from rollsnap.sources import sinks
+
+    df = spark.range(1000).selectExpr("CAST(id % 3 AS STRING) AS id", "id AS line_no")
+    for out in (dedup.keep_last(df, ["id"], ["line_no"]), sinks.keyed_upsert(df, df, ["id"])):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("WindowGroupLimit") >= 2, plan
