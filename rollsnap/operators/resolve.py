@@ -86,13 +86,14 @@ def token_lookup(texts: DataFrame, index: DataFrame, collapse: bool, text_col: s
         .withColumn("key", token_key("text"))
         .where(F.col("key") != "")
     )
-    q = tk.select("key").distinct().withColumn("qt", F.split("key", " "))
+    q = tk.select("key").distinct()
     freq = freq if freq is not None else token_frequencies(index)
     probes = (
-        q.select("key", "qt", F.explode("qt").alias("t"))
+        q.select("key", F.explode(F.split("key", " ")).alias("t"))
         .join(freq, "t")
-        .groupBy("key", "qt")
+        .groupBy("key")   # the token set is the key itself: group on the string
         .agg(F.count(F.lit(1)).alias("known"), F.min(F.struct("df", "t")).alias("probe"))
+        .withColumn("qt", F.split("key", " "))
         # a token absent from every place makes the query unanswerable
         .where(F.col("known") == F.size("qt"))
         .select("key", "qt", F.col("probe.t").alias("t"))
