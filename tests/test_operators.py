@@ -182,3 +182,19 @@ def test_keep_last_and_upsert_limit_before_the_shuffle(spark):
     for out in (dedup.keep_last(df, ["id"], ["line_no"]), sinks.keyed_upsert(df, df, ["id"])):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("WindowGroupLimit") >= 2, plan
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
+                          st.one_of(st.none(), st.dates(dt.date(2000, 1, 1), dt.date(2000, 1, 5))),
+                          st.integers(0, 50)), min_size=1, max_size=15, unique_by=lambda r: r[2]))
+def test_a2_matches_python(spark, rows):
+    df = spark.createDataFrame(rows, "k string, d date, tie int")
+    got = sorted(tuple(r) for r in dedup.latest_per_key(df, "k", "d", ["tie"]).collect())
+    best = {}
+    for k, d, tie in rows:
+        # unparseable (null) dates rank first, then newest date, then smallest tie-breaker
+        rank = (d is not None, -(d.toordinal() if d else 0), tie)
+        if k not in best or rank < best[k][0]:
+            best[k] = (rank, (k, d, tie))
+    assert got == sorted(v for _, v in best.values())
