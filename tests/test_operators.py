@@ -198,3 +198,30 @@ def test_a2_matches_python(spark, rows):
         if k not in best or rank < best[k][0]:
             best[k] = (rank, (k, d, tie))
     assert got == sorted(v for _, v in best.values())
+
+
+_WORDS = ["1", "2", "main", "oak", "st", "rd", "apt", "97000"]
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.sampled_from(_WORDS), min_size=1, max_size=4), st.sampled_from(["g1", "g2", "g3"])),
+                min_size=1, max_size=8),
+       st.lists(st.lists(st.sampled_from(_WORDS), max_size=3), min_size=1, max_size=6),
+       st.booleans())
+def test_token_lookup_matches_brute_force(spark, places, queries, collapse):
+    rows = [(f"p{i}", g, " ".join(ws)) for i, (ws, g) in enumerate(places)]
+    pl = _places(spark, rows)
+    texts = sorted({" ".join(q) for q in queries})
+    tdf = spark.createDataFrame([(t,) for t in texts], "text string")
+    index = resolve.index_places(pl, group_col="group_id" if collapse else None)
+    got = {r.text: r.place_id for r in resolve.token_lookup(tdf, index, collapse).collect()}
+    want = {}
+    for t in texts:
+        qt = set(t.split())
+        if not qt:
+            continue
+        hits = [(pid, g) for pid, g, full in rows if qt <= set(full.split())]
+        ok = len({g for _, g in hits}) == 1 if collapse else len(hits) == 1
+        if hits and ok:
+            want[t] = min(pid for pid, _ in hits)
+    assert got == want
