@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..operators import resolve
+from ..session import scratch_path
+from ..sources import sinks
 from . import feeds
 from ..functions import predicates as P
 from .bind_clean import _homeless_sql
@@ -138,8 +140,11 @@ def name_labels(spark, d):
 
 
 def resolved_roll(spark, d):
+    # E1 hands over through its processed layer (K1 -> S6), as the feeds do;
+    # the cascade then reads files instead of recomputing the clean step
+    clean = sinks.write_layer(clean_roll(spark, d), scratch_path(spark, "processed-voters"))
     return feeds.voters_resolve(
-        clean_roll(spark, d),
+        clean,
         places_from_part(spark, d),
         places_from_part(spark, d, units=True),
         name_labels(spark, d),
