@@ -264,7 +264,11 @@ def cascade(
                        min_resolved=0.0 if strategy == "chain" else 0.5)
 
     if not found:
-        return df.drop("__row")
+        # nothing was looked up: unresolved rows still get the miss blanks
+        miss = F.col(results_col) == F.lit(NOT_FOUND)
+        blanks = {c: F.when(miss, F.lit(0.0) if c in ("PropertyLatitude", "PropertyLongitude") else F.lit(""))
+                  .otherwise(F.col(c)) for c in PLACE_RESULT_COLUMNS if c != results_col}
+        return df.drop("__row").withColumns(blanks)
     best = (
         reduce(lambda a, b: a.unionByName(b), found)
         .groupBy("row_key")

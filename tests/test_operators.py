@@ -225,3 +225,12 @@ def test_token_lookup_matches_brute_force(spark, places, queries, collapse):
         if hits and ok:
             want[t] = min(pid for pid, _ in hits)
     assert got == want
+
+
+def test_j6_without_passes_blanks_misses(spark):
+    places = _places(spark, [("d1", "P1", "1 MAIN ST")])
+    rows = resolve.mark_pass01(spark.createDataFrame(
+        [("1", "1 main st", "", "", "c")],
+        "id string, physical_address_1 string, physical_address_2 string, confidential string, precinct_link string"))
+    out = resolve.cascade(rows, "id", [], places).first()
+    assert out.results == "Not Found" and out.physical_id == "" and out.PropertyLatitude == 0.0
