@@ -5,10 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import quality_rules
-from .common import table
+from . import positional, quality_rules
+from .common import Scratch, table
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of ten benchmark words found in every document."""
+    index = Scratch(spark, "op7").write(positional.build_index(table(spark, sf_dir, "documents")), "index")
+    found = positional.contaminated_words(index, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +28,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
-_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op10_quality_rules]
+_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op7_benchmark_decontamination, op10_quality_rules]
 
 
 def _shipped(fn):
@@ -29,4 +40,31 @@ def _shipped(fn):
 
 
 QUERIES = {fn.__name__: _shipped(fn) for fn in _BUILDERS}
-ORACLES: dict[str, str] = {}
+
+# words of a text are compared as strings here, never as hashes
+_OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i+9], ' ') AS g
+  FROM b, LATERAL (SELECT unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i) WHERE len(w) > 0),
+lens AS (SELECT DISTINCT k FROM bw),
+dw AS (
+  SELECT doc_id, i, k, array_to_string(w[i:i+k-1], ' ') AS g
+  FROM d, lens, LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i) WHERE len(w) >= k),
+m AS (SELECT dw.doc_id, dw.i, dw.k, bw.item_id FROM dw JOIN bw USING (k, g)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM m, LATERAL (SELECT unnest(range(i, i + k)) AS p) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op7_benchmark_decontamination": _OP7_SQL}
