@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import positional, quality_rules
+from . import positional, quality_rules, repeats
 from .common import Scratch, table
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that occur earlier."""
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of ten benchmark words found in every document."""
     index = Scratch(spark, "op7").write(positional.build_index(table(spark, sf_dir, "documents")), "index")
@@ -28,7 +34,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
-_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op7_benchmark_decontamination, op10_quality_rules]
+_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op6_substring_dedup, op7_benchmark_decontamination, op10_quality_rules]
 
 
 def _shipped(fn):
@@ -67,4 +73,17 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op7_benchmark_decontamination": _OP7_SQL}
+_OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i+19], ' ') AS g
+  FROM d, LATERAL (SELECT unnest(range(1, len(w) - 18)) AS i) WHERE len(w) >= 20),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS r FROM win) WHERE r > 1),
+cut AS (SELECT DISTINCT doc_id, p FROM rep, LATERAL (SELECT unnest(range(i, i + 20)) AS p)),
+words AS (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(t, ' ' ORDER BY p) AS s, count(*) AS n FROM words ANTI JOIN cut USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op6_substring_dedup": _OP6_SQL, "op7_benchmark_decontamination": _OP7_SQL}
