@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import positional, quality_rules, repeats
+from . import jaccard, positional, quality_rules, repeats
 from .common import Scratch, table
 
 
@@ -28,13 +28,18 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and group of every document."""
+    return jaccard.link_groups(table(spark, sf_dir, "documents")).drop("k")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, hard rules and the trees' verdict for every document."""
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
-_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op6_substring_dedup, op7_benchmark_decontamination, op10_quality_rules]
+_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op6_substring_dedup, op7_benchmark_decontamination, op9_ngram_jaccard, op10_quality_rules]
 
 
 def _shipped(fn):
@@ -86,4 +91,20 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(n
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op6_substring_dedup": _OP6_SQL, "op7_benchmark_decontamination": _OP7_SQL}
+_OP9_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS g
+  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i) WHERE len(w) > 0),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT u, v FROM o JOIN c x ON x.doc_id = u JOIN c y ON y.doc_id = v WHERE 100 * k >= 80 * (x.n + y.n - k)),
+r AS (SELECT doc_id, doc_id AS root FROM d UNION SELECT e.v, r.root FROM r JOIN e ON e.u = r.doc_id)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM d LEFT JOIN c USING (doc_id) JOIN (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id) USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op6_substring_dedup": _OP6_SQL, "op9_ngram_jaccard": _OP9_SQL, "op7_benchmark_decontamination": _OP7_SQL}
