@@ -9,25 +9,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
 
 #: bytes of text handled by one numpy pass (a longer document is a pass of its own)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def pick(df: DataFrame, *cols: str) -> DataFrame:
-    """Only the named columns, so extra or clashing ones of the input never
-    meet the columns an operator adds."""
-    return df.select(*cols)
-
-
 class Scratch:
     """Tables an operator writes under ``spark.checkpoint.dir``.
 
@@ -52,6 +46,21 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+def boxed(df: DataFrame, *cols: str) -> DataFrame:
+    """All columns as one struct ``row`` beside copies of the named ones, so
+    names of the input never clash with those an operator adds."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *cols)
+
+
+def unboxed(df: DataFrame) -> DataFrame:
+    return df.select("row.*")
+
+
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """64-bit hash of a document's id and text, by which it is met again."""
+    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), text)
+
+
 def text_crc(c: str | Column) -> Column:
     """Unsigned CRC-32 of a text's UTF-8 bytes; null counts as empty text."""
     return F.crc32(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")).cast("binary"))
@@ -170,8 +179,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64 (or of its inverse)."""
     have = _POWERS.get(inverse)
     if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        size = 1 << (size - 1).bit_length()
+        size = max(n + n // 8, CHUNK_BYTES + (1 << 17))
         steps = np.full(size, _BASE_INV if inverse else _BASE, np.uint64)
         steps[0] = 1
         have = _POWERS[inverse] = np.cumprod(steps, dtype=np.uint64)
@@ -224,3 +232,27 @@ def per_row(mask: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 def ids(batch: pa.RecordBatch, name: str = "doc_id") -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+def in_order(df: DataFrame, scratch: Scratch, name: str, group: list[str], order: list[str]) -> DataFrame:
+    """``df`` written in the order of (group, order), nulls last, with
+    ``part`` (number of the sorted range) and ``row`` (place in the range).
+    Equal rows are spread by a random key, so no key is too hot for a range;
+    such rows are interchangeable."""
+    keys = [F.col(c).asc_nulls_last() for c in (*group, *order)]
+    dealt = df.withColumn("__deal", F.rand(11)).repartitionByRange(*keys, "__deal").sortWithinPartitions(*keys)
+    out = scratch.write(dealt.drop("__deal").withColumn("part", F.spark_partition_id()), name)
+    return out.select("*", F.col("_metadata.row_index").alias("row"))
+
+
+def running_total(ordered: DataFrame, group: str, amount: str, total: str) -> DataFrame:
+    """Adds ``total``: the sum of the whole number ``amount`` over the rows of
+    the same group up to and including this one, in the order of
+    ``in_order``. Windows stay within one sorted range; the ranges' own sums
+    are one row per range and group."""
+    inner = ordered.withColumn("__run", F.sum(amount).over(Window.partitionBy("part", group).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)))
+    sums = ordered.groupBy("part", group).agg(F.sum(amount).alias("__sum"))
+    before = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col("part").alias("__part"), F.col(group).alias("__group"), F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"))
+    joined = inner.join(sums, (F.col("part") == F.col("__part")) & (F.col(group).eqNullSafe(F.col("__group"))))
+    return joined.withColumn(total, F.col("__run") + F.col("__before")).drop("__run", "__before", "__part", "__group")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLAIN_WORD, Scratch, chunks, ids, mix, powers, rows_of, runs, span_hashes, window_hashes
+from .common import PLAIN_WORD, Scratch, chunks, ids, boxed, row_key, unboxed, mix, powers, rows_of, runs, span_hashes, window_hashes
 from .graph import components
 from .repeats import _new_group, _records, _slices, pack, unpack
 
@@ -92,8 +92,7 @@ def signatures(key: np.ndarray, index: np.ndarray) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(name, "text").alias("k"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("k"))
 
 
 _SETS = "doc_id long, k long, n long, sig long, block int, counts binary"
@@ -327,8 +326,9 @@ def _spans(size: np.ndarray, most: int) -> list[tuple[int, int]]:
 
 
 def link_groups(docs: DataFrame, per_bucket: int = BUCKET_ENTRIES) -> DataFrame:
-    """doc_id, n_shingles, component_id and k (a hash of the row) of every
-    document; component_id is the smallest doc_id reachable by links."""
+    """doc_id, n_shingles, component_id, k (a hash of the row) and root (names
+    the group; null without shingles) of every document; component_id is the
+    smallest doc_id reachable by links."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     measured = scratch.write(_keyed(docs).mapInArrow(_measure, _SETS), "sets")
@@ -359,9 +359,22 @@ def link_groups(docs: DataFrame, per_bucket: int = BUCKET_ENTRIES) -> DataFrame:
     more = second.where("100 * shared >= 80 * joint").select("u", "v")
     comp = components(comp.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more), scratch, "round2")
 
-    classes = sets.groupBy("sig", "n").agg(F.min("doc_id").alias("low")).join(comp.withColumnRenamed("node", "sig"), "sig", "left")
-    classes = classes.select("sig", "low", "n", F.when(F.col("n") > 0, F.coalesce("root", "sig")).alias("root"))
-    least = classes.where("n > 0").groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = classes.where("n > 0").join(least, "root").select("sig", "component_id")
-    out = sets.join(classes, "sig", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "k")
+    classes = sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("low")).join(comp.withColumnRenamed("node", "sig"), "sig", "left")
+    classes = classes.select("sig", "low", F.coalesce("root", "sig").alias("root"))
+    least = classes.groupBy("root").agg(F.min("low").alias("component_id"))
+    classes = classes.select("sig", "root").join(least, "root")
+    out = sets.join(classes, (sets["sig"] == classes["sig"]) & (sets["n"] > 0), "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "k", "root")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents without near copies: of each group the row with the
+    smallest doc_id (null last) stays, and of repeated rows one; documents
+    without words, which are linked with nothing, all stay."""
+    scratch = Scratch(docs.sparkSession, "one")
+    groups = scratch.write(link_groups(docs).select("doc_id", "k", "root"), "groups").where("root IS NOT NULL")
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")).alias("first"))
+    whole = boxed(docs, "text", row_key().alias("k"))
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = whole.where(~wordless).join(first.select(F.col("first.k").alias("k")), "k", "left_semi").dropDuplicates(["k"])
+    return unboxed(kept.select("row").unionAll(whole.where(wordless).select("row")))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORD, PLAIN_WORD, chunks, ids, runs, span_hashes
+from .common import ALNUM_WORD, Scratch, boxed, chunks, ids, row_key, runs, span_hashes, unboxed
 
 #: words of a window
 WIDTH = 10
@@ -269,3 +269,11 @@ def contaminated_words(index: DataFrame, items: DataFrame) -> DataFrame:
     return doc_lengths(index).join(found, ["shard", "doc_no"], "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents in which no window of an item occurs."""
+    whole = boxed(docs, "text", row_key().alias("k"))
+    index = Scratch(docs.sparkSession, "clean").write(build_index(whole.select(F.col("k").alias("doc_id"), "text")), "index")
+    hit = search(index, item_windows(items)).select(F.col("doc_id").alias("k")).distinct()
+    return unboxed(whole.join(hit, "k", "left_anti"))

@@ -17,9 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import boosted
-from .common import PLAIN_WORD, byte_set, chunks, ids, label_sample, mix, per_row, pick, rows_of, runs, span_hashes, window_hashes
+from .common import PLAIN_WORD, byte_set, chunks, ids, label_sample, mix, per_row, rows_of, runs, span_hashes, window_hashes
 
 #: labelled rows the trees are fitted on at most
 SAMPLE_ROWS = 12_000
@@ -129,29 +130,34 @@ def fit_rules(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS) -
     return boosted.fit(x, y, MONOTONE)
 
 
-def judge(docs: DataFrame, model: boosted.Trees, threshold: float = THRESHOLD, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the counts, base_failed, kept and score of every document;
-    ``carry`` names input columns to keep beside them."""
-    schema = pa.schema([("doc_id", pa.int64()), *((k, pa.int64()) for k in COUNTS), ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("score", pa.float64())])
-    kinds = dict(docs.dtypes)
-    ddl = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double"
-    ddl += "".join(f", `in_{c}` {kinds[c]}" for c in carry)
+_JUDGED = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double"
 
-    def run(batches):
+
+def judge(docs: DataFrame, model: boosted.Trees, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, the counts, base_failed, kept and score of every document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, off in chunks(batches):
-            counts, x = statistics(data, off)
-            score = model.probability(x)
-            failed = (counts["n_words"] < 50) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
-            kept = ~failed & (score >= threshold)
-            cols = [ids(rows).cast(pa.int64()), *(pa.array(counts[k].astype(np.int64)) for k in COUNTS), pa.array(failed), pa.array(kept), pa.array(score)]
-            yield pa.RecordBatch.from_arrays([*cols, *(ids(rows, c) for c in carry)], [*schema.names, *(f"in_{c}" for c in carry)])
+            counts, failed, score = _verdict(data, off, model)
+            cols = [ids(rows), *(pa.array(counts[k].astype(np.int64)) for k in COUNTS), pa.array(failed), pa.array(~failed & (score >= threshold)), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", *COUNTS, "base_failed", "kept", "score"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _JUDGED)
+
 
-    return pick(docs, *dict.fromkeys(("doc_id", "text", *carry))).mapInArrow(run, ddl)
+def _verdict(data: np.ndarray, off: np.ndarray, model: boosted.Trees) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    counts, x = statistics(data, off)
+    failed = (counts["n_words"] < 50) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
+    return counts, failed, model.probability(x)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the rules keep, with the columns they came with."""
     model = fit_rules(docs, labels)
-    cols = docs.columns
-    out = judge(docs, model, threshold, tuple(cols)).where("kept")
-    return out.select(*[out[f"in_{c}"].alias(c) for c in cols])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, off in chunks(batches):
+            _, failed, score = _verdict(data, off, model)
+            yield rows.filter(pa.array(~failed & (score >= threshold)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -8,10 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import jaccard, positional, quality_rules, repeats
+from . import jaccard, mixing, positional, quality_rules, repeats, sharding
 from .common import Scratch, table
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 16 shards by jump consistent hashing."""
+    out = sharding.shard_table(table(spark, sf_dir, "documents"), 16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    sized = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words().alias("size"))
+    out = mixing.copies(sized)
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of windows that occur earlier."""
     out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
@@ -30,7 +43,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and group of every document."""
-    return jaccard.link_groups(table(spark, sf_dir, "documents")).drop("k")
+    return jaccard.link_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +52,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
-_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op6_substring_dedup, op7_benchmark_decontamination, op9_ngram_jaccard, op10_quality_rules]
+_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op2_sharding, op5_mixing, op6_substring_dedup, op7_benchmark_decontamination, op9_ngram_jaccard, op10_quality_rules]
 
 
 def _shipped(fn):
@@ -107,4 +120,58 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM d LEFT JOIN c USING (doc_id) JOIN (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id) USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op6_substring_dedup": _OP6_SQL, "op9_ngram_jaccard": _OP9_SQL, "op7_benchmark_decontamination": _OP7_SQL}
+# CRC-32 byte by byte over a table made from its polynomial
+_OP2_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT i, 0 AS k, i::UBIGINT AS c FROM range(256) r(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM t WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS tab FROM t WHERE k = 8),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, CAST(coalesce(octet_length(encode(text)), 0) + 1 AS BIGINT) AS size FROM documents),
+e AS (
+  SELECT d.*, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(
+             regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::UBIGINT)),
+           lambda a, b: xor(a >> 8, tab[CAST(xor(a, b) % 256 AS INTEGER) + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+  FROM d, crc),
+j AS (
+  SELECT rid, coalesce(doc_id, 0)::UHUGEINT AS key, -1::BIGINT AS b, 0::BIGINT AS j, 0 AS step FROM d
+  UNION ALL
+  SELECT rid, nk, j, CAST(floor((j + 1) * (2147483648::DOUBLE / ((nk >> 33) + 1)::DOUBLE)) AS BIGINT), step + 1
+  FROM (SELECT *, (key * 2862933555777941757::UHUGEINT + 1) % 18446744073709551616::UHUGEINT AS nk FROM j WHERE j < 17)),
+s AS (SELECT rid, max(b) FILTER (b < 16) AS shard, max(b) AS grown_shard FROM j GROUP BY rid)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS LAST, text_crc32, size) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
+FROM e JOIN s USING (rid)
+"""
+
+_OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+one AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][CAST((place - 1) % 3 + 1 AS INTEGER)] AS weight FROM one),
+f AS (
+  SELECT *, CAST(coalesce(sum(source_size) OVER b, 0) * 3 AS BIGINT) AS full_size,
+         CAST(sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS BIGINT) AS open_weight, CAST(sum(source_size) OVER () AS BIGINT) AS whole, row_number() OVER (ORDER BY source_size / weight, place) AS turn
+  FROM w WINDOW b AS (ORDER BY source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT arg_min((whole - full_size) / open_weight, turn) AS level FROM f WHERE (whole - full_size) * weight <= source_size * 3 * open_weight),
+t AS (
+  SELECT source, source_size, least(CAST(source_size * 3 AS DOUBLE), level * weight) AS target FROM f, l),
+u AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size * 16777216 + 0.5) AS BIGINT) ELSE 0 END AS unit,
+         CAST('0x' || substr(md5('mix-1' || CASE WHEN source IS NULL THEN '-' ELSE '+' || source END), 1, 6) AS BIGINT) AS shift
+  FROM t),
+p AS (
+  SELECT doc_id, d.source, size, source_size, target, unit,
+         CAST(sum(unit) OVER (PARTITION BY d.source ORDER BY size, doc_id NULLS LAST ROWS UNBOUNDED PRECEDING) AS BIGINT) + shift AS upto
+  FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source),
+k AS (
+  SELECT source, o, abs(sum(((upto + o) // 16777216 - (upto + o - unit) // 16777216) * size) - any_value(target)) AS miss
+  FROM p, (SELECT i * 1048576 AS o FROM range(16) r(i)) GROUP BY source, o),
+g AS (SELECT source, arg_min(o, (miss, o)) AS o FROM k GROUP BY source)
+SELECT doc_id, size, source_size, target, ((upto + o) // 16777216 - (upto + o - unit) // 16777216) * size AS taken
+FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source
+"""
+
+ORACLES: dict[str, str] = {"op2_sharding": _OP2_SQL, "op5_mixing": _OP5_SQL, "op6_substring_dedup": _OP6_SQL, "op9_ngram_jaccard": _OP9_SQL, "op7_benchmark_decontamination": _OP7_SQL}
