@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import jaccard, mixing, positional, quality_rules, repeats, sharding
+from . import jaccard, mixing, positional, quality_rules, repeats, sharding, wrappers
 from .common import Scratch, table
 
 
@@ -18,6 +18,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article text of every page, read through its host's wrapper."""
+    out = wrappers.extract(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     sized = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words().alias("size"))
@@ -52,7 +58,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
-_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op2_sharding, op5_mixing, op6_substring_dedup, op7_benchmark_decontamination, op9_ngram_jaccard, op10_quality_rules]
+_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op2_sharding, op3_html_extraction, op5_mixing, op6_substring_dedup, op7_benchmark_decontamination, op9_ngram_jaccard, op10_quality_rules]
 
 
 def _shipped(fn):
