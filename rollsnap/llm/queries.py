@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import jaccard, mixing, positional, quality_rules, repeats, sharding, wrappers
+from . import hmm, jaccard, mixing, positional, quality_rules, repeats, sharding, wrappers
 from .common import Scratch, table
 
 
@@ -47,6 +47,11 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hidden Markov and unigram log10 probability of every document."""
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and group of every document."""
     return jaccard.link_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -58,7 +63,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
-_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op2_sharding, op3_html_extraction, op5_mixing, op6_substring_dedup, op7_benchmark_decontamination, op9_ngram_jaccard, op10_quality_rules]
+_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op2_sharding, op3_html_extraction, op5_mixing, op6_substring_dedup, op7_benchmark_decontamination, op8_lm_scoring, op9_ngram_jaccard, op10_quality_rules]
 
 
 def _shipped(fn):
