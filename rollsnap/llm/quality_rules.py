@@ -42,7 +42,7 @@ FEATURES = ["log_words", "symbol_share", "dup_line_share", "repeat_share", "digi
 MONOTONE = {FEATURES.index(k): -1 for k in ("symbol_share", "dup_line_share", "repeat_share", "shout_share", "bare_words")}
 
 
-def _distinct(keys: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def distinct_keys(keys: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys already mixed with their row: distinct keys per row, and for each
     item whether its key occurs twice or more."""
     if not len(keys):
@@ -73,13 +73,13 @@ def statistics(data: np.ndarray, off: np.ndarray) -> tuple[dict[str, np.ndarray]
     n_symbols = per_row(SYMBOLS[data], off)
 
     h = span_hashes(data, starts, ends)
-    distinct, _ = _distinct(h ^ salt[row], row, n)
+    distinct, _ = distinct_keys(h ^ salt[row], row, n)
     tri = window_hashes(h, 3)
     covered = np.zeros(len(h), bool)
     if len(tri):
         whole = row[2:] == row[:-2]
         at = np.flatnonzero(whole)
-        _, again = _distinct(tri[at] ^ salt[row[at]], row[at], n)
+        _, again = distinct_keys(tri[at] ^ salt[row[at]], row[at], n)
         hit = at[again]
         for k in range(3):
             covered[hit + k] = True
@@ -90,7 +90,7 @@ def statistics(data: np.ndarray, off: np.ndarray) -> tuple[dict[str, np.ndarray]
     with_word = np.searchsorted(starts, le) > words_to
     lrow, ls, le = rows_of(lindex)[with_word], ls[with_word], le[with_word]
     n_lines = np.bincount(lrow, minlength=n)
-    seen, _ = _distinct(span_hashes(data, ls, le) ^ salt[lrow], lrow, n)
+    seen, _ = distinct_keys(span_hashes(data, ls, le) ^ salt[lrow], lrow, n)
     n_dup = n_lines - seen
 
     chars = np.maximum(per_row(lead & in_word, off), 1)

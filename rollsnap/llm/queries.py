@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import hmm, jaccard, mixing, positional, quality_rules, repeats, sharding, wrappers
+from . import hmm, jaccard, line_crf, mixing, positional, quality_rules, repeats, sharding, wrappers
 from .common import Scratch, table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from its lines' marginals."""
+    docs = table(spark, sf_dir, "documents")
+    return line_crf.score(docs, line_crf.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 16 shards by jump consistent hashing."""
     out = sharding.shard_table(table(spark, sf_dir, "documents"), 16)
@@ -63,7 +69,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
-_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op2_sharding, op3_html_extraction, op5_mixing, op6_substring_dedup, op7_benchmark_decontamination, op8_lm_scoring, op9_ngram_jaccard, op10_quality_rules]
+_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op1_quality_classifier, op2_sharding, op3_html_extraction, op5_mixing, op6_substring_dedup, op7_benchmark_decontamination, op8_lm_scoring, op9_ngram_jaccard, op10_quality_rules]
 
 
 def _shipped(fn):
