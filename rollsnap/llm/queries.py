@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import hmm, jaccard, line_crf, mixing, positional, quality_rules, repeats, sharding, wrappers
+from . import hmm, jaccard, line_crf, line_dedup, mixing, positional, quality_rules, repeats, sharding, wrappers
 from .common import Scratch, table
 
 
@@ -30,6 +30,12 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-equal lines that go, by document."""
+    out = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     sized = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words().alias("size"))
@@ -69,7 +75,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
-_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op1_quality_classifier, op2_sharding, op3_html_extraction, op5_mixing, op6_substring_dedup, op7_benchmark_decontamination, op8_lm_scoring, op9_ngram_jaccard, op10_quality_rules]
+_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op1_quality_classifier, op2_sharding, op3_html_extraction, op4_line_dedup, op5_mixing, op6_substring_dedup, op7_benchmark_decontamination, op8_lm_scoring, op9_ngram_jaccard, op10_quality_rules]
 
 
 def _shipped(fn):
@@ -191,4 +197,27 @@ SELECT doc_id, size, source_size, target, ((upto + o) // 16777216 - (upto + o -
 FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source
 """
 
-ORACLES: dict[str, str] = {"op2_sharding": _OP2_SQL, "op5_mixing": _OP5_SQL, "op6_substring_dedup": _OP6_SQL, "op9_ngram_jaccard": _OP9_SQL, "op7_benchmark_decontamination": _OP7_SQL}
+_OP4_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL),
+o AS (
+  SELECT * FROM (SELECT doc_id, unnest(a) AS line, unnest(range(len(a))) AS pos FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+n AS (SELECT line, row_number() OVER (ORDER BY line) AS id FROM (SELECT DISTINCT line FROM o)),
+s AS (SELECT DISTINCT id, substr(line, i, 8) AS g FROM n, LATERAL (SELECT unnest(range(1, greatest(length(line) - 7, 1) + 1)) AS i)),
+c AS (SELECT id, count(*) AS k FROM s GROUP BY id),
+r AS (SELECT id, g, row_number() OVER (PARTITION BY id ORDER BY f, g) AS p FROM s JOIN (SELECT g, count(*) AS f FROM s GROUP BY g) USING (g)),
+q AS (SELECT id, g FROM r JOIN c USING (id) WHERE p <= k - ceil(0.8 * k) + 1),
+x AS (SELECT DISTINCT a.id AS u, b.id AS v FROM q a JOIN q b ON a.g = b.g AND a.id < b.id),
+y AS (SELECT u, v, count(*) AS m FROM x JOIN s a ON a.id = u JOIN s b ON b.id = v AND b.g = a.g GROUP BY u, v),
+e AS (SELECT u, v FROM y JOIN c a ON a.id = u JOIN c b ON b.id = v WHERE 100 * m >= 80 * (a.k + b.k - m)),
+t AS (SELECT id, id AS root FROM n UNION SELECT CASE WHEN e.u = t.id THEN e.v ELSE e.u END, t.root FROM t JOIN e ON e.u = t.id OR e.v = t.id),
+w AS (SELECT id, min(root) AS root FROM t GROUP BY id),
+z AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY root ORDER BY doc_id NULLS LAST, pos) > 1 AS gone
+  FROM o JOIN n USING (line) JOIN w USING (id)),
+g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, string_agg(pos, ',' ORDER BY pos) FILTER (gone) AS removed FROM z GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(removed, '') AS removed
+FROM documents LEFT JOIN g USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_sharding": _OP2_SQL, "op4_line_dedup": _OP4_SQL, "op5_mixing": _OP5_SQL, "op6_substring_dedup": _OP6_SQL, "op9_ngram_jaccard": _OP9_SQL, "op7_benchmark_decontamination": _OP7_SQL}
