@@ -36,7 +36,7 @@ def components(links: DataFrame, scratch: Scratch, name: str = "links") -> DataF
     edges, before, k = scratch.write(edges, f"{name}-0"), None, 0
     while True:
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        if now == before or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before, k = now, k + 1
         large = scratch.write(_large_star(edges).distinct(), f"{name}-{k}-large")

@@ -133,7 +133,7 @@ def window_blocks(docs: DataFrame, buckets: int, width: int = WIDTH, run_bytes:
             at = np.flatnonzero(row[width - 1:] == row[:len(h)]) if len(h) else np.zeros(0, np.int64)
             h = h[at]
             order = np.argsort(h, kind="stable")
-            if (np.diff(doc_ids) < 0).any():        # rows do not come in the order of their ids
+            if (doc_ids[1:] < doc_ids[:-1]).any():      # rows do not come in the order of their ids
                 order = order[np.lexsort((at[order], doc_ids[row[at[order]]], h[order]))]
             new = _new_group(h[order])
             name = secrets.randbits(63)
@@ -196,6 +196,8 @@ def _merge(width: int):
         rows = marks.to_pylist()
         head = next(r for r in rows if r["k1"] is not None)
         at = np.unique(np.concatenate([unpack(r["at"]) for r in rows]))
+        if not len(at):
+            return pa.Table.from_batches([_records([], _SPANS)])
         first_word = unpack(head["first_word"])
         doc = np.searchsorted(first_word, at, side="right") - 1
         new = _new_group(doc)
