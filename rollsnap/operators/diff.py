@@ -2,7 +2,8 @@
 
 A diff is a null-safe LEFT ANTI equi-join: Spark keeps it a shuffled
 (or broadcast) hash / sort-merge join, never a nested loop. Only the key
-columns of the existing side are read, de-duplicated map-side first.
+columns of the existing side are read; an anti-join needs no de-duplication
+of them.
 AQE's skew-join handling splits a hot key on the new side.
 """
 
@@ -23,7 +24,7 @@ def new_rows(new: DataFrame, existing: DataFrame, on: list[str] | None = None) -
     not in ``existing``. Null matches null; duplicates inside ``new`` are all
     kept (bag semantics on the new side)."""
     keys = on or new.columns
-    old = existing.select(*[F.col(f"`{k}`") for k in keys]).distinct()
+    old = existing.select(*[F.col(f"`{k}`") for k in keys])
     return new.join(old, _null_safe_on(new, old, keys), "left_anti")
 
 
@@ -39,7 +40,3 @@ def first_seen(snapshots: DataFrame, keys: list[str], date_col: str = "file_date
     collapses hot keys before the shuffle."""
     return snapshots.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.min(date_col).alias(date_col))
 
-
-def append_unseen(ledger: DataFrame, snapshot: DataFrame, keys: list[str]) -> DataFrame:
-    """A9 (incremental form): the rows one snapshot adds to the ledger."""
-    return new_keys(snapshot.dropDuplicates(keys), ledger, keys)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import sized_broadcast
-
 # ---------------------------------------------------------------------------
 # Name labels and how they fold into the published gender.
 # ---------------------------------------------------------------------------
@@ -14,8 +12,6 @@ NAME_LABELS = ["male", "female", "mostly_male", "mostly_female", "andy"]
 UNDECIDED = ["unknown", "andy"]
 FOLD = {"mostly_male": "male", "mostly_female": "female"}
 UNKNOWN = "unknown"
-# Largest names table we broadcast; beyond it the lookup shuffles.
-NAMES_BROADCAST_ROWS = 2_000_000
 # ---------------------------------------------------------------------------
 
 
@@ -34,10 +30,9 @@ def guess_gender(
 
     ``names`` is a caller-supplied ``(name, label)`` table; duplicates are
     resolved to one label per lower-cased name (smallest label) so the join
-    never multiplies rows. It is broadcast only under a proven row bound.
+    never multiplies rows. Spark broadcasts it where its size allows.
     """
     dim = names.groupBy(F.lower(F.col(name_col)).alias("__n")).agg(F.min(label_col).alias("__label"))
-    dim = sized_broadcast(dim, NAMES_BROADCAST_ROWS)
     d1 = dim.select(F.col("__n").alias("__n1"), F.col("__label").alias("__l1"))
     d2 = dim.select(F.col("__n").alias("__n2"), F.col("__label").alias("__l2"))
     j = (

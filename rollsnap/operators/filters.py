@@ -41,11 +41,6 @@ def drop_ineligible(df: DataFrame, mark_col: str = "voted") -> DataFrame:
     return df.where(F.col(mark_col) != F.lit(INELIGIBLE_MARK))
 
 
-def unresolved(df: DataFrame, results_col: str = "results") -> DataFrame:
-    """F8: rows still 'Not Found'."""
-    return df.where(F.col(results_col) == F.lit("Not Found"))
-
-
 def has_rows(df: DataFrame) -> bool:
     """empty-input guard; reads at most one row."""
     return not df.isEmpty()

@@ -17,3 +17,16 @@ def observe_rows(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     Read it with ``obs.get['rows']`` after the action."""
     obs = Observation(stage)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def per_pass_frequency(df: DataFrame, passes: list[float], results_col: str = "results", pass_col: str = "pass_no",
+                       found: str = "Success", missing: str = "Not Found") -> DataFrame:
+    """A5 after every pass: ``(pass_no, results, n)`` as the value counts
+    stood once that pass had run. A row found by a later pass still counts as
+    missing; one aggregation over the finished rows gives all passes."""
+    by = df.groupBy(results_col, pass_col).agg(F.count(F.lit(1)).alias("n"))
+    later = F.col(pass_col) > F.col("after")
+    state = F.when((F.col(results_col) == found) & later, F.lit(missing)).otherwise(F.col(results_col))
+    # one row per result and pass meets the fixed list of passes
+    seen = by.select(results_col, pass_col, "n", F.explode(F.array(*[F.lit(float(p)) for p in passes])).alias("after"))
+    return seen.groupBy(F.col("after").alias("pass_no"), state.alias("results")).agg(F.sum("n").alias("n"))

@@ -4,18 +4,21 @@ The source resolved one row at a time with a remote search per pass. Here
 each lookup is a set-based join over the **distinct** query texts:
 
 * J4 / J5 (token containment, "all query tokens occur in the place"):
-  relational division through an inverted index. Every query probes only the
-  posting list of its *rarest* token - a place holding all tokens holds that
-  one, so nothing is lost - and candidates are verified with
-  ``forall(query_tokens, t -> array_contains(place_tokens, t))``. A query is
-  accepted when exactly one place (J5) or one place group (J4) remains.
-  No cross join, no per-row Python, no cap on candidates.
+  relational division by blocking on token pairs. Every query probes the pair
+  of its two *rarest* tokens (a one-token query its token): a place holding
+  all tokens holds that pair, so nothing is lost, and far fewer places hold a
+  pair than a token. The pairs of a place are shuffled as narrow
+  ``(pair, place_id)`` rows and only those that some query probes are kept;
+  the place's tokens are attached to the candidates afterwards, which are
+  verified with ``forall(query_tokens, t -> array_contains(place_tokens, t))``.
+  A query is accepted when exactly one place (J5) or one place group (J4)
+  remains. No cross join, no per-row Python, no cap on candidates.
 * J3 (exact three-key lookup): equi-join to the places that are unique on
   the key (A7: count = 1).
 * J6 (ordered fall-back over passes): every pass is evaluated at once on the
-  still-unresolved rows and the lowest pass number that hit wins. This equals
-  the sequential chain because a pass depends only on the row being
-  unresolved, never on an earlier pass's output.
+  unresolved rows and the lowest pass number that hit wins, or the passes run
+  as a chain; the caller chooses. Both give the same rows because a pass
+  depends only on the row being unresolved, never on an earlier pass's output.
 """
 
 from __future__ import annotations
@@ -48,18 +51,21 @@ def index_places(
     group_col: str | None = "group_id",
     fields: list[str] = PLACE_TEXT_FIELDS,
 ) -> DataFrame:
-    """Inverted index ``(t, place_id, group_id, pt)`` of a places table.
+    """Analysed places ``(place_id, group_id, pt)``, one row per place row.
 
     ``pt`` is the distinct token set of all searched fields of the place (a
-    query token may match in any field). One row per (token, place).
-    """
+    query token may match in any field)."""
     present = [f for f in fields if f in places.columns]
     pt = analyze(F.concat_ws(" ", *[F.col(f).cast("string") for f in present]))
     grp = F.col(group_col).cast("string") if group_col else F.col(id_col).cast("string")
-    base = places.select(
-        F.col(id_col).cast("string").alias("place_id"), grp.alias("group_id"), pt.alias("pt")
-    )
-    return base.select(F.explode("pt").alias("t"), "place_id", "group_id", "pt")
+    return places.select(F.col(id_col).cast("string").alias("place_id"), grp.alias("group_id"), pt.alias("pt"))
+
+
+def _token_pairs(tokens: Column) -> Column:
+    """All tokens and all pairs of a token set, as ``a`` and ``a b`` (a < b)."""
+    ordered = F.array_sort(tokens)
+    pairs = F.flatten(F.transform(ordered, lambda a: F.transform(F.filter(ordered, lambda b: b > a), lambda b: F.concat_ws(" ", a, b))))
+    return F.concat(ordered, pairs)
 
 
 def token_key(text) -> "F.Column":
@@ -88,18 +94,23 @@ def token_lookup(texts: DataFrame, index: DataFrame, collapse: bool, text_col: s
     )
     q = tk.select("key").distinct()
     freq = freq if freq is not None else token_frequencies(index)
+    rarest = F.transform(F.slice(F.array_sort(F.collect_list(F.struct("df", "t"))), 1, 2), lambda x: x["t"])
     probes = (
         q.select("key", F.explode(F.split("key", " ")).alias("t"))
         .join(freq, "t")
         .groupBy("key")   # the token set is the key itself: group on the string
-        .agg(F.count(F.lit(1)).alias("known"), F.min(F.struct("df", "t")).alias("probe"))
+        .agg(F.count(F.lit(1)).alias("known"), rarest.alias("rare"))
         .withColumn("qt", F.split("key", " "))
         # a token absent from every place makes the query unanswerable
         .where(F.col("known") == F.size("qt"))
-        .select("key", "qt", F.col("probe.t").alias("t"))
+        .select("key", "qt", F.array_join(F.array_sort("rare"), " ").alias("probe"))
     )
+    named = index.withColumn("pid", F.coalesce("place_id", F.lit(_NULL_GROUP)))
+    postings = named.select("pid", F.explode(_token_pairs(F.col("pt"))).alias("probe"))
+    postings = postings.join(probes.select("probe").distinct(), "probe", "left_semi").distinct()
+    candidates = probes.select("key", "qt", "probe").join(postings, "probe").select("key", "qt", "pid")
     # verify containment; for short token sets a linear scan beats hashing
-    hits = probes.join(index, "t").where(F.forall("qt", lambda x: F.array_contains("pt", x)))
+    hits = candidates.join(named, "pid").where(F.forall("qt", lambda x: F.array_contains("pt", x)))
     g = F.coalesce(F.col("group_id"), F.lit(_NULL_GROUP))
     agg = hits.groupBy("key").agg(
         F.count(F.lit(1)).alias("n_hits"),
@@ -112,8 +123,8 @@ def token_lookup(texts: DataFrame, index: DataFrame, collapse: bool, text_col: s
 
 
 def token_frequencies(index: DataFrame) -> DataFrame:
-    """Posting-list length per token (partial aggregation map-side)."""
-    return index.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    """Number of places per token (partial aggregation map-side)."""
+    return index.select(F.explode("pt").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
 
 
 def unique_keys(places: DataFrame, keys: list[str], id_col: str = "place_id") -> DataFrame:
@@ -221,8 +232,8 @@ def cascade(
     group_id: str | None = "group_id",
     results_col: str = "results",
     materialize: bool = True,
-    strategy: str = "auto",
-    min_chain_rows: int = 1_000_000,
+    strategy: str = "all",
+    pass_col: str | None = None,
 ) -> DataFrame:
     """Resolve rows still 'Not Found' through ``passes`` in order.
 
@@ -231,13 +242,12 @@ def cascade(
     query texts) are written once to the shared folder, since every pass
     reads them; the full rows are read once more for the final merge.
 
-    ``strategy``: ``"chain"`` runs the passes in order, each on the rows the
-    earlier passes left unresolved (work shrinks as rows resolve; one staged
-    table per pass); ``"all"`` evaluates every pass for every unresolved row
-    in one job and keeps the lowest pass that hit (fewer jobs, more lookups);
-    ``"auto"`` chains while at least ``min_chain_rows`` rows are unresolved
-    and each pass resolves at least half of its input, then finishes the
-    remaining passes all at once. All give the same answer.
+    ``strategy``: ``"all"`` evaluates every pass for every unresolved row in
+    one job and keeps the lowest pass that hit (fewer jobs, more lookups);
+    ``"chain"`` runs the passes in order, each on the rows the earlier passes
+    left unresolved (work shrinks as rows resolve; one staged table per pass).
+    Both give the same answer, whatever the size. ``pass_col`` names a column
+    to add with the number of the pass that hit (null for the rest).
 
     A hit copies the place id and its 12 attributes and sets 'Success';
     misses keep 'Not Found' with blank attributes and 0/0 coordinates;
@@ -256,28 +266,30 @@ def cascade(
     found: list[DataFrame] = []
     tables = {"group": (places, True, "places"),
               "doc": (units, False, "places" if units is places else "units")}
-    if strategy == "all":
-        found = _all_at_once(pending, row_key, passes, tables, places, place_id, group_id)
-    else:
-        found = _chain(pending, row_key, passes, tables, places, place_id, group_id,
-                       min_rows=0 if strategy == "chain" else min_chain_rows,
-                       min_resolved=0.0 if strategy == "chain" else 0.5)
+    if strategy not in ("all", "chain"):
+        raise ValueError(f"unknown cascade strategy {strategy!r}")
+    run = _all_at_once if strategy == "all" else _chain
+    found = run(pending, row_key, passes, tables, places, place_id, group_id)
 
     if not found:
         # nothing was looked up: unresolved rows still get the miss blanks
         miss = F.col(results_col) == F.lit(NOT_FOUND)
         blanks = {c: F.when(miss, F.lit(0.0) if c in ("PropertyLatitude", "PropertyLongitude") else F.lit(""))
                   .otherwise(F.col(c)) for c in PLACE_RESULT_COLUMNS if c != results_col}
+        if pass_col:
+            blanks[pass_col] = F.lit(None).cast("double")
         return df.drop("__row").withColumns(blanks)
     best = (
         reduce(lambda a, b: a.unionByName(b), found)
         .groupBy("row_key")
         .agg(F.min(F.struct("pass_no", "src", "place_id")).alias("w"))
-        .select("row_key", F.col("w.src").alias("src"), F.col("w.place_id").alias("place_id"))
+        .select("row_key", F.col("w.src").alias("src"), F.col("w.place_id").alias("place_id"), F.col("w.pass_no").alias("pass_no"))
     )
     attrs = _attr_table(places, "places", place_id)
     if units is not places:
         attrs = attrs.unionByName(_attr_table(units, "units", place_id))
+    # one row of attributes per place id (the smallest), so a repeated id never multiplies rows
+    attrs = attrs.groupBy("src", "place_id").agg(F.min(F.struct(*PLACE_ATTRS)).alias("a")).select("src", "place_id", "a.*")
     resolved = best.join(attrs, ["src", "place_id"]).drop("src")
 
     r = resolved.alias("r")
@@ -296,6 +308,8 @@ def cascade(
             v = F.when(hit, F.col(f"r.{c}")).when(miss, F.lit("")).otherwise(F.col(f"d.{c}"))
         sets[c] = v
     keep = [F.col(f"d.`{c}`") if c not in sets else sets[c].alias(c) for c in df.columns if c != "__row"]
+    if pass_col:
+        keep.append(F.col("r.pass_no").alias(pass_col))
     return out.select(*keep)
 
 
@@ -334,18 +348,10 @@ def _all_at_once(pending, row_key, passes, tables, places, place_id, group_id) -
     return found
 
 
-def _chain(pending, row_key, passes, tables, places, place_id, group_id,
-           min_rows: int = 0, min_resolved: float = 0.0) -> list[DataFrame]:
+def _chain(pending, row_key, passes, tables, places, place_id, group_id) -> list[DataFrame]:
     found: list[DataFrame] = []
     indexes: dict[str, tuple[DataFrame, DataFrame]] = {}
-    todo = sorted(passes, key=lambda x: x.number)
-    n = pending.count()   # staged, narrow: cheap
-    while todo and n:
-        if n < min_rows or len(todo) == 1:
-            # few rows left (or one pass): one job for all remaining passes
-            found.extend(_all_at_once(pending, row_key, todo, tables, places, place_id, group_id))
-            break
-        p = todo.pop(0)
+    for p in sorted(passes, key=lambda x: x.number):
         if p.kind == "exact":
             hit = _exact_hits(pending, row_key, p, places, place_id)
         else:
@@ -362,12 +368,8 @@ def _chain(pending, row_key, passes, tables, places, place_id, group_id,
         # only rows this pass left unresolved go on to the next pass
         pending = stage(pending.join(hit.select(F.col("row_key").alias(row_key)), row_key, "left_anti"),
                         "cascade-pending")
-        m = pending.count()
-        if m and todo and (n - m) < min_resolved * n:
-            # this pass resolved little: chaining does not pay, batch the rest
-            found.extend(_all_at_once(pending, row_key, todo, tables, places, place_id, group_id))
+        if pending.isEmpty():
             break
-        n = m
     return found
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..operators import dims, resolve
+from ..operators import dims, metrics, resolve
 from .bind_clean import _homeless_sql
 from .registry import binding, table
 
@@ -222,6 +222,38 @@ def q_j6(spark, d):
                       "PropertyAddressZIP", "address_type", "PropertyLatitude")
 
 
+@binding("j6_cascade_chain", _J6_SQL)
+def q_j6_chain(spark, d):
+    v = resolve.mark_pass01(lineitem_voters(spark, d))
+    out = resolve.cascade(
+        v, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], CASCADE_PASSES, places_from_part(spark, d),
+        places_from_part(spark, d, units=True), strategy="chain"
+    )
+    return resolve.post_rules(out).select("l_orderkey", "l_linenumber", "results", "physical_id", "PropertyAddressFull",
+                                          "PropertyAddressZIP", "address_type", "PropertyLatitude")
+
+
+_PASS_CASE = "CASE WHEN f.r01 = 'Not Found' THEN CASE WHEN ga.pid IS NOT NULL THEN 2.0 WHEN da.pid IS NOT NULL THEN 3.0 " \
+    "WHEN ex.pid IS NOT NULL THEN 5.0 WHEN gb.pid IS NOT NULL THEN 7.0 WHEN db.pid IS NOT NULL THEN 7.1 END END"
+
+
+@binding(
+    "a5_per_pass",
+    _J6_SQL[:_J6_SQL.index("r AS (SELECT h.*")].replace("h AS (SELECT f.*,", f"h AS (SELECT f.*, {_PASS_CASE} AS pass_no,") + """
+    steps AS (SELECT unnest([2.0, 3.0, 5.0, 7.0, 7.1]) AS after)
+    SELECT CAST(after AS DOUBLE) AS pass_no, CASE WHEN h.pass_no <= after THEN 'Success' ELSE r01 END AS results, count(*) AS n
+    FROM h, steps GROUP BY ALL
+    """,
+)
+def q_a5_per_pass(spark, d):
+    v = resolve.mark_pass01(lineitem_voters(spark, d))
+    out = resolve.cascade(
+        v, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], CASCADE_PASSES, places_from_part(spark, d),
+        places_from_part(spark, d, units=True), pass_col="pass_no"
+    )
+    return metrics.per_pass_frequency(out, [p.number for p in CASCADE_PASSES])
+
+
 # ---------------------------------------------------------------- J7
 def _label_rule(c):
     first = F.substring(c, 1, 1)
