@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -19,6 +20,15 @@ def observe_rows(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def observed_rows(obs: Observation) -> int:
+    """The counted rows, after the action. A plan that adaptive execution
+    finds empty is dropped together with its counter; that is 0 rows."""
+    try:
+        return int(obs.get.get("rows", 0))
+    except Py4JJavaError:
+        return 0
+
+
 def per_pass_frequency(df: DataFrame, passes: list[float], results_col: str = "results", pass_col: str = "pass_no",
                        found: str = "Success", missing: str = "Not Found") -> DataFrame:
     """A5 after every pass: ``(pass_no, results, n)`` as the value counts

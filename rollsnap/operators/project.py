@@ -25,7 +25,7 @@ def resolve_contract(columns: list[str], contract: dict[str, list[str]]) -> dict
         hits = [c for c in columns if c in wanted]
         if not hits:
             raise BrokenContract(
-                f"Broken Contract! Missing columns for {target}: {aliases}; headers: {columns}"
+                f"no header among {columns} serves {target} (one of {aliases})"
             )
         resolved[target] = hits[0]
     return resolved

@@ -10,6 +10,7 @@ from ..functions import keys as K
 from ..functions import predicates as P
 from ..functions import text as X
 from ..operators import dedup, diff, filters, metrics, project, reshape
+from . import feeds
 from .registry import binding, table
 
 AS_OF_YEAR = 2024
@@ -308,19 +309,6 @@ def wide_history(spark, d):
     return wide.select(vid.alias("VOTER_ID"), F.lit("x").alias("NOTES"), *[c for c in wide.columns if c != "o_custkey"])
 
 
-def history_long(df, state: str = "or"):
-    """E4 core: rename, de-dup, sentinel, headers, marks, unpivot, ITV drop,
-    state column, final projection, de-dup."""
-    df = project.rename(df, {"VOTER_ID": "state_voter_id"})
-    df = dedup.distinct_rows(df)
-    df = filters.drop_sentinel(df, "state_voter_id")
-    df = reshape.election_headers(df, "state_voter_id")
-    df = reshape.unpivot_marks(df, "state_voter_id")
-    df = filters.drop_ineligible(df, "voted")
-    df = project.with_constants(df, {"state": state.upper()})
-    return dedup.distinct_rows(project.final_projection(df, ["state", "state_voter_id", "election_date", "voted"]))
-
-
 @binding(
     "p5_history_long",
     """
@@ -334,7 +322,7 @@ def history_long(df, state: str = "or"):
     """,
 )
 def q_p5(spark, d):
-    return history_long(wide_history(spark, d))
+    return feeds.history_long(wide_history(spark, d))
 
 
 # ---------------------------------------------------------------- C2 C3 C14 C16 C17

@@ -133,7 +133,7 @@ def q_e7(spark, d):
 _BALLOT_HEADER = "VOTER_ID\tRECEIVE_DATE\tBALLOT_STYLE"
 
 
-LINES_PER_BUNDLE = 50_000
+BUCKETS = 4   # folders per election month
 
 
 def _ballot_lines(spark, d, stale: bool, buckets: int):
@@ -156,7 +156,7 @@ def _ballot_lines(spark, d, stale: bool, buckets: int):
         line = F.concat_ws("\t", F.col("o_custkey").cast("string"), F.lit("01-01-1900"), F.lit("stale"))
     return j.select(
         F.concat_ws("/", month, bucket).alias("folder"),
-        F.concat(F.lit("Ex-VoterNotVoted-x-"), month, F.lit("_"), F.col("n_name"), F.lit(".txt")).alias("member"),
+        F.concat(F.lit("received-"), month, F.lit("_"), F.col("n_name"), F.lit(".txt")).alias("member"),
         F.col("o_orderkey").alias("seq"),
         line.alias("line"),
     )
@@ -174,19 +174,15 @@ _DAILY_SQL = """
 
 def _daily_bundles(spark, d) -> str:
     root = scratch_path(spark, "raw-daily")
-    # one folder per (election month, bucket); buckets keep a bundle near
-    # LINES_PER_BUNDLE lines however large the tables grow
-    o = table(spark, d, "orders")
-    months = o.select(F.date_format("o_orderdate", "yyyy-MM")).distinct().count()
-    buckets = max(1, -(-o.count() // (LINES_PER_BUNDLE * max(months, 1))))
-    write_zip_bundles(_ballot_lines(spark, d, True, buckets), root, _BALLOT_HEADER, "older.zip").count()
-    write_zip_bundles(_ballot_lines(spark, d, False, buckets), root, _BALLOT_HEADER, "ballots.zip").count()
+    # one folder per (election month, bucket) at any size
+    write_zip_bundles(_ballot_lines(spark, d, True, BUCKETS), root, _BALLOT_HEADER, "older.zip").count()
+    write_zip_bundles(_ballot_lines(spark, d, False, BUCKETS), root, _BALLOT_HEADER, "ballots.zip").count()
     return root
 
 
 @binding("e6_daily_voted_load", _DAILY_SQL)
 def q_e6_load(spark, d):
-    ballots = feeds.daily_voted(spark, _daily_bundles(spark, d), "OR")
+    ballots = feeds.daily_voted(spark, _daily_bundles(spark, d), "OR", positions=True)
     out = scratch_path(spark, "daily-tables")
     feeds.daily_voted_load(ballots, out)
     if feeds.daily_voted_load(ballots, out)["history"]:   # a re-delivery adds nothing
@@ -240,7 +236,7 @@ def q_k8(spark, d):
     store = scratch_path(spark, "store")
     sinks.write_layer(docs, store + "/v1")
     newer = docs.where(F.col("status") == "O").withColumn("status", F.lit("X"))
-    merged = sinks.keyed_upsert(spark.read.parquet(store + "/v1"), newer, ["id"])
+    merged = sinks.keyed_upsert(spark.read.parquet(store + "/v1"), newer, ["id"], [])
     return sinks.write_layer(merged, store + "/v2")
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_scope
 from ..sources import delimited, sinks
 from . import feeds
 
@@ -28,48 +29,55 @@ def run_voters(
     sep: str = ",",
     view: str | None = None,
     tie_breakers: list[str] | None = None,
+    json_path: str | None = None,
+    sample: int | None = None,
 ) -> DataFrame:
     """E1 -> E2 -> E3 for one delivery: clean the raw roll (all files of the
-    snapshot folder), resolve addresses, replace the dated partition of the
-    voters table (optionally repointing ``view``). Returns the published rows;
-    rejected rows (type or length) are written next to the table."""
+    snapshot folder) into the processed layer, resolve addresses, replace the
+    dated partition of the voters table and make it current (optionally also
+    JSON documents). Returns the published rows; rejected rows (type or
+    length) are written next to the table. Staged tables are deleted at the
+    end."""
     raw = delimited.read_delimited(spark, raw_files, sep)
-    clean = feeds.voters_clean(raw, file_date, as_of_year, tie_breakers)
-    resolved = feeds.voters_resolve(clean, places, units, names, file_date, state)
-    good, rejects = feeds.voters_publish(resolved, table_path, file_date, view)
-    sinks.json_lines(rejects, f"{table_path}__rejects/file_date={file_date}")
+    with scratch_scope(spark):
+        clean = feeds.voters_clean(raw, file_date, as_of_year, tie_breakers, sample)
+        clean = sinks.write_layer(clean, f"{table_path}__processed/file_date={file_date}")
+        resolved = feeds.voters_resolve(clean, places, units, names, file_date, state)
+        _, rejects = feeds.voters_publish(resolved, table_path, file_date, view, json_path)
+        sinks.json_lines(rejects, f"{table_path}__rejects/file_date={file_date}")
     return spark.read.parquet(table_path).where(F.col("file_date") == F.lit(str(file_date)).cast("date"))
 
 
 def run_history(spark: SparkSession, raw_files: str, table_path: str, state: str, sep: str = ",") -> int:
     """E4 -> E5: wide history extract to long form, appended per election
     date without duplicates. Returns rows appended."""
-    long = feeds.history_long(delimited.read_delimited(spark, raw_files, sep), state)
-    return feeds.history_publish(long, table_path)
+    with scratch_scope(spark):
+        long = feeds.history_long(delimited.read_delimited(spark, raw_files, sep), state)
+        return feeds.history_publish(sinks.write_layer(long, f"{table_path}__processed"), table_path)
 
 
 def run_daily_voted(spark: SparkSession, bundle_root: str, tables_root: str, state: str) -> dict[str, int]:
     """Newest bundle per dated folder -> ballots -> processed layer,
     keyed store, insert-only current/history tables."""
-    return feeds.daily_voted_load(feeds.daily_voted(spark, bundle_root, state), tables_root)
+    with scratch_scope(spark):
+        return feeds.daily_voted_load(feeds.daily_voted(spark, bundle_root, state, positions=True), tables_root)
 
 
 def run_motor_voter(spark: SparkSession, snapshot_glob: str, ledger_path: str, state: str,
-                    sep: str = ",") -> DataFrame:
-    """E7 (all snapshots at once): the first-seen ledger rebuilt from every
-    dated folder and written in place of the old one."""
-    ledger = feeds.motor_voter(feeds.read_motor_snapshots(spark, snapshot_glob, sep), state)
-    ledger.write.mode("overwrite").parquet(ledger_path)
-    return spark.read.parquet(ledger_path)
+                    sep: str = ",") -> int:
+    """Rows of the given dated folders that the ledger has not seen yet,
+    each with its first date among them, appended to it. What earlier runs
+    wrote stays; an empty delivery changes nothing. Returns rows appended."""
+    return feeds.motor_voter_load(feeds.read_motor_snapshots(spark, snapshot_glob, sep), ledger_path, state)
 
 
 def run_precincts(spark: SparkSession, raw_files: str, table_path: str, file_date, state: str,
                   sep: str = ",", csv_folder: str | None = None, view: str | None = None) -> DataFrame:
     """precinct/district link table for one delivery, dated partition
-    replaced; optional current view and header-less CSV drop."""
+    replaced and made current; final layer, optional header-less CSV drop."""
     raw = delimited.read_delimited(spark, raw_files, sep)
     df = feeds.precincts(raw, file_date, state)
-    return feeds.precincts_load(df, table_path, csv_folder, view)
+    return feeds.precincts_load(df, table_path, csv_folder, view, file_date, f"{table_path}__final/file_date={file_date}")
 
 
 __all__ = ["run_voters", "run_history", "run_daily_voted", "run_motor_voter", "run_precincts"]

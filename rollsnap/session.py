@@ -1,14 +1,17 @@
-"""Session helpers: a local session for tests/bench, the shared scratch folder,
-and size-checked broadcasting."""
+"""Session helpers: a local session for tests/bench and the shared scratch folder."""
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+_LOCAL_DIRS: dict[str, str] = {}
+_SCOPE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "rollsnap") -> SparkSession:
@@ -36,14 +39,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    On a cluster this setting names a folder every executor can reach; we
-    only invent one (under /tmp) when it is unset, which happens in local
-    tests and the bench.
+    The setting names a folder every executor can reach. Where it is unset a
+    temporary folder serves, but only in local mode (tests and the bench): on
+    a cluster each executor would write to a disk of its own, so the missing
+    setting is an error there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="rollsnap-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master!r})")
+        app = spark.sparkContext.applicationId
+        path = _LOCAL_DIRS.get(app) or _LOCAL_DIRS.setdefault(app, tempfile.mkdtemp(prefix="rollsnap-ckpt-"))
     try:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(path)
@@ -54,24 +61,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one run's output."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``), so a large input
-    stops early; beyond the bound the frame is returned unhinted and the
-    join falls back to a shuffle (sort-merge / shuffled-hash) join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -84,23 +77,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def cluster_conf(shuffle_bytes: int | None = None, partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings the feeds are designed for on a large cluster: AQE with skew
-    splitting, shuffle partitions sized from the expected shuffle volume,
-    128 MB input splits for the raw extracts. ``spark.checkpoint.dir`` must
-    name shared storage; it is read from the session, never invented there."""
-    conf = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
-        "spark.sql.files.maxPartitionBytes": str(128 << 20),
-        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
-    }
-    if shuffle_bytes:
-        conf["spark.sql.shuffle.partitions"] = str(max(200, shuffle_bytes // partition_bytes))
-    return conf
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's file system, if it exists."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Folders that ``scratch_path`` hands out inside the scope are deleted
+    when it ends: a job's staged tables do not outlive it."""
+    here: list[str] = []
+    token = _SCOPE.set(here)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in here:
+            delete_path(spark, path)
 
 
 _SHIPPED: set[str] = set()

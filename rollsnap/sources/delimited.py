@@ -11,6 +11,7 @@ and the groups are combined with ``unionByName(allowMissingColumns=True)``.
 from __future__ import annotations
 
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +21,12 @@ from ..operators.project import resolve_contract
 from ..operators.reshape import union_by_name
 
 # ---------------------------------------------------------------------------
-# Fixed value: the date embedded in a snapshot folder name (2024_01_02 or
-# 2024-01-02).
+# Fixed value: the name of a snapshot folder (2024_01_02 or 2024-01-02, also
+# as the value of a partition folder).
 # ---------------------------------------------------------------------------
-SNAPSHOT_DATE = r"(\d{4}[_-]\d{2}[_-]\d{2})"
+SNAPSHOT_DATE = r"/(?:[^/=]+=)?(\d{4}[_-]\d{2}[_-]\d{2})(?=/)"
 # ---------------------------------------------------------------------------
+PEEK_THREADS = 16
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -63,43 +65,12 @@ def header_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
     return line.lstrip("﻿").rstrip("\r")
 
 
-# Beyond this many files, header lines are read by Spark tasks in parallel.
-PARALLEL_HEADER_FILES = 64
-
-
-def _first_lines(batches, encoding: str = "UTF-8"):
-    import pandas as pd
-    from pyarrow import fs as pafs
-
-    for pdf in batches:
-        out = []
-        for path in pdf["path"]:
-            uri = path if "://" in path else "file://" + path
-            if uri.startswith("file:/") and not uri.startswith("file://"):
-                uri = "file://" + uri[len("file:"):]
-            filesystem, p = pafs.FileSystem.from_uri(uri)
-            with filesystem.open_input_stream(p) as f:
-                head = b""
-                while b"\n" not in head:
-                    chunk = f.read(65536)
-                    if not chunk:
-                        break
-                    head += chunk
-            line = head.split(b"\n", 1)[0].decode(encoding, errors="replace")
-            out.append(line.lstrip("\ufeff").rstrip("\r"))
-        yield pd.DataFrame({"path": list(pdf["path"]), "header": out})
-
-
 def header_lines(spark: SparkSession, files: list[str], encoding: str = "UTF-8") -> dict[str, str]:
-    """Header line of every file. A few files are peeked from the driver;
-    many files (an object store answers each open slowly) are peeked by
-    Spark tasks in parallel, and only (path, header) pairs come back."""
-    if len(files) <= PARALLEL_HEADER_FILES:
-        return {f: header_line(spark, f, encoding) for f in files}
-    paths = spark.createDataFrame([(f,) for f in files], "path string")
-    paths = paths.repartition(min(len(files) // 8 + 1, spark.sparkContext.defaultParallelism * 4))
-    rows = paths.mapInPandas(lambda it: _first_lines(it, encoding), "path string, header string").collect()
-    return {r.path: r.header for r in rows}
+    """Header line of every file, peeked through Spark's file system by a few
+    threads (an object store answers each open slowly); only (path, header)
+    pairs are held, one per raw file."""
+    with ThreadPoolExecutor(PEEK_THREADS) as pool:
+        return dict(zip(files, pool.map(lambda f: header_line(spark, f, encoding), files)))
 
 
 def read_delimited(
@@ -109,10 +80,13 @@ def read_delimited(
     encoding: str = "UTF-8",
     with_path: bool = False,
     contract: dict[str, list[str]] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All files of one (or many) snapshot folders as one all-string
     table, bound by header name. With ``contract`` (P1) each header group is
-    projected on its own, so the alias chosen follows each file's order."""
+    projected on its own, so the alias chosen follows each file's order.
+    Quoted fields may hold the separator and doubled quotes; with
+    ``multi_line`` also line ends (such files are read whole by one task)."""
     files = list_files(spark, paths) if isinstance(paths, str) else list(paths)
     if not files:
         raise FileNotFoundError(f"no files under {paths}")
@@ -127,6 +101,9 @@ def read_delimited(
             .option("encoding", encoding)
             .option("inferSchema", False)
             .option("mode", "PERMISSIVE")
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("multiLine", multi_line)
             .csv(files_)
         )
         path_col = F.col("_metadata.file_path")
@@ -147,16 +124,17 @@ def _project_with_path(df: DataFrame, contract, with_path: bool) -> DataFrame:
 
 
 def snapshot_date(path_col) -> "F.Column":
-    """The snapshot date embedded in a file path (``2024_01_02`` or
-    ``2024-01-02``) as DATE."""
+    """The date of the snapshot folder of a file (``2024_01_02`` or
+    ``2024-01-02``; the innermost one) as DATE, null without such a folder."""
     c = F.col(path_col) if isinstance(path_col, str) else path_col
-    txt = F.regexp_replace(F.regexp_extract(c, SNAPSHOT_DATE, 1), "_", "-")
-    return F.try_to_date(F.nullif(txt, F.lit("")), "yyyy-MM-dd")
+    txt = F.regexp_replace(F.get(F.reverse(F.regexp_extract_all(c, F.lit(SNAPSHOT_DATE), F.lit(1))), F.lit(0)), "_", "-")
+    return F.try_to_date(txt, "yyyy-MM-dd")
 
 
 def read_snapshots(spark: SparkSession, root_glob: str, sep: str = ",", encoding: str = "UTF-8",
                    contract: dict[str, list[str]] | None = None) -> DataFrame:
     """Every dated snapshot under ``root_glob`` (e.g. ``raw/*/omv``) in
-    **one** job, each row tagged with ``file_date`` from its folder name."""
+    **one** job, each row tagged with ``file_date`` from its folder name.
+    Files outside a dated folder belong to no snapshot and are skipped."""
     df = read_delimited(spark, root_glob, sep, encoding, with_path=True, contract=contract)
-    return df.withColumn("file_date", snapshot_date("_source_path")).drop("_source_path")
+    return df.withColumn("file_date", snapshot_date("_source_path")).where("file_date IS NOT NULL").drop("_source_path")

@@ -1,33 +1,33 @@
 """Zip-bundle TSV scans.
 
 ``.zip`` is not a Hadoop codec, so bundles are read with the ``binaryFile``
-source and unpacked by a small ``mapInPandas`` helper that emits one row per
-text line ``(zip_path, member, member_no, line_no, line)``. Everything after
-that - header binding, malformed-line filtering, county from the member name,
-union - is Spark SQL. A zip file is unsplittable, so one bundle is one task.
+source and unpacked by a small ``mapInArrow`` helper that streams each member
+through Python's ``csv`` rules and emits one row per record with the member's
+own header. Everything after that - binding columns by header name, county,
+union - is Spark SQL. A zip file is unsplittable, so one bundle is one task
+(and ``binaryFile`` holds it whole: at most 2 GiB); members are decoded in
+chunks, never whole.
 """
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..operators.reshape import union_by_name
-from ..session import scratch_path, sized_broadcast
-
-LINES_SCHEMA = T.StructType([
-    T.StructField("zip_path", T.StringType()),
-    T.StructField("member", T.StringType()),
-    T.StructField("member_no", T.IntegerType()),
-    T.StructField("line_no", T.IntegerType()),
-    T.StructField("line", T.StringType()),
-])
+
+from ..session import scratch_path, ship_package
+
+RECORDS = ("zip_path string, member string, member_no int, line_no int, county string, "
+           "header array<string>, fields array<string>")
 # Members whose name holds this text are documentation, not data.
 README_MARK = "readme"
+# Records of one Arrow batch.
+RECORDS_PER_BATCH = 20_000
 
 
 def newest_per_folder(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
@@ -43,82 +43,119 @@ def newest_per_folder(spark: SparkSession, root: str, glob: str = "*.zip") -> Da
     )
 
 
-def _unzip(batches):
-    import pandas as pd
+class _Lines(io.TextIOBase):
+    """Text lines of a member, ended by CR LF, LF or CR and nothing else."""
+
+    def __init__(self, raw):
+        self._text = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace", newline=None)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._text)
+
+
+def member_county(name: str) -> str:
+    """Text after the last '_' and before the first '.' of the base name."""
+    return name.rsplit("/", 1)[-1].rsplit("_", 1)[-1].split(".", 1)[0]
+
+
+def read_records(raw) -> Iterator[tuple[int, list[str], list[str | None]]]:
+    """(record number, header, fields) of a tab-separated member: a quote
+    opens a quoted field only where a field begins, quoted fields may hold
+    tabs and line ends, a doubled quote is one quote. Blank lines and records
+    with more fields than the header are left out; short records are padded
+    with nulls and empty fields are null."""
+    csv.field_size_limit(1 << 30)
+    header: list[str] | None = None
+    for no, row in enumerate(csv.reader(iter(_Lines(raw)), delimiter="\t")):
+        if not any(row):
+            continue
+        if header is None:
+            header = row
+        elif len(row) <= len(header):
+            yield no, header, [f or None for f in row] + [None] * (len(header) - len(row))
+
 
-    cols = [f.name for f in LINES_SCHEMA.fields]
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [f.split()[0] for f in RECORDS.split(", ")]
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string())]
+    for batch in batches:
+        for path, content in zip(batch.column(0), batch.column(1)):
+            path = path.as_py()
+            with zipfile.ZipFile(io.BytesIO(content.as_py())) as zf:
                 for member_no, name in enumerate(zf.namelist()):
                     base = name.rsplit("/", 1)[-1]
                     if not base or README_MARK in name:
                         continue
-                    lines = zf.read(name).decode("utf-8", errors="replace").splitlines()
-                    # one Arrow batch per member keeps memory to one member
-                    yield pd.DataFrame({
-                        "zip_path": path, "member": name, "member_no": member_no,
-                        "line_no": range(len(lines)), "line": lines,
-                    }, columns=cols)
-
-
-def zip_lines(spark: SparkSession, paths: list[str] | DataFrame) -> DataFrame:
-    """S2 (raw): text lines of every data member of the given bundles."""
+                    held = []
+                    with zf.open(name) as raw:
+                        for no, header, fields in read_records(raw):
+                            held.append((path, name, member_no, no, member_county(name), header, fields))
+                            if len(held) == RECORDS_PER_BATCH:
+                                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
+                                held = []
+                    if held:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
+
+
+def zip_records(spark: SparkSession, paths: list[str] | DataFrame) -> DataFrame:
+    """S2 (raw): records of every data member of the given bundles, written
+    once to the shared folder: the unpacking runs once, later stages re-read
+    columnar data, and the lineage is cut before the heavy work."""
+    ship_package(spark)
     if isinstance(paths, DataFrame):
         # only file names reach the driver (one row per bundle)
         paths = [r.path for r in paths.select("path").collect()]
-    # A zip cannot be split: each bundle is unpacked whole by one task (small
-    # bundles may share a task); binary content is never shuffled.
-    bins = spark.read.format("binaryFile").load(paths)
-    return bins.select("path", "content").mapInPandas(_unzip, LINES_SCHEMA)
-
-
-def staged_zip_lines(spark: SparkSession, paths) -> DataFrame:
-    """S2 lines written once to parquet in the shared folder, so the Python
-    unpack runs once and later stages (header scan, parsing) re-read columnar
-    data; this also cuts the lineage before the heavy work."""
-    out = scratch_path(spark, "zip-lines")
-    zip_lines(spark, paths).write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
-
-
-def _field_count(line):
-    # tabs inside double-quoted fields do not separate fields
-    return F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), "\t"))
+    out = scratch_path(spark, "zip-records")
+    if paths:
+        records = spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(_unzip, RECORDS)
+    else:
+        records = spark.createDataFrame([], RECORDS)
+    records.write.mode("overwrite").parquet(out)
+    return spark.read.schema(RECORDS).parquet(out)
+
+
+def column_names(headers: list[list[str]], taken: tuple[str, ...]) -> dict[str, tuple[str, int]]:
+    """Output column -> (header name, which occurrence of it). A name that
+    repeats in one header, or that equals another one but for case, gets a
+    numbered suffix; a header column named exactly like one of ``taken`` is
+    replaced by it."""
+    out: dict[str, tuple[str, int]] = {}
+    used = {t.lower() for t in taken}
+    for header in headers:
+        seen: dict[str, int] = {}
+        for name in header:
+            seen[name] = seen.get(name, 0) + 1
+            if name in taken or (name, seen[name]) in out.values():
+                continue
+            label, k = name, 0
+            while label.lower() in used:
+                k += 1
+                label = f"{name}.{k}"
+            used.add(label.lower())
+            out[label] = (name, seen[name])
+    return out
+
+
+def _places_of(name: str):
+    """Places (from 0) of a name in the record's own header."""
+    return F.filter(F.sequence(F.lit(0), F.size("header") - 1), lambda i: F.get("header", i) == F.lit(name))
 
 
 def read_zip_tsv(spark: SparkSession, paths, county_col: str = "county") -> DataFrame:
     """S2 + S4 + S5 + U1: members of the bundles as one all-string table.
 
-    * each member's first line is its header; members are bound by header name
-      and unioned (``unionByName``, missing columns null);
-    * lines with **more** fields than the header are dropped, shorter lines
-      are null-padded (the source's skip-bad-lines rule); blank lines skipped;
-    * ``county`` = text after the last '_' and before the first '.' of the
-      member's base name;
+    * columns are bound by header name, whatever each member's own header is;
+      a column that a member lacks is null;
+    * records with **more** fields than the header are dropped, shorter ones
+      null-padded, blank lines skipped (the source's skip-bad-lines rule);
+    * ``county`` comes from the member's name;
     * ``member_no`` / ``line_no`` keep file order for keep-last de-dup.
     """
-    lines = staged_zip_lines(spark, paths).where(F.col("line") != "")
-    first = lines.groupBy("zip_path", "member").agg(F.min("line_no").alias("line_no"))
-    headers = lines.join(first, ["zip_path", "member", "line_no"]).select(
-        "zip_path", "member", F.col("line").alias("header_line"), F.col("line_no").alias("header_no")
-    )
-    distinct_headers = [r.header_line for r in headers.select("header_line").distinct().collect()]
-    data = lines.join(sized_broadcast(headers, 1_000_000), ["zip_path", "member"]).where(
-        F.col("line_no") > F.col("header_no")
-    )
-    base = F.element_at(F.split("member", "/"), -1)
-    county = F.split(F.element_at(F.split(base, "_"), -1), "\\.").getItem(0)
-    frames = []
-    for h in distinct_headers:
-        names = h.split("\t")
-        ddl = ", ".join(f"`{n}` STRING" for n in names)
-        part = data.where((F.col("header_line") == h) & (_field_count(F.col("line")) <= len(names)))
-        parsed = F.from_csv("line", ddl, {"sep": "\t", "mode": "PERMISSIVE"})
-        frames.append(
-            part.select("zip_path", "member_no", "line_no", county.alias(county_col), parsed.alias("r"))
-            .select("zip_path", "member_no", "line_no", county_col, *[F.col(f"r.`{n}`").alias(n) for n in names])
-        )
-    if not frames:
-        return spark.createDataFrame([], "zip_path string, member_no int, line_no int, county string")
-    return union_by_name(frames)
+    records = zip_records(spark, paths)
+    headers = sorted(r.header for r in records.select("header").distinct().collect())
+    taken = ("zip_path", "member_no", "line_no", county_col)
+    columns = []
+    for label, (name, nth) in column_names(headers, taken).items():
+        # place of the nth column of that name in the record's own header
+        columns.append(F.get("fields", F.get(_places_of(name), F.lit(nth - 1))).alias(label))
+    return records.select("zip_path", "member_no", "line_no", F.col("county").alias(county_col), *columns)

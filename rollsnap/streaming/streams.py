@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.diff import new_rows
-from ..operators.metrics import observe_rows
-from ..sources.sinks import _touched_partitions, append_rows
-from ..sources.tables import table_exists
+from ..operators.metrics import observe_rows, observed_rows
+from ..operators.dedup import first_by_order
+from ..sources.sinks import append_rows, read_existing, touched_partitions
 
 
 def json_tail(spark: SparkSession, folder: str, schema: T.StructType | str, max_files: int | None = None) -> DataFrame:
@@ -54,7 +54,8 @@ def append_unseen_stream(
     max_files: int | None = 1,
     source_format: str = "parquet",
 ) -> list[int]:
-    """Drain ``source`` into ``target`` appending only unseen rows.
+    """Drain ``source`` into ``target`` appending only unseen rows; with
+    ``on`` only rows of unseen keys, one per key.
 
     Returns the number of rows each micro-batch appended.
     """
@@ -62,15 +63,19 @@ def append_unseen_stream(
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         fresh = batch.distinct()
-        if table_exists(spark, target):
-            old = spark.read.parquet(target)
-            if partition_by:
-                # only the partitions this batch touches are read
-                old = _touched_partitions(old, fresh, partition_by)
+        if on:
+            # the first row of a key by its other columns (e.g. its date)
+            rest = [F.col(f"`{c}`").asc_nulls_last() for c in fresh.columns if c not in on]
+            fresh = first_by_order(fresh, on, rest or [F.lit(0)])
+        old = read_existing(fresh, target)
+        if old is not None:
+            if partition_by and not on:
+                # whole rows can only repeat in the partitions this batch touches
+                old = touched_partitions(old, fresh, partition_by)
             fresh = new_rows(fresh, old.select(*fresh.columns), on)
         fresh, obs = observe_rows(fresh, f"batch-{epoch_id}")
         append_rows(fresh, target, partition_by)
-        appended.append(int(obs.get.get("rows", 0)))
+        appended.append(observed_rows(obs))
 
     reader = spark.readStream.format(source_format).schema(schema)
     if max_files:

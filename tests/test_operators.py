@@ -153,7 +153,7 @@ def test_j6_strategies_agree(spark):
     assert ("1", "Success", "d3") in got["all"] and ("0", "Success", "d1") in got["all"]
 
 
-def test_header_peek_parallel_matches_driver(spark, tmp_path):
+def test_header_map_of_many_files(spark, tmp_path):
     from rollsnap.sources import delimited
 
     files = []
@@ -179,7 +179,7 @@ def test_keep_last_and_upsert_limit_before_the_shuffle(spark):
     from rollsnap.sources import sinks
 
     df = spark.range(1000).selectExpr("CAST(id % 3 AS STRING) AS id", "id AS line_no")
-    for out in (dedup.keep_last(df, ["id"], ["line_no"]), sinks.keyed_upsert(df, df, ["id"])):
+    for out in (dedup.keep_last(df, ["id"], ["line_no"]), sinks.keyed_upsert(df.select("id"), df, ["id"], ["line_no"])):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("WindowGroupLimit") >= 2, plan
 
@@ -234,3 +234,66 @@ def test_j6_without_passes_blanks_misses(spark):
         "id string, physical_address_1 string, physical_address_2 string, confidential string, precinct_link string"))
     out = resolve.cascade(rows, "id", [], places).first()
     assert out.results == "Not Found" and out.physical_id == "" and out.PropertyLatitude == 0.0
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_anti_join_shuffles_each_side_once(spark):
+    from rollsnap.operators import diff
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = spark.range(1000).selectExpr("id AS k", "CAST(id AS STRING) AS v")
+        assert _exchanges(diff.new_rows(a, a.where("k < 10"), ["k"])) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_history_long_shuffles_once(spark):
+    from rollsnap.plans import feeds
+
+    raw = spark.createDataFrame([("1", "yes", "x"), ("1", "yes", "x"), ("ACP", "no", "y")], "VOTER_ID string, `5/17/2022` string, NOTES string")
+    out = feeds.history_long(raw)
+    assert _exchanges(out) == 1 and out.count() == 1
+
+
+def test_candidates_per_query_do_not_grow_with_places(spark):
+    """Addresses of a large vocabulary: ten times the places hold every single
+    token ten times as often, but a pair of them hardly more often."""
+    from pyspark.sql import functions as F
+
+    def pairs_met(n):
+        places = spark.range(n).selectExpr(
+            "CAST(id AS STRING) AS place_id", "CAST(id AS STRING) AS group_id",
+            "concat_ws(' ', id % 997, concat('st', id DIV 7 % 5003), concat('zip', id % 89), 'or') AS PropertyAddressFull")
+        index = resolve.index_places(places).cache()
+        freq = resolve.token_frequencies(index)
+        texts = places.where("id % 50 = 0").select(F.col("PropertyAddressFull").alias("text"))
+        q = texts.select(resolve.token_key("text").alias("key")).distinct()
+        rare = (q.select("key", F.explode(F.split("key", " ")).alias("t")).join(freq, "t").groupBy("key")
+                .agg(F.array_join(F.array_sort(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("df", "t"))), 1, 2), lambda x: x["t"])), " ").alias("probe")))
+        postings = index.select("place_id", F.explode(resolve._token_pairs(F.col("pt"))).alias("probe"))
+        found = rare.join(postings, "probe").count() / rare.count()
+        accepted = resolve.token_lookup(texts, index, True).count()
+        index.unpersist()
+        return found, accepted
+
+    (small, _), (large, accepted) = pairs_met(2_000), pairs_met(20_000)
+    assert large <= 2 * small and large < 4
+    assert accepted > 0
+
+
+def test_repeated_place_ids_do_not_multiply_rows(spark):
+    from pyspark.sql import functions as F
+
+    places = spark.createDataFrame([("p1", "g1", "1 main st"), ("p1", "g1", "1 main st")], "place_id string, group_id string, PropertyAddressFull string")
+    for c in resolve.PLACE_ATTRS:
+        if c not in places.columns:
+            places = places.withColumn(c, F.lit("1"))
+    rows = spark.createDataFrame([("a", "1 main", "Not Found")], "id string, t string, results string")
+    for c in ["physical_id"] + resolve.PLACE_ATTRS:
+        rows = rows.withColumn(c, F.lit(None).cast("double" if c.startswith("PropertyL") else "string"))
+    out = resolve.cascade(rows, "id", [resolve.Pass(2.0, "group", "t")], places, pass_col="pass_no")
+    assert [(r.id, r.results, r.pass_no) for r in out.collect()] == [("a", "Success", 2.0)]

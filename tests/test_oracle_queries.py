@@ -1,6 +1,6 @@
-"""Every registered binding against its DuckDB oracle (the driver's gate),
-plus plan assertions: no nested-loop or cartesian joins, no Python outside
-the zip reader and fixture writers."""
+"""Every binding of the reference's operators against its DuckDB oracle (the
+driver's gate), with plan assertions on the returned frame: no nested-loop or
+cartesian joins, no Python outside the zip reader and fixture writers."""
 
 import os
 
@@ -8,10 +8,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import compare
+from rollsnap.plans import ORACLES, QUERIES, load_all
 
-SF = os.environ.get("ROLLSNAP_TEST_SF", "/root/testdata/sf0.01")
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+load_all()
+SF = os.environ.get("ROLLSNAP_TEST_SF", "/root/testdata/sf0.001")
 
 
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
@@ -19,26 +19,28 @@ def test_every_query_has_an_oracle_or_is_declared_rows_only():
     assert set(QUERIES) - set(ORACLES) <= rows_only
 
 
+def test_entry_lists_every_binding():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
+_PLAN_BANNED = ("BroadcastNestedLoopJoin", "CartesianProduct")
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_oracle(spark, name):
-    ok, msg = compare(spark, QUERIES[name], ORACLES[name], SF)
+    built = []
+
+    def build(s, d):
+        built.append(QUERIES[name](s, d))
+        return built[0]
+
+    ok, msg = compare(spark, build, ORACLES[name], SF)
     assert ok, msg
+    plan = built[0]._jdf.queryExecution().executedPlan().toString()
+    for bad in (*_PLAN_BANNED, "PythonUDF", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, f"{name} plans a {bad}"
 
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "state_voter_id" in df.columns
-
-
-_PLAN_BANNED = ("BroadcastNestedLoopJoin", "CartesianProduct")
-_PYTHON_OK = {"e6_daily_voted"}   # zip unpacking (mapInPandas) and the bundle writer
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plan_shape(spark, name):
-    df = QUERIES[name](spark, SF)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    for bad in _PLAN_BANNED:
-        assert bad not in plan, f"{name} plans a {bad}"
-    if name not in _PYTHON_OK:
-        assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
