@@ -48,6 +48,8 @@ HELD_WORDS = 400_000
 BLOCKS = 32
 #: added to every count
 SMOOTH = 0.1
+#: unigram pseudo-counts of every state, per word of the vocabulary
+PRIOR = 0.5
 
 END = ""
 TAIL = SYMBOLS
@@ -283,7 +285,7 @@ def improve(coded: DataFrame, model: Model, vocab: Vocabulary) -> Model:
     start, step, emit = total[:states], total[states:states + states**2].reshape(states, states), total[states + states**2:].reshape(symbols, states)
     live = len(vocab.words) + 1
     share = ((vocab.counts + SMOOTH) / (vocab.total + SMOOTH * live))[:, None]
-    emit = emit + SMOOTH * share * len(vocab.words)         # pulled a little to the unigram shares
+    emit = emit + PRIOR * share * len(vocab.words)          # pulled to the unigram shares, the more the fewer texts there are
     emit[len(vocab.words):-1] = 0
     return Model((start + 1) / (start.sum() + states), (step + 1) / (step.sum(1, keepdims=True) + states), emit / emit.sum(0))
 
