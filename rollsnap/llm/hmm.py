@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, chunks, fold, ids
@@ -109,7 +109,11 @@ class Vocabulary:
 def vocabulary(counts: DataFrame, size: int = SYMBOLS) -> Vocabulary:
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     end = counts.where(F.col("word") == END).first()
-    top = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(size - 1).toPandas()
+    rest = counts.where(F.col("word") != END)
+    # the count that the last of the most frequent words has: without it every task would send that many words to the driver
+    before = F.coalesce(F.sum("words").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    least = rest.groupBy("n").agg(F.count(F.lit(1)).alias("words")).withColumn("before", before).where(F.col("before") < size - 1).agg(F.min("n")).first()[0]
+    top = rest.where(F.col("n") >= F.lit(least or 0)).orderBy(F.desc("n"), "word").limit(size - 1).toPandas()
     words = [b"", *(w.encode() for w in top.word)]
     n = np.zeros(size + 1, np.int64)
     n[0] = end.n if end else 0
