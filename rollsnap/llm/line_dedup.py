@@ -7,11 +7,12 @@ band's signature (one permutation, several minima). Lines that share a band
 are compared exactly: Jaccard similarity of their sets of shingles of 0.8 or
 more links them, and union-find over the links keeps one line a component.
 
-Within a band's bucket lines are first compared with a leader only, in a few
-rounds with other leaders; lines that are connected by then need no comparison
-any more, and every remaining pair of a bucket is compared at the end. So a
-large group costs about one comparison a line and round, and no candidate
-pair between different groups is left out.
+Each line of a shared bucket is first compared with one leader of its
+buckets, in a few rounds with other leaders; lines that are connected by then
+need no comparison any more, and every remaining pair of a bucket whose sets
+are near enough in size is compared at the end. So a large group costs about
+one comparison a line and round, and no candidate pair between different
+groups is left out.
 
 A line is named by the 64-bit hash of its text; equal lines are one line from
 the start. Shingles are of UTF-16 units.
@@ -42,18 +43,22 @@ ROUNDS = 3
 
 def shingles(line: str | Column, size: int = SHINGLE) -> Column:
     """Hashes of the distinct shingles of a line."""
-    raw = F.encode(line, "UTF-16BE")
-    n = F.greatest(F.octet_length(raw) / 2 - size, F.lit(0)).cast("int")
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.substring(raw, 2 * i + 1, 2 * size))))
+    # the outer transform binds the encoded line: a lambda would encode it anew for every shingle
+    return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-16BE")), lambda raw: F.transform(
+        F.sequence(F.lit(0), F.greatest(F.octet_length(raw) / 2 - size, F.lit(0)).cast("int")),
+        lambda i: F.xxhash64(F.substring(raw, 2 * i + 1, 2 * size))))[0])
 
 
-def band_keys(hashes: Column, bands: int = BANDS, minima: int = MINIMA) -> Column:
-    """One key per band from the smallest hashes of its region. The regions'
-    lower ends are sorted in among the hashes to find where each begins."""
-    ends = [-(1 << 63) + i * ((1 << 64) // bands) for i in range(bands)]
-    ordered = F.array_sort(F.concat(hashes, F.array(*[F.lit(e).cast("long") for e in ends])))
-    return F.transform(F.array(ordered), lambda s: F.array(*[
-        F.xxhash64(F.lit(i), F.slice(s, F.array_position(s, F.lit(e).cast("long")).cast("int") + 1, F.lit(minima))) for i, e in enumerate(ends)]))[0]
+def with_bands(lines: DataFrame, bands: int = BANDS, minima: int = MINIMA) -> DataFrame:
+    """``line`` gives way to ``n`` (distinct shingles) and ``bands``: one key
+    per band from the smallest hashes of its region. The regions' lower ends are sorted in among the
+    hashes to find where each begins. (Each step is a projection of its own,
+    outside of lambdas, so that it is compiled.)"""
+    ends = [F.lit(-(1 << 63) + i * ((1 << 64) // bands)).cast("long") for i in range(bands)]
+    hashed = lines.withColumn("hashes", shingles("line")).drop("line")
+    ordered = hashed.withColumn("n", F.size("hashes")).withColumn("hashes", F.sort_array(F.concat("hashes", F.array(*ends))))
+    keys = [F.xxhash64(F.lit(i), F.slice("hashes", F.array_position("hashes", e).cast("int") + 1, F.lit(minima))) for i, e in enumerate(ends)]
+    return ordered.withColumn("bands", F.array(*keys)).drop("hashes")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -75,34 +80,43 @@ def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def line_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(occurrences, components): rid, doc_id, pos, h of every line with a
     word; and (node, root) of every distinct line with a link."""
-    lines = scratch.write(_lines(docs).withColumn("bands", band_keys(shingles("line"))).drop("line"), "lines")
-    entries = lines.select("h", F.explode("bands").alias("band")).distinct()
+    lines = scratch.write(with_bands(_lines(docs)), "lines")
+    # equal lines are one line before their bands are dealt
+    entries = lines.select("h", "n", "bands").dropDuplicates(["h"]).select("h", "n", F.explode("bands").alias("band"))
     place = Window.partitionBy("band").orderBy("h")
     shared = entries.withColumn("near", F.coalesce(F.lag("h").over(place), F.lead("h").over(place))).where("near IS NOT NULL")
-    buckets = scratch.write(shared.select("band", "h"), "buckets")
+    buckets = scratch.write(shared.select("band", "h", "n"), "buckets")
 
     wanted = buckets.select("h").distinct()
     split = docs.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.xxhash64("line").alias("h"))
     texts = scratch.write(split.join(wanted, "h", "left_semi").dropDuplicates(["h"]), "texts")
 
-    comp = None
+    comp, seen, held = None, None, buckets.withColumn("c", F.col("h"))
     for k in range(ROUNDS + 1):
-        held = buckets.withColumn("c", F.col("h"))
-        if comp is not None:
-            held = buckets.join(comp.withColumnRenamed("node", "h"), "h", "left").select("band", "h", F.coalesce("root", "h").alias("c"))
+        near = "5 * least(n, m) >= 4 * greatest(n, m)"
         if k < ROUNDS:
             turn = Window.partitionBy("band").orderBy(F.xxhash64(F.lit(k), "h"))
-            pairs = held.withColumn("lead", F.first(F.struct("h", "c")).over(turn)).where("lead.c <> c").select(F.col("lead.h").alias("x"), F.col("h").alias("y"))
+            asked = held.withColumn("lead", F.first(F.struct("h", "c", "n")).over(turn)).where("lead.c <> c").withColumn("m", F.col("lead.n")).where(near)
+            pairs = asked.groupBy(F.col("h").alias("y")).agg(F.min_by("lead.h", F.xxhash64(F.lit(k), "lead.h")).alias("x"))
         else:
-            open_bands = held.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
-            left = held.join(open_bands, "band", "left_semi")
-            right = left.select("band", F.col("h").alias("y"), F.col("c").alias("d"))
-            pairs = left.join(right, "band").where("h < y AND c <> d").select(F.col("h").alias("x"), "y")
+            right = held.select("band", F.col("h").alias("y"), F.col("c").alias("d"), F.col("n").alias("m"))
+            pairs = held.join(right, "band").where("h < y AND c <> d").where(near).select(F.col("h").alias("x"), "y")
         pairs = pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+        if seen is not None:        # never compare twice
+            pairs = pairs.join(seen, ["u", "v"], "left_anti")
+        pairs = scratch.write(pairs, f"pairs{k}")
+        seen = pairs if seen is None else seen.unionAll(pairs)
         links = _alike(pairs, texts)
         if comp is not None:
             links = links.unionAll(comp.select(F.col("node").alias("u"), F.col("root").alias("v")))
         comp = components(links, scratch, f"round{k}")
+        if k < ROUNDS:      # buckets of more than one component go on
+            named = buckets.join(comp.withColumnRenamed("node", "h"), "h", "left").select("band", "h", "n", F.coalesce("root", "h").alias("c"))
+            mixed = named.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
+            held = scratch.write(named.join(mixed, "band", "left_semi"), f"open{k}")
+            buckets = held.select("band", "h", "n")
+            if held.isEmpty():
+                break
     return lines.select("rid", "doc_id", "pos", "h"), comp
 
 
