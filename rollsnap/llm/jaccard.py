@@ -8,13 +8,19 @@ first shingles of its set only: two similar sets share one of them. A list
 entry carries the set's size and the shingle's position, so that a list is
 skipped over by size and by the overlap still possible behind the position.
 
-A set's answers are derived from those of a similar set: in a first round
-every class of a list is compared with one leader of the list only. Classes
-that end up connected are never compared again, and for two classes with the
-same leader the triangle inequality of the Jaccard distance rules out most of
-the rest. What remains is compared in a second round, so large groups of near
-copies cost about one comparison per member, not all pairs, and no link
-between different groups is lost.
+Of several lists with the same classes only the first in the global order
+is kept: a pair's first common shingle is never in another of them.
+
+A set's answers are derived from those of a similar set: in a few rounds
+every class outside the largest component of one of its lists is compared
+with some leaders out of that component, with 1, 4, 16, 64 of them as rounds
+go on. The first leader is the least signature, then come the classes most
+similar to their own hub before (in a group of copies, soon their common
+original), then any. Classes that end up connected are never compared again,
+and two classes that met the same hub are ruled out by the triangle
+inequality of the Jaccard distance where it can be. All pairs that remain are
+compared at the end: no link between different groups is lost, and large
+groups of near copies cost a few comparisons per member, not all pairs.
 
 Defined cases: null texts and texts without words have an empty set and no
 links; a text of fewer words than a shingle is one shingle; a null id takes
@@ -29,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import PLAIN_WORD, Scratch, chunks, ids, boxed, row_key, unboxed, mix, powers, rows_of, runs, span_hashes, window_hashes
@@ -44,6 +50,10 @@ COUNTERS, COUNTER_BLOCKS = 1 << 20, 64
 BUCKET_ENTRIES = 1_000_000
 #: text bytes whose entries a task packs into one set of blocks
 RUN_BYTES = 32 << 20
+#: rounds of comparison with leaders before all remaining pairs
+ROUNDS = 4
+#: a round compares a class with at most this many leaders to the power of the round
+LEADERS = 4
 #: pairs looked at in one numpy pass
 PAIR_CHUNK = 4_000_000
 
@@ -201,12 +211,12 @@ def _blocks(got: list, buckets: int) -> Iterator[pa.RecordBatch]:
         yield _records(out, _BLOCK)
 
 
-_LISTS = "key long, sig long, n int, pos int, lead long, ask boolean"
+_LISTS = "members long, key long, sig array<long>, n array<int>, pos array<int>"
 
 
 def _lists(block: pa.Table) -> pa.Table:
-    """Entries of the lists in which some two sets agree in size. The
-    leader of a list is its smallest signature; ``ask``: compare with it."""
+    """Lists in which some two sets agree in size: their classes by size, and
+    a hash of the set of classes. Of equal sets the least key stays."""
     rows = block.to_pylist()
     key = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
     pos = np.concatenate([unpack(r["positions"]) for r in rows])
@@ -229,16 +239,26 @@ def _lists(block: pa.Table) -> pa.Table:
     keep[1:] |= close
     keep[:-1] |= close
     key, sig, n, pos = key[keep], sig[keep], n[keep], pos[keep]
-    lead, ask = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
-    if len(key):
-        group = np.cumsum(_new_group(key)) - 1
-        by = np.lexsort((sig, group))
-        first = by[_new_group(group[by])][group]
-        lead = sig[first]
-        near = (5 * np.minimum(n, n[first]) >= 4 * np.maximum(n, n[first])) & may_link(n, pos, n[first], pos[first])
-        ask = near & (sig != lead)
-    return pa.table([pa.array(key.view(np.int64)), pa.array(sig), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(lead), pa.array(ask)],
-                    ["key", "sig", "n", "pos", "lead", "ask"])
+    edge = np.append(np.flatnonzero(_new_group(key)), len(key)) if len(key) else np.zeros(1, np.int64)
+    members = np.add.reduceat(mix(sig.view(np.uint64)), edge[:-1]) if len(key) else key
+    head = key[edge[:-1]]
+    by = np.lexsort((head, members))
+    least = np.sort(by[_new_group(members[by])])
+    size = np.diff(edge)[least]
+    part = np.repeat(edge[:-1][least] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    cut = pa.array(np.append(0, np.cumsum(size)).astype(np.int32))
+    ascending = (head[least] ^ np.uint64(1 << 63)).view(np.int64)       # signed in the order of the unsigned key
+    return pa.table([
+        pa.array(members[least].view(np.int64)), pa.array(ascending), pa.ListArray.from_arrays(cut, pa.array(sig[part])),
+        pa.ListArray.from_arrays(cut, pa.array(n[part].astype(np.int32))), pa.ListArray.from_arrays(cut, pa.array(pos[part].astype(np.int32)))],
+        ["members", "key", "sig", "n", "pos"])
+
+
+def posting_lists(blocks: DataFrame) -> DataFrame:
+    """(key, sig, n, pos): the entries of the lists that are needed."""
+    lists = blocks.groupBy("bucket").applyInArrow(_lists, _LISTS)
+    lists = lists.groupBy("members").agg(F.min_by(F.struct("key", "sig", "n", "pos"), "key").alias("l"))
+    return lists.select("l.key", F.inline(F.arrays_zip("l.sig", "l.n", "l.pos")))
 
 
 # --------------------------------------------------------------------------
@@ -282,39 +302,94 @@ def compare(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return both.select("u", "v", "mu", "mv").mapInArrow(_overlap, "u long, v long, shared long, joint long")
 
 
+class _Open:
+    """The lists of one bucket, by size; ``other``: entries outside the
+    largest component of their list. ``hub`` and ``far`` hold, per round, the
+    class that an entry's class was compared with and their distance."""
+
+    def __init__(self, block: pa.Table):
+        key, sig, n, pos, comp = (block.column(c).to_numpy() for c in ("key", "sig", "n", "pos", "comp"))
+        order = np.lexsort((sig, n, key))
+        self.key, self.sig, self.n, self.pos, self.comp = (x[order] for x in (key, sig, n, pos, comp))
+        met = block.column("met").combine_chunks()
+        rounds = len(met) and len(met[0])
+        flat = met.flatten()
+        self.hub = flat.field("hub").to_numpy(zero_copy_only=False).reshape(len(order), rounds)[order]
+        self.far = flat.field("far").to_numpy(zero_copy_only=False).reshape(len(order), rounds)[order]
+        self.group = np.cumsum(_new_group(self.key)) - 1
+        by = np.lexsort((self.comp, self.group))
+        part = _new_group(self.group[by])
+        part[1:] |= self.comp[by][1:] != self.comp[by][:-1]
+        first = np.flatnonzero(part)
+        count = np.diff(np.append(first, len(by)))
+        best = np.lexsort((-count, self.group[by[first]]))
+        best = best[_new_group(self.group[by[first[best]]])]
+        main = self.comp[by[first[best]]]
+        self.other = self.comp != main[self.group]
+        self.open = np.isin(self.group, self.group[self.other])      # lists of more than one component
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether a common hub shows that two entries cannot be similar."""
+        return ((self.hub[a] == self.hub[b]) & (np.abs(self.far[a] - self.far[b]) > 0.2 + 1e-9)).any(1)
+
+
+_MET = "array<struct<hub: long, far: double>>"
+_ASKS = "lead long, sig long, score long"
+
+
+def _asks(k: int):
+    def asks(block: pa.Table) -> pa.Table:
+        """(lead, sig, score) of round k: entries outside the largest
+        component of their list and its leaders; for each class of the bucket
+        the ``LEADERS ** k`` best scores at most, which bounds the round."""
+        x = _Open(block)
+        most = LEADERS ** k
+        code = mix(x.sig.view(np.uint64) + np.uint64(k)) >> np.uint64(1)
+        near = code if k != 1 else (x.far[:, -1] * 1e6).astype(np.uint64)       # 0 for the hub itself
+        if not k:
+            near = x.sig.view(np.uint64) ^ np.uint64(1 << 63)                    # the least signature
+        shut = np.zeros(len(x.key), bool) if not k else x.other
+        by = np.lexsort((x.sig, near, shut, x.group))
+        start = np.append(np.flatnonzero(_new_group(x.group[by])), len(by))
+        inside = np.bincount(x.group[~shut], minlength=len(start) - 1)
+        leaders = np.minimum(inside, most)
+        i = np.flatnonzero(x.open & (x.other if k else True))
+        found = [np.zeros((3, 0), np.int64)]
+        for s, e in _spans(leaders[x.group[i]], PAIR_CHUNK):
+            n = leaders[x.group[i[s:e]]]
+            a = np.repeat(i[s:e], n)
+            b = by[np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + start[x.group[a]]]
+            small, large = np.minimum(x.n[a], x.n[b]), np.maximum(x.n[a], x.n[b])
+            ok = (x.comp[a] != x.comp[b]) & (5 * small >= 4 * large) & may_link(x.n[a], x.pos[a], x.n[b], x.pos[b]) & ~x.apart(a, b)
+            a, b = a[ok], b[ok]
+            found.append(np.unique(np.stack([x.sig[a], (near[b] >> np.uint64(1)).view(np.int64), x.sig[b]]), axis=1))
+        sig, score, lead = np.unique(np.concatenate(found, axis=1), axis=1)      # by class, best score first
+        first = _new_group(sig)
+        place = np.arange(len(sig)) - np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0)) if len(sig) else sig
+        ok = place < most
+        return pa.table([pa.array(lead[ok]), pa.array(sig[ok]), pa.array(score[ok])], ["lead", "sig", "score"])
+
+    return asks
+
+
 def _open_pairs(block: pa.Table) -> pa.Table:
-    """Pairs of one bucket's lists that the first round left open."""
-    key, sig, n, pos, lead, comp = (block.column(c).to_numpy() for c in ("key", "sig", "n", "pos", "lead", "comp"))
-    dist = block.column("dist").to_numpy()      # to the leader; NaN: not measured
-    found = [np.zeros((2, 0), np.int64)]
-    order = np.lexsort((n, key))
-    key, sig, n, pos, lead, comp, dist = (x[order] for x in (key, sig, n, pos, lead, comp, dist))
-    group = np.cumsum(_new_group(key)) - 1
-    # the largest component of each list; its members need not meet each other
-    by = np.lexsort((comp, group))
-    part = _new_group(group[by])
-    part[1:] |= comp[by][1:] != comp[by][:-1]
-    first = np.flatnonzero(part)
-    count = np.diff(np.append(first, len(by)))
-    best = np.lexsort((-count, group[by[first]]))
-    main = comp[by[first[best[_new_group(group[by[first[best]]])]]]]
-    other = comp != main[group]
-    base = np.int64(1) << 32
-    place = group * base + n
-    lo = np.searchsorted(place, group * base + (4 * n + 4) // 5)
-    hi = np.searchsorted(place, group * base + 5 * n // 4, side="right")
-    i = np.flatnonzero(other)
+    """All pairs of different components that the rounds left open."""
+    x = _Open(block)
+    n, base = x.n.astype(np.int64), np.int64(1) << 32
+    place = x.group * base + n
+    lo = np.searchsorted(place, x.group * base + (4 * n + 4) // 5)
+    hi = np.searchsorted(place, x.group * base + 5 * n // 4, side="right")
+    i = np.flatnonzero(x.other)         # members of the largest component do not meet each other
     reach = hi[i] - lo[i]
+    found = [np.zeros((2, 0), np.int64)]
     for s, e in _spans(reach, PAIR_CHUNK):
         a = np.repeat(i[s:e], reach[s:e])
         b = np.arange(len(a)) - np.repeat(np.cumsum(reach[s:e]) - reach[s:e], reach[s:e]) + lo[a]
-        ok = (comp[a] != comp[b]) & (~other[b] | (a < b)) & may_link(n[a], pos[a], n[b], pos[b])
+        ok = (x.comp[a] != x.comp[b]) & (~x.other[b] | (a < b)) & may_link(n[a], x.pos[a], n[b], x.pos[b])
         a, b = a[ok], b[ok]
-        ok = ~(np.abs(dist[a] - dist[b]) > 0.2 + 1e-9)          # one list has one leader
-        ok &= (sig[a] != lead[a]) | np.isnan(dist[b])           # compared with the leader already
-        ok &= (sig[b] != lead[b]) | np.isnan(dist[a])
+        ok = ~x.apart(a, b)
         a, b = a[ok], b[ok]
-        found.append(np.unique(np.stack([np.minimum(sig[a], sig[b]), np.maximum(sig[a], sig[b])]), axis=1))
+        found.append(np.unique(np.stack([np.minimum(x.sig[a], x.sig[b]), np.maximum(x.sig[a], x.sig[b])]), axis=1))
     u, v = np.unique(np.concatenate(found, axis=1), axis=1)
     return pa.table([pa.array(u), pa.array(v)], ["u", "v"])
 
@@ -325,7 +400,7 @@ def _spans(size: np.ndarray, most: int) -> list[tuple[int, int]]:
     return _slices(cut) if len(cut) else []
 
 
-def link_groups(docs: DataFrame, per_bucket: int = BUCKET_ENTRIES) -> DataFrame:
+def link_groups(docs: DataFrame, per_bucket: int = BUCKET_ENTRIES, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id, k (a hash of the row) and root (names
     the group; null without shingles) of every document; component_id is the
     smallest doc_id reachable by links."""
@@ -337,27 +412,43 @@ def link_groups(docs: DataFrame, per_bucket: int = BUCKET_ENTRIES) -> DataFrame:
     buckets = max(8, -(-shingles // (5 * per_bucket)))
 
     blocks = posting_blocks(docs, count_grades(measured), buckets)
-    lists = scratch.write(blocks.groupBy("bucket").applyInArrow(_lists, _LISTS), "lists")
-    wanted = lists.select("sig").distinct()
+    lists = scratch.write(posting_lists(blocks), "lists")
     # one text for every class that stands in a list
-    one = sets.where("n > 0").groupBy("sig").agg(F.min("k").alias("k")).join(wanted, "sig", "left_semi").select("k")
+    one = sets.where("n > 0").groupBy("sig").agg(F.min("k").alias("k")).join(lists.select("sig").distinct(), "sig", "left_semi").select("k")
     texts = _keyed(docs).select("k", "text").join(one, "k", "left_semi").select("text")
     members = scratch.write(texts.mapInArrow(_members, "sig long, members binary").dropDuplicates(["sig"]), "members")
 
-    asked = lists.where("ask").select(F.col("lead").alias("u"), F.col("sig").alias("v")).distinct()
-    first = scratch.write(compare(asked, members), "first")
-    linked = first.where("100 * shared >= 80 * joint").select("u", "v")
-    comp = components(linked, scratch, "round1")
-
-    far = first.select(F.col("u").alias("lead"), F.col("v").alias("sig"), (1 - F.col("shared") / F.col("joint")).alias("dist"))
-    left = (lists.join(comp.withColumnRenamed("node", "sig"), "sig", "left").join(far, ["lead", "sig"], "left")
-            .select("key", "sig", "n", "pos", "lead", F.coalesce("root", "sig").alias("comp"),
-                    F.when(F.col("sig") == F.col("lead"), F.lit(0.0)).otherwise(F.coalesce("dist", F.lit(float("nan")))).alias("dist"),
-                    F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")))
-    rest = left.groupBy("bucket").applyInArrow(_open_pairs, "u long, v long").distinct()
-    second = scratch.write(compare(rest, members), "second")
-    more = second.where("100 * shared >= 80 * joint").select("u", "v")
-    comp = components(comp.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more), scratch, "round2")
+    comp = seen = None
+    hubs = scratch.write(lists.select("sig").distinct().withColumn("met", F.array().cast(_MET)), "hubs")
+    for k in range(rounds + 1):
+        named = lists.join(hubs, "sig").withColumn("comp", F.col("sig"))
+        if comp is not None:
+            named = lists.join(hubs, "sig").join(comp.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("root", "sig")).drop("root")
+            mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+            named = named.join(mixed, "key", "left_semi")
+        dealt = named.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets))).groupBy("bucket")
+        if k < rounds:
+            asked = dealt.applyInArrow(_asks(k), _ASKS).groupBy("lead", "sig").agg(F.min("score").alias("score"))
+            pairs = asked.select(F.col("lead").alias("u"), F.col("sig").alias("v"), "score")
+        else:
+            pairs = dealt.applyInArrow(_open_pairs, "u long, v long").distinct()
+        if seen is not None:        # never compare twice
+            for u, v in (("u", "v"), ("v", "u")):
+                pairs = pairs.join(seen.select(F.col("u").alias(u), F.col("v").alias(v)), ["u", "v"], "left_anti")
+        if k < rounds:
+            turn = F.row_number().over(Window.partitionBy("v").orderBy("score", "u"))
+            pairs = pairs.withColumn("turn", turn).where(F.col("turn") <= LEADERS ** k)
+        now = scratch.write(compare(pairs.select("u", "v"), members), f"seen{k}")
+        links = now.where("100 * shared >= 80 * joint").select("u", "v")
+        if comp is not None:
+            links = links.unionAll(comp.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        comp = components(links, scratch, f"round{k}")
+        if k < rounds:
+            seen = now if seen is None else seen.unionAll(now)
+            # the nearest leader met in a round is a class's hub; one that met nobody is its own
+            hub = now.groupBy(F.col("v").alias("sig")).agg(F.min(F.struct((1 - F.col("shared") / F.col("joint")).alias("far"), "u")).alias("b"))
+            here = F.struct(F.coalesce("b.u", "sig").alias("hub"), F.coalesce("b.far", F.lit(0.0)).alias("far"))
+            hubs = scratch.write(hubs.join(hub, "sig", "left").select("sig", F.concat("met", F.array(here)).alias("met")), f"hubs{k}")
 
     classes = sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("low")).join(comp.withColumnRenamed("node", "sig"), "sig", "left")
     classes = classes.select("sig", "low", F.coalesce("root", "sig").alias("root"))
