@@ -13,8 +13,9 @@ offset-adjusted lists from the next rarest on. Terms are 64-bit hashes of
 lower-cased words.
 
 Defined cases: null or empty texts have no words and match nothing; documents
-without id keep a row with null id; items without id or words are ignored;
-repeated items count once (by id); repeated documents are matched one by one;
+without id keep a row with null id; items without words are ignored; the words
+of items without id are hits, but name no item; repeated items count once (by
+id); repeated documents are matched one by one;
 extra columns are ignored."""
 
 from __future__ import annotations
@@ -159,7 +160,8 @@ def find_near(shard: Shard, terms: np.ndarray, length: np.ndarray, span: int) ->
 
 def item_windows(items: DataFrame, width: int = WIDTH, word: np.ndarray = ALNUM_WORD, fold_case: bool = True) -> DataFrame:
     """(item_id, terms) of every window of ``width`` consecutive words; an
-    item of fewer words is one window."""
+    item of fewer words is one window. Those of items without id have a null
+    name."""
 
     def run(batches):
         for rows, data, off in chunks(batches):
@@ -171,10 +173,10 @@ def item_windows(items: DataFrame, width: int = WIDTH, word: np.ndarray = ALNUM_
                     name.append(item), terms.append(h[s:min(s + width, hi)].tolist())
             yield pa.RecordBatch.from_arrays([pa.array(name, pa.string()), pa.array(terms, pa.list_(pa.int64()))], ["item_id", "terms"])
 
-    return items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(run, "item_id string, terms array<long>").distinct()
+    return items.select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(run, "item_id string, terms array<long>").distinct()
 
 
-def phrase_blocks(windows: DataFrame, size: int = BLOCK_WINDOWS) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+def phrase_blocks(windows: DataFrame, size: int = BLOCK_WINDOWS) -> Iterator[tuple[list[str | None], np.ndarray, np.ndarray]]:
     """The windows, at most ``size`` of them at a time on the driver."""
     block: list = []
 
@@ -208,7 +210,9 @@ def search(index: DataFrame, windows: DataFrame, near: int | None = None, size:
 
         def run(batches, sent=sent):
             names, terms, length = sent.value
-            number = np.unique(np.asarray(names, object), return_inverse=True)
+            known = sorted({n for n in names if n is not None})
+            place = {n: i for i, n in enumerate([*known, None])}
+            number = np.asarray(known, object), np.array([place[n] for n in names])
             for shard in read_shards(batches):
                 if near is None:
                     which, start = find_phrases(shard, terms, length)
@@ -228,9 +232,11 @@ def search(index: DataFrame, windows: DataFrame, near: int | None = None, size:
 
 
 def _matches(shard: Shard, which, start, stop, names, number) -> pa.RecordBatch:
-    """One row per document with a match."""
+    """One row per document with a match; ``number`` is one past the last of
+    ``names`` where the item has none."""
     doc = shard.doc_of(start)
     pair = np.unique(np.stack([doc, number[which]]), axis=1) if len(doc) else np.zeros((2, 0), np.int64)
+    pair = pair[:, pair[1] < len(names)]
     order = np.lexsort((start, doc))
     doc, start, stop = doc[order], start[order], stop[order]
     # ranges of a document in ascending order; a gap before the next begins a new one

@@ -152,3 +152,13 @@ def test_stage(spark, odd, nothing, tmp_path, labels, items, k):
     assert stage(spark, nothing, str(tmp_path)).count() == 0
 
 
+
+
+def test_words_of_items_without_id_are_hits(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "delta"), (3, "beta one"), (4, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "beta gamma"), (None, "delta"), (7, "one"), (None, "one")], "item_id long, text string")
+    index = Scratch(spark, "t").write(positional.build_index(docs), "index")
+    got = positional.contaminated_words(index, items)
+    assert by_row(got, "doc_id", "n_hit", "items") == [(1, 2, []), (2, 1, []), (3, 1, ["7"]), (4, 0, [])]
+    assert [r.doc_id for r in positional.drop_contaminated(docs, items).collect()] == [4]
+    assert by_row(positional.contaminated_words(index, items.where("item_id IS NULL")), "doc_id", "n_hit") == [(1, 2), (2, 1), (3, 1), (4, 0)]
