@@ -162,3 +162,25 @@ def test_words_of_items_without_id_are_hits(spark):
     assert by_row(got, "doc_id", "n_hit", "items") == [(1, 2, []), (2, 1, []), (3, 1, ["7"]), (4, 0, [])]
     assert [r.doc_id for r in positional.drop_contaminated(docs, items).collect()] == [4]
     assert by_row(positional.contaminated_words(index, items.where("item_id IS NULL")), "doc_id", "n_hit") == [(1, 2), (2, 1), (3, 1), (4, 0)]
+
+
+LONG = "Many plain words of running text stand in this part, more than anywhere else. " * 4
+
+
+@pytest.mark.parametrize("page", [
+    "<html><body class='has-sidebar'><h1>T</h1><p>{}</p></body></html>", "<body><div class='no-sidebar'><h1>T</h1><p>{}</p></div></body>",
+    "<body><div class='menu-open'><main><h1>T</h1><p>{}</p></main></div><div class='comments'><article>Me too.</article></div></body>",
+    "<body><article class='post has-comments'><h1>T</h1><p>{}</p></article></body>", "<body><form action='/'><div><h1>T</h1><p>{}</p></div></form></body>"])
+def test_a_class_word_or_form_never_removes_the_whole_page(page):
+    tree = wrappers.parse(page.format(LONG))
+    assert wrappers.read_page(tree, *wrappers.article_paths(wrappers.page_wrapper(tree))) == ["T", LONG.strip()]
+
+
+def test_comments_longer_than_the_article_stay_out():
+    tree = wrappers.parse(f"<body><main><h1>T</h1><p>short text</p></main><div class='comments'><p>{LONG}</p></div></body>")
+    assert wrappers.read_page(tree, *wrappers.article_paths(wrappers.page_wrapper(tree))) == ["T", "short text"]
+
+
+def test_raw_elements_end_where_they_end():
+    tree = wrappers.parse("<p>" + "\u0130" * 9 + "</p><SCRIPT>if (a<b) x()</Script><p>whole text</p>")
+    assert wrappers.read_page(tree, (), set()) == ["\u0130" * 9, "whole text"]
