@@ -184,3 +184,27 @@ def test_comments_longer_than_the_article_stay_out():
 def test_raw_elements_end_where_they_end():
     tree = wrappers.parse("<p>" + "\u0130" * 9 + "</p><SCRIPT>if (a<b) x()</Script><p>whole text</p>")
     assert wrappers.read_page(tree, (), set()) == ["\u0130" * 9, "whole text"]
+
+
+def read_host(pages):
+    trees = [wrappers.parse(p) for p in pages]
+    known = wrappers.page_wrapper(trees[0])
+    for t in trees[1:]:
+        known = wrappers.align(known, wrappers.Wrapper.unpack(wrappers.page_wrapper(t).pack()))
+    return [wrappers.read_page(t, *wrappers.article_paths(known)) for t in trees]
+
+
+@pytest.mark.parametrize("around", ["<body>{}</body>", "<body><article>{}</article></body>", "<body><div class='content'>{}</div><div>{}</div></body>"])
+def test_constant_texts_of_an_article_stay(around):
+    copy = around.format("<h1>Title</h1><blockquote>said</blockquote><p>only one</p>", "x")
+    assert read_host([copy] * 4) == read_host([copy]) * 4
+    pages = [around.format(f"<h1>Dish {i}</h1><p>{LONG}{i}</p><h2>Ingredients</h2><ul><li>salt {i}</li></ul>", f"x{i}") for i in range(12)]
+    assert all("Ingredients" in blocks for blocks in read_host(pages))
+    some = [p.replace("<h2>", "<blockquote>as always</blockquote><h2>") if i < 3 else p for i, p in enumerate(pages)]
+    assert ["as always" in blocks for blocks in read_host(some)] == [i < 3 for i in range(12)]
+
+
+def test_constant_text_beside_the_article_goes():
+    pages = [f"<body><h1>Title {i}</h1><p>{LONG}{i}</p><div>All rights are ours.</div></body>" for i in range(12)]
+    assert read_host(pages) == [[f"Title {i}", f"{LONG}{i}"] for i in range(12)]
+    assert read_host([*pages[:1] * 50, *[p.replace("All", "Not all") for p in pages[1:3]]])[0][-1] == "All rights are ours."
