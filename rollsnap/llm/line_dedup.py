@@ -3,7 +3,10 @@ DataFrame functions only.
 
 A line's shingle hashes are sorted once; the hash range is cut into as many
 regions as there are bands, and the few smallest hashes of each region are the
-band's signature (one permutation, several minima). Lines that share a band
+band's signature (one permutation, several minima); a region without hashes
+has none. Lines of few shingles, whose regions would be near empty, meet
+exactly instead: by the rarest of their shingles, as many as two lines at 0.8
+cannot all differ in. Lines that share a band or one of those shingles
 are compared exactly: Jaccard similarity of their sets of shingles of 0.8 or
 more links them, and union-find over the links keeps one line a component.
 
@@ -37,6 +40,10 @@ SHINGLE = 8
 #: bands, and minima of each; a pair at similarity 0.8 shares a band with
 #: probability 1 - (1 - 0.8^4)^12 = 0.998, one at 0.85 with 0.9999
 BANDS, MINIMA = 12, 4
+#: lines of fewer shingles have no bands but their rarest shingles; those of
+#: up to BOTH have both, as a line below FEW can be like one of 5/4 its size
+FEW = BANDS * MINIMA
+BOTH = FEW * 5 // 4
 #: rounds of comparison with leaders before all remaining pairs
 ROUNDS = 3
 
@@ -50,15 +57,36 @@ def shingles(line: str | Column, size: int = SHINGLE) -> Column:
 
 
 def with_bands(lines: DataFrame, bands: int = BANDS, minima: int = MINIMA) -> DataFrame:
-    """``line`` gives way to ``n`` (distinct shingles) and ``bands``: one key
-    per band from the smallest hashes of its region. The regions' lower ends are sorted in among the
-    hashes to find where each begins. (Each step is a projection of its own,
-    outside of lambdas, so that it is compiled.)"""
+    """``line`` gives way to ``n`` (distinct shingles), ``bands``: one key per
+    band from the smallest hashes of its region, where it has any and the line
+    is not of few shingles, and ``short``: the line if it has at most BOTH.
+    The regions' lower ends are sorted in among the hashes to find where each
+    begins. (Each step is a projection of its own, outside of lambdas, so that
+    it is compiled.)"""
     ends = [F.lit(-(1 << 63) + i * ((1 << 64) // bands)).cast("long") for i in range(bands)]
-    hashed = lines.withColumn("hashes", shingles("line")).drop("line")
-    ordered = hashed.withColumn("n", F.size("hashes")).withColumn("hashes", F.sort_array(F.concat("hashes", F.array(*ends))))
-    keys = [F.xxhash64(F.lit(i), F.slice("hashes", F.array_position("hashes", e).cast("int") + 1, F.lit(minima))) for i, e in enumerate(ends)]
-    return ordered.withColumn("bands", F.array(*keys)).drop("hashes")
+    hashed = lines.withColumn("hashes", shingles("line")).withColumn("n", F.size("hashes"))
+    hashed = hashed.withColumn("short", F.when(F.col("n") <= BOTH, F.col("line"))).drop("line")
+    ordered = hashed.withColumn("hashes", F.when(F.col("n") >= FEW, F.sort_array(F.concat("hashes", F.array(*ends)))))
+    placed = ordered.withColumn("at", F.array(*[F.array_position("hashes", e).cast("int") for e in ends], F.size("hashes") + 1))
+    keys = []
+    for i in range(bands):
+        held = F.col("at")[i + 1] - F.col("at")[i] - 1
+        keys.append(F.when(held > 0, F.xxhash64(F.lit(i), F.slice("hashes", F.col("at")[i] + 1, F.least(held, F.lit(minima))))))
+    return placed.withColumn("bands", F.when(F.col("n") >= FEW, F.array_compact(F.array(*keys)))).drop("hashes", "at")
+
+
+def rare_keys(lines: DataFrame) -> DataFrame:
+    """h, n, band of lines of few shingles (h distinct, n, short): one key for
+    each of their first shingles in a rare-first order. Two sets of similarity
+    0.8 or more always share one of these."""
+    each = lines.select("h", "n", F.explode(shingles("short")).alias("s"))
+    # a shingle of one line is the rarest and joins nothing: it need not meet its count
+    often = each.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    first = F.col("n") - F.floor((4 * F.col("n") + 4) / 5).cast("int") + 1
+    met = each.join(often, "s").groupBy("h", "n").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("met"))
+    # the n - size(met) shingles of this line alone come before
+    kept = met.withColumn("left", first - (F.col("n") - F.size("met"))).where("left > 0")
+    return kept.select("h", "n", F.explode(F.slice("met", F.lit(1), F.col("left"))).alias("m")).select("h", "n", F.xxhash64(F.lit(-1), "m.s").alias("band"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -82,7 +110,8 @@ def line_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
     word; and (node, root) of every distinct line with a link."""
     lines = scratch.write(with_bands(_lines(docs)), "lines")
     # equal lines are one line before their bands are dealt
-    entries = lines.select("h", "n", "bands").dropDuplicates(["h"]).select("h", "n", F.explode("bands").alias("band"))
+    entries = lines.where("bands IS NOT NULL").select("h", "n", "bands").dropDuplicates(["h"]).select("h", "n", F.explode("bands").alias("band"))
+    entries = entries.unionAll(rare_keys(lines.where("short IS NOT NULL").select("h", "n", "short").dropDuplicates(["h"])))
     place = Window.partitionBy("band").orderBy("h")
     shared = entries.withColumn("near", F.coalesce(F.lag("h").over(place), F.lead("h").over(place))).where("near IS NOT NULL")
     buckets = scratch.write(shared.select("band", "h", "n"), "buckets")

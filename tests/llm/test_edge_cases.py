@@ -1,6 +1,8 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and
 clashing column names for every operator and every pipeline stage."""
 
+import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -208,3 +210,34 @@ def test_constant_text_beside_the_article_goes():
     pages = [f"<body><h1>Title {i}</h1><p>{LONG}{i}</p><div>All rights are ours.</div></body>" for i in range(12)]
     assert read_host(pages) == [[f"Title {i}", f"{LONG}{i}"] for i in range(12)]
     assert read_host([*pages[:1] * 50, *[p.replace("All", "Not all") for p in pages[1:3]]])[0][-1] == "All rights are ours."
+
+
+def test_unlike_short_lines_share_no_key(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=rng.randint(1, 80))) for _ in range(400)]
+    lines = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "h long, line string")
+    keys = line_dedup.with_bands(lines).select("h", F.explode("bands").alias("band"))
+    assert keys.groupBy("band").count().where("count > 1").count() == 0
+    assert line_dedup.rare_keys(line_dedup.with_bands(lines).where("short IS NOT NULL")).groupBy("band").count().where("count > 3").count() == 0
+
+
+def test_near_short_lines_always_meet(spark):
+    """Lines of 1 to 80 shingles and edits of them, against brute force."""
+    rng = random.Random(5)
+    texts = []
+    for n in range(1, 88):
+        line = "".join(rng.choices("abcdefghij", k=n))
+        texts += [line, line + "z", line[:-1] + "y", "x" + line, line + "zwvut"[:n // 20]]
+    sets = {t: {t[i:i + 8] for i in range(max(1, len(t) - 7))} for t in dict.fromkeys(texts)}
+    root = {t: t for t in sets}
+
+    def top(t):
+        while root[t] != t:
+            t = root[t]
+        return t
+
+    for a, b in itertools.combinations(sets, 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            root[top(b)] = top(a)
+    docs = spark.createDataFrame([(1, "\n".join(texts))], "doc_id long, text string")
+    assert line_dedup.removed_lines(docs).first().n_removed == len(texts) - len({top(t) for t in sets})
