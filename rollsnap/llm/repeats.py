@@ -22,11 +22,12 @@ empty table gives no rows; extra columns are ignored."""
 
 from __future__ import annotations
 
-import secrets
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,7 +127,7 @@ def window_blocks(docs: DataFrame, buckets: int, width: int = WIDTH, run_bytes:
     with its documents and the windows that repeat an earlier one of it."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, k1, k2, n_words, words in _gathered(batches, run_bytes):
+        for number, (doc_ids, k1, k2, n_words, words) in enumerate(_gathered(batches, run_bytes)):
             first_word = np.append(0, np.cumsum(n_words))
             row = np.repeat(np.arange(len(n_words)), n_words)
             h = window_hashes(words, width)
@@ -136,7 +137,9 @@ def window_blocks(docs: DataFrame, buckets: int, width: int = WIDTH, run_bytes:
             if (doc_ids[1:] < doc_ids[:-1]).any():      # rows do not come in the order of their ids
                 order = order[np.lexsort((at[order], doc_ids[row[at[order]]], h[order]))]
             new = _new_group(h[order])
-            name = secrets.randbits(63)
+            # the same when a lost executor's task runs again; a run of other rows would have another name
+            place = f"{TaskContext.get().partitionId()} {number} ".encode()
+            name = int.from_bytes(hashlib.blake2b(place + k1.tobytes() + k2.tobytes(), digest_size=8).digest(), "little") >> 1
             later = np.sort(at[order[~new]])
             firsts = np.sort(order[new])
             at, h = at[firsts], h[firsts]

@@ -241,3 +241,10 @@ def test_near_short_lines_always_meet(spark):
             root[top(b)] = top(a)
     docs = spark.createDataFrame([(1, "\n".join(texts))], "doc_id long, text string")
     assert line_dedup.removed_lines(docs).first().n_removed == len(texts) - len({top(t) for t in sets})
+
+
+def test_runs_keep_their_names_when_a_task_runs_again(spark, odd):
+    blocks = repeats.window_blocks(odd, 4, run_bytes=1_000).select("run", "bucket")
+    assert by_row(blocks, "run", "bucket") == by_row(blocks, "run", "bucket")
+    heads = blocks.where("bucket < 0")
+    assert heads.count() == heads.distinct().count() > 1
