@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import hmm, jaccard, line_crf, line_dedup, mixing, positional, quality_rules, repeats, sharding, wrappers
+from . import centroids, filter_audit, hmm, jaccard, line_crf, line_dedup, metric_join, mixing, positional, quality_rules, repeats, sharding, wrappers
 from .common import Scratch, table
 
 
@@ -75,7 +75,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
-_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op1_quality_classifier, op2_sharding, op3_html_extraction, op4_line_dedup, op5_mixing, op6_substring_dedup, op7_benchmark_decontamination, op8_lm_scoring, op9_ngram_jaccard, op10_quality_rules]
+def op11_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and group of every vector within its label."""
+    return metric_join.link_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after ten rounds from eight centroids."""
+    assigned, final = centroids.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, seed="3")
+    return centroids.report(assigned, final)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter removes at every step of all 120 orders, by source."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_BUILDERS: list[Callable[[SparkSession, str], DataFrame]] = [op1_quality_classifier, op2_sharding, op3_html_extraction, op4_line_dedup, op5_mixing, op6_substring_dedup, op7_benchmark_decontamination, op8_lm_scoring, op9_ngram_jaccard, op10_quality_rules, op11_metric_range_join, op12_centroid_clustering, op13_filter_audit]
 
 
 def _shipped(fn):
@@ -220,4 +236,82 @@ SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_
 FROM documents LEFT JOIN g USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op2_sharding": _OP2_SQL, "op4_line_dedup": _OP4_SQL, "op5_mixing": _OP5_SQL, "op6_substring_dedup": _OP6_SQL, "op9_ngram_jaccard": _OP9_SQL, "op7_benchmark_decontamination": _OP7_SQL}
+_OP11_SQL = r"""
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding) AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+p AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE CASE WHEN len(a.x) = len(b.x) THEN list_cosine_similarity(a.x, b.x) >= 0.93 ELSE false END),
+r AS (SELECT vec_id, vec_id AS root FROM embeddings UNION SELECT p.v, r.root FROM r JOIN p ON p.u = r.vec_id),
+c AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT u AS vec_id, count(*) AS n_links FROM p GROUP BY u)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+
+def _op12_sql(k: int = 8, rounds: int = 10, dims: int = 64, seed: str = "3") -> str:
+    """k-means over (vector, component) rows, one stage a round."""
+    near = """
+n{0} AS (
+  SELECT vid, c, d FROM (
+    SELECT p.vid, m.c, sum((p.x - m.x) * (p.x - m.x)) AS d, row_number() OVER (PARTITION BY p.vid ORDER BY sum((p.x - m.x) * (p.x - m.x)), m.c) AS r
+    FROM p JOIN m{0} m USING (i) GROUP BY p.vid, m.c) WHERE r = 1),"""
+    move = """
+s{0} AS (SELECT n{0}.c, p.i, sum(p.x) AS t, count(*) AS n FROM n{0} JOIN p USING (vid) GROUP BY n{0}.c, p.i),
+m{1} AS MATERIALIZED (
+  SELECT m.c, m.i, CASE WHEN s.n IS NULL THEN m.x ELSE CAST((s.t - ((s.t % s.n) + s.n) % s.n) // s.n AS BIGINT) END AS x
+  FROM m{0} m LEFT JOIN s{0} s ON s.c = m.c AND s.i = m.i),"""
+    stages = "".join(near.format(j).replace("AS (", "AS MATERIALIZED (", 1) + move.format(j, j + 1) for j in range(rounds)) + near.format(rounds)
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS vid, vec_id, list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS p
+  FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dims}),
+p AS MATERIALIZED (SELECT vid, unnest(p) AS x, unnest(range({dims})) AS i FROM v),
+m0 AS MATERIALIZED (
+  SELECT c, unnest(p) AS x, unnest(range({dims})) AS i
+  FROM (SELECT p, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, p) - 1 AS c FROM v) WHERE c < {k}),{stages}
+f AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM m{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM n{rounds} JOIN v USING (vid) JOIN f USING (c)
+"""
+
+
+_OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CAST(len(w) < 50 AS INTEGER) + 2 * CAST(100 * len(list_distinct(w)) < 65 * len(w) AS INTEGER)
+         + 4 * CAST(100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS INTEGER)
+         + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INTEGER)
+         + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS INTEGER) AS bits
+  FROM d LEFT JOIN g USING (doc_id)),
+t AS (SELECT part, bits, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, bits),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS b
+  FROM l a, l b, l c, l d, l e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+s AS (SELECT filter_order, i AS step, b[i] AS bit, coalesce(list_sum(b[1:i-1]), 0)::INTEGER AS before FROM o, (SELECT unnest(range(1, 6)) AS i)),
+x AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN bits & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN bits & bit > 0 AND bits & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN bits & bit > 0 AND bits & before > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN bits = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN bits & bit > 0 AND bits & before = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN bits & bit > 0 AND bits & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM t, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM x
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_sharding": _OP2_SQL, "op4_line_dedup": _OP4_SQL, "op5_mixing": _OP5_SQL, "op6_substring_dedup": _OP6_SQL, "op7_benchmark_decontamination": _OP7_SQL,
+    "op9_ngram_jaccard": _OP9_SQL, "op11_metric_range_join": _OP11_SQL, "op12_centroid_clustering": _op12_sql(), "op13_filter_audit": _OP13_SQL}
