@@ -3,20 +3,16 @@
 The source resolved one row at a time with a remote search per pass. Here
 each lookup is a set-based join over the **distinct** query texts:
 
-* J4 / J5 (token containment, "all query tokens occur in the place"):
-  relational division by blocking on token pairs. Every query probes the pair
-  of its two *rarest* tokens (a one-token query its token): a place holding
-  all tokens holds that pair, so nothing is lost, and far fewer places hold a
-  pair than a token. The pairs of a place are shuffled as narrow
-  ``(pair, place_id)`` rows and only those that some query probes are kept;
-  the place's tokens are attached to the candidates afterwards, which are
-  verified with ``forall(query_tokens, t -> array_contains(place_tokens, t))``.
-  A query is accepted when exactly one place (J5) or one place group (J4)
-  remains. No cross join, no per-row Python, no cap on candidates.
+* J4 / J5 (token containment, "all query tokens occur in the place"): the
+  stored inverted index of ``place_index``, or one derived from the rows at
+  hand. Texts are analysed once per distinct text and looked up once per
+  distinct token set; a query is accepted when exactly one place (J5) or one
+  place group (J4) remains. No cross join, no per-row Python, no cap on
+  candidates.
 * J3 (exact three-key lookup): equi-join to the places that are unique on
   the key (A7: count = 1).
-* J6 (ordered fall-back over passes): every pass is evaluated at once on the
-  unresolved rows and the lowest pass number that hit wins, or the passes run
+* J6 (ordered fall-back over passes): every distinct text of every pass is
+  looked up at once and a row takes the first pass that hit, or the passes run
   as a chain; the caller chooses. Both give the same rows because a pass
   depends only on the row being unresolved, never on an earlier pass's output.
 """
@@ -33,13 +29,13 @@ from ..contracts import PLACE_RESULT_COLUMNS, PLACE_TEXT_FIELDS
 from ..functions.keys import number_or_zero
 from ..functions.predicates import contains_literal, equals_flag, pattern_flag
 from ..functions.text import analyze, search_text
-from ..session import stage
+from ..session import scratch_path, stage
+from .place_index import PassingIndex, PlaceIndex
 
 NOT_FOUND = "Not Found"
 SUCCESS = "Success"
 HOMELESS = "Homeless"
 CONFIDENTIAL = "Confidential"
-_NULL_GROUP = "\u0000null-group"   # stands for a missing group id (one group)
 
 PLACE_ATTRS = PLACE_RESULT_COLUMNS[2:]   # the 12 attributes copied on a hit
 
@@ -61,13 +57,6 @@ def index_places(
     return places.select(F.col(id_col).cast("string").alias("place_id"), grp.alias("group_id"), pt.alias("pt"))
 
 
-def _token_pairs(tokens: Column) -> Column:
-    """All tokens and all pairs of a token set, as ``a`` and ``a b`` (a < b)."""
-    ordered = F.array_sort(tokens)
-    pairs = F.flatten(F.transform(ordered, lambda a: F.transform(F.filter(ordered, lambda b: b > a), lambda b: F.concat_ws(" ", a, b))))
-    return F.concat(ordered, pairs)
-
-
 def token_key(text) -> "F.Column":
     """Canonical form of a query: its sorted distinct tokens joined by blanks
     (tokens never hold blanks, so equal keys mean equal token sets). Texts
@@ -77,54 +66,33 @@ def token_key(text) -> "F.Column":
     return F.array_join(F.array_sort(analyze(c)), " ")
 
 
-def token_lookup(texts: DataFrame, index: DataFrame, collapse: bool, text_col: str = "text",
-                 freq: DataFrame | None = None) -> DataFrame:
-    """J4 (``collapse=True``) / J5 (``collapse=False``).
+def stored_index(places: DataFrame, root: str | None = None, id_col: str = "place_id", group_col: str | None = "group_id",
+                 buckets: int | None = None) -> PlaceIndex:
+    """A stored index of ``places`` in ``root`` (default: the job's scratch
+    folder), with one delivery in it."""
+    spark = places.sparkSession
+    index = PlaceIndex.create(spark, root or scratch_path(spark, "place-index"), buckets)
+    index.update(index_places(places, id_col, group_col))
+    return index
+
+
+def token_lookup(texts: DataFrame, index: PlaceIndex | DataFrame, collapse: bool, text_col: str = "text") -> DataFrame:
+    """J4 (``collapse=True``) / J5 (``collapse=False``) against a stored index
+    or the rows of ``index_places``.
 
     Returns ``(text, place_id)`` for every accepted text: all query tokens
     occur in the place, and exactly one group (J4) / one place (J5) matches.
     Empty queries are never accepted. The representative of a collapsed group
-    is its smallest place id. Texts are analysed once per distinct text and
-    looked up once per distinct token set.
+    is its smallest place id.
     """
-    tk = (
-        texts.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
-        .withColumn("key", token_key("text"))
-        .where(F.col("key") != "")
-    )
-    q = tk.select("key").distinct()
-    freq = freq if freq is not None else token_frequencies(index)
-    rarest = F.transform(F.slice(F.array_sort(F.collect_list(F.struct("df", "t"))), 1, 2), lambda x: x["t"])
-    probes = (
-        q.select("key", F.explode(F.split("key", " ")).alias("t"))
-        .join(freq, "t")
-        .groupBy("key")   # the token set is the key itself: group on the string
-        .agg(F.count(F.lit(1)).alias("known"), rarest.alias("rare"))
-        .withColumn("qt", F.split("key", " "))
-        # a token absent from every place makes the query unanswerable
-        .where(F.col("known") == F.size("qt"))
-        .select("key", "qt", F.array_join(F.array_sort("rare"), " ").alias("probe"))
-    )
-    named = index.withColumn("pid", F.coalesce("place_id", F.lit(_NULL_GROUP)))
-    postings = named.select("pid", F.explode(_token_pairs(F.col("pt"))).alias("probe"))
-    postings = postings.join(probes.select("probe").distinct(), "probe", "left_semi").distinct()
-    candidates = probes.select("key", "qt", "probe").join(postings, "probe").select("key", "qt", "pid")
-    # verify containment; for short token sets a linear scan beats hashing
-    hits = candidates.join(named, "pid").where(F.forall("qt", lambda x: F.array_contains("pt", x)))
-    g = F.coalesce(F.col("group_id"), F.lit(_NULL_GROUP))
-    agg = hits.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n_hits"),
-        F.min(g).alias("g_lo"),
-        F.max(g).alias("g_hi"),
-        F.min("place_id").alias("place_id"),
-    )
-    ok = (F.col("g_lo") == F.col("g_hi")) if collapse else (F.col("n_hits") == 1)
-    return tk.join(agg.where(ok).select("key", "place_id"), "key").select("text", "place_id")
+    index = PassingIndex(index) if isinstance(index, DataFrame) else index
+    tk = _analysed(texts.select(F.col(text_col).alias("text")).distinct())
+    return tk.join(index.lookup_keys(tk.select("key").distinct(), collapse), "key").select("text", "place_id")
 
 
-def token_frequencies(index: DataFrame) -> DataFrame:
-    """Number of places per token (partial aggregation map-side)."""
-    return index.select(F.explode("pt").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+def _analysed(texts: DataFrame) -> DataFrame:
+    """``texts`` with the canonical form ``key`` of each, without empty ones."""
+    return texts.where(F.col("text").isNotNull()).withColumn("key", token_key("text")).where(F.col("key") != "")
 
 
 def unique_keys(places: DataFrame, keys: list[str], id_col: str = "place_id") -> DataFrame:
@@ -234,6 +202,8 @@ def cascade(
     materialize: bool = True,
     strategy: str = "all",
     pass_col: str | None = None,
+    place_index: PlaceIndex | None = None,
+    unit_index: PlaceIndex | None = None,
 ) -> DataFrame:
     """Resolve rows still 'Not Found' through ``passes`` in order.
 
@@ -242,9 +212,13 @@ def cascade(
     query texts) are written once to the shared folder, since every pass
     reads them; the full rows are read once more for the final merge.
 
-    ``strategy``: ``"all"`` evaluates every pass for every unresolved row in
-    one job and keeps the lowest pass that hit (fewer jobs, more lookups);
-    ``"chain"`` runs the passes in order, each on the rows the earlier passes
+    ``place_index`` and ``unit_index`` are stored indexes of the two tables,
+    reused by all passes and runs; without them the places are analysed for
+    this call.
+
+    ``strategy``: ``"all"`` looks up every distinct text of every pass at once
+    and gives each unresolved row its first pass that hit (fewer jobs, more
+    lookups); ``"chain"`` runs the passes in order, each on the rows the earlier passes
     left unresolved (work shrinks as rows resolve; one staged table per pass).
     Both give the same answer, whatever the size. ``pass_col`` names a column
     to add with the number of the pass that hit (null for the rest).
@@ -263,15 +237,17 @@ def cascade(
     if materialize:
         # the narrow lookup inputs feed every pass: write them once
         pending = stage(pending, "cascade-pending")
-    found: list[DataFrame] = []
-    tables = {"group": (places, True, "places"),
-              "doc": (units, False, "places" if units is places else "units")}
     if strategy not in ("all", "chain"):
         raise ValueError(f"unknown cascade strategy {strategy!r}")
+    if place_index is None:
+        place_index = PassingIndex(stage(index_places(places, place_id, group_id if group_id else None), "analysed"))
+    if unit_index is None:
+        unit_index = place_index if units is places else PassingIndex(stage(index_places(units, place_id, None), "analysed"))
+    lookups = {"group": (place_index, True, "places"), "doc": (unit_index, False, "places" if units is places else "units")}
     run = _all_at_once if strategy == "all" else _chain
-    found = run(pending, row_key, passes, tables, places, place_id, group_id)
+    best = run(pending, row_key, passes, lookups, places, place_id) if passes else None
 
-    if not found:
+    if best is None:
         # nothing was looked up: unresolved rows still get the miss blanks
         miss = F.col(results_col) == F.lit(NOT_FOUND)
         blanks = {c: F.when(miss, F.lit(0.0) if c in ("PropertyLatitude", "PropertyLongitude") else F.lit(""))
@@ -279,12 +255,6 @@ def cascade(
         if pass_col:
             blanks[pass_col] = F.lit(None).cast("double")
         return df.drop("__row").withColumns(blanks)
-    best = (
-        reduce(lambda a, b: a.unionByName(b), found)
-        .groupBy("row_key")
-        .agg(F.min(F.struct("pass_no", "src", "place_id")).alias("w"))
-        .select("row_key", F.col("w.src").alias("src"), F.col("w.place_id").alias("place_id"), F.col("w.pass_no").alias("pass_no"))
-    )
     attrs = _attr_table(places, "places", place_id)
     if units is not places:
         attrs = attrs.unionByName(_attr_table(units, "units", place_id))
@@ -314,63 +284,73 @@ def cascade(
 
 
 # --------------------------------------------------------------------------- post-pass rules
-def _lookup_index(table: DataFrame, place_id: str, group_id: str | None, collapse: bool, staged: bool):
-    index = index_places(table, place_id, group_id if collapse else None)
-    if staged:
-        index = stage(index, "token-index")
-    return index, token_frequencies(index)
-
-
 def _exact_hits(rows: DataFrame, row_key: str, p: Pass, places: DataFrame, place_id: str) -> DataFrame:
     r = rows.select(F.col(row_key).alias("row_key"), *[F.col(rc).alias(f"__k{i}") for i, (rc, _) in enumerate(p.keys)])
     u = unique_keys(places, [pc for _, pc in p.keys], place_id)
     u = u.select(*[F.col(pc).alias(f"__k{i}") for i, (_, pc) in enumerate(p.keys)], "place_id")
     hit = r.join(u, [f"__k{i}" for i in range(len(p.keys))])
-    return hit.select("row_key", F.lit(p.number).alias("pass_no"), "place_id", F.lit("places").alias("src"))
-
-
-def _all_at_once(pending, row_key, passes, tables, places, place_id, group_id) -> list[DataFrame]:
-    found: list[DataFrame] = []
-    for kind, (table, collapse, src) in tables.items():
-        token_passes = [p for p in passes if p.kind == kind]
-        if not token_passes:
-            continue
-        asks = reduce(
-            lambda a, b: a.unionByName(b),
-            [pending.select(F.col(row_key).alias("row_key"), F.lit(p.number).alias("pass_no"),
-                            F.col(p.text).alias("text")) for p in token_passes],
-        )
-        index, freq = _lookup_index(table, place_id, group_id, collapse, staged=False)
-        accepted = token_lookup(asks.select("text"), index, collapse, freq=freq)
-        found.append(asks.join(accepted, "text").select("row_key", "pass_no", "place_id", F.lit(src).alias("src")))
-    for p in (p for p in passes if p.kind == "exact"):
-        found.append(_exact_hits(pending, row_key, p, places, place_id))
-    return found
-
-
-def _chain(pending, row_key, passes, tables, places, place_id, group_id) -> list[DataFrame]:
+    return hit.select("row_key", F.lit(float(p.number)).alias("pass_no"), "place_id", F.lit("places").alias("src"))
+
+
+def _answers(pending: DataFrame, passes: list[Pass], lookups: dict) -> DataFrame:
+    """(text, group, doc): what each distinct text of the token passes leads
+    to by either kind of lookup, written once."""
+    wanted = {(p.text, p.kind) for p in passes if p.kind != "exact"}
+    texts = reduce(lambda a, b: a.unionByName(b), [
+        pending.select(F.col(c).alias("text"), *[F.lit((c, kind) in wanted).alias(f"ask_{kind}") for kind in lookups]).distinct()
+        for c in sorted({c for c, _ in wanted})])
+    asked = stage(_analysed(texts.groupBy("text").agg(*[F.max(f"ask_{kind}").alias(f"ask_{kind}") for kind in lookups])), "cascade-texts")
+    out = asked
+    for kind, (index, collapse, _) in lookups.items():
+        if any(k == kind for _, k in wanted):
+            hit = index.lookup_keys(asked.where(f"ask_{kind}").select("key").distinct(), collapse).select("key", F.col("place_id").alias(kind))
+            out = out.join(hit, "key", "left")
+            # a key shared with a text of other passes answers only who asked
+            out = out.withColumn(kind, F.when(F.col(f"ask_{kind}"), F.col(kind)))
+        else:
+            out = out.withColumn(kind, F.lit(None).cast("string"))
+    return stage(out.select("text", *lookups).where(" OR ".join(f"{kind} IS NOT NULL" for kind in lookups)), "cascade-answers")
+
+
+def _all_at_once(pending, row_key, passes, lookups, places, place_id) -> DataFrame:
+    """(row_key, src, place_id, pass_no): the first pass that hit, by one
+    join of the pending rows per text column."""
+    rows, value = pending.withColumnRenamed(row_key, "row_key"), {}
+    if any(p.kind != "exact" for p in passes):
+        answers = _answers(pending, passes, lookups)
+        for i, c in enumerate(sorted({p.text for p in passes if p.kind != "exact"})):
+            a = answers.select(F.col("text").alias(f"__t{i}"), *[F.col(kind).alias(f"__{kind}{i}") for kind in lookups])
+            rows = rows.join(a, F.col(c) == F.col(f"__t{i}"), "left")
+            value.update({(c, kind): F.col(f"__{kind}{i}") for kind in lookups})
+    for n, p in enumerate(p for p in passes if p.kind == "exact"):
+        u = unique_keys(places, [pc for _, pc in p.keys], place_id)
+        u = u.select(*[F.col(pc).alias(f"__e{n}_{k}") for k, (_, pc) in enumerate(p.keys)], F.col("place_id").alias(f"__exact{n}"))
+        rows = rows.join(u, reduce(lambda a, b: a & b, [F.col(rc) == F.col(f"__e{n}_{k}") for k, (rc, _) in enumerate(p.keys)]), "left")
+        value[p] = F.col(f"__exact{n}")
+    first = F.coalesce(*[F.when(v.isNotNull(), F.struct(F.lit(src).alias("src"), v.alias("place_id"), F.lit(float(p.number)).alias("pass_no")))
+                         for p, v, src in ((p, value[p] if p.kind == "exact" else value[p.text, p.kind], "places" if p.kind == "exact" else lookups[p.kind][2])
+                                           for p in sorted(passes, key=lambda x: x.number))])
+    return rows.select("row_key", first.alias("w")).where("w IS NOT NULL").select("row_key", "w.src", "w.place_id", "w.pass_no")
+
+
+def _chain(pending, row_key, passes, lookups, places, place_id) -> DataFrame:
     found: list[DataFrame] = []
-    indexes: dict[str, tuple[DataFrame, DataFrame]] = {}
     for p in sorted(passes, key=lambda x: x.number):
         if p.kind == "exact":
             hit = _exact_hits(pending, row_key, p, places, place_id)
         else:
-            table, collapse, src = tables[p.kind]
-            if p.kind not in indexes:
-                indexes[p.kind] = _lookup_index(table, place_id, group_id, collapse, staged=True)
-            index, freq = indexes[p.kind]
+            index, collapse, src = lookups[p.kind]
             asks = pending.select(F.col(row_key).alias("row_key"), F.col(p.text).alias("text"))
-            accepted = token_lookup(asks.select("text"), index, collapse, freq=freq)
-            hit = asks.join(accepted, "text").select(
-                "row_key", F.lit(p.number).alias("pass_no"), "place_id", F.lit(src).alias("src"))
-        hit = stage(hit, "cascade-hits")
+            hit = asks.join(token_lookup(asks, index, collapse), "text").select(
+                "row_key", F.lit(float(p.number)).alias("pass_no"), "place_id", F.lit(src).alias("src"))
+        hit = stage(hit.select("row_key", "src", "place_id", "pass_no"), "cascade-hits")
         found.append(hit)
         # only rows this pass left unresolved go on to the next pass
         pending = stage(pending.join(hit.select(F.col("row_key").alias(row_key)), row_key, "left_anti"),
                         "cascade-pending")
         if pending.isEmpty():
             break
-    return found
+    return reduce(lambda a, b: a.unionByName(b), found)
 
 
 def post_rules(df: DataFrame) -> DataFrame:

@@ -4,17 +4,19 @@ derived from the driver tables, so each grows with them."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..operators import diff
-from ..session import scratch_path
+from ..session import scratch_path, stage
 from ..sources import delimited, sinks, tables, zipped
-from ..streaming import append_unseen_stream
+from ..sources.keyed_store import KeyedStore
+from ..streaming import first_seen_stream, tail_with_quarantine
 from . import feeds
 from .bind_clean import wide_history
 from .bind_feeds import FILE_DATE, _PRECINCT_FROM, RAW_PRECINCTS, raw_precincts, resolved_roll, _publish_sql
-from .bind_io import _HISTORY_SQL, _daily_bundles, _DAILY_SQL
+from .bind_io import _HISTORY_SQL, _daily_bundles
 from .fixtures import write_csv_snapshots, write_zip_bundles
 from .registry import binding, table
 
@@ -27,13 +29,11 @@ def q_s1(spark, d):
     c = table(spark, d, "customer")
     note = F.concat(F.lit('say "'), "c_name", F.lit('", '), "c_mktsegment")
     tail = F.when(F.col("c_custkey") % 3 == 0, F.lit("two\nlines")).otherwise(F.lit("end\\"))
-    q = lambda x: F.concat(F.lit('"'), F.regexp_replace(x, '"', '""'), F.lit('"'))
-    line = F.concat_ws(",", F.col("c_custkey").cast("string"), q(note), q(tail))
     root = scratch_path(spark, "quoted")
-    # one file per part: the header line, then RFC 4180 records
-    parts = c.select(line.alias("value"), F.pmod("c_custkey", F.lit(4)).alias("p")).groupBy("p").agg(F.concat_ws("\n", F.collect_list("value")).alias("body"))
-    parts.select(F.concat(F.lit("ID,NOTE,TAIL\n"), "body").alias("value"), "p").write.partitionBy("p").text(root)
-    return delimited.read_delimited(spark, root + "/*", multi_line=True).select("ID", "NOTE", "TAIL")
+    # one file per task, each with its header line; every field quoted, quotes doubled
+    rows = c.select(F.col("c_custkey").cast("string").alias("ID"), note.alias("NOTE"), tail.alias("TAIL"))
+    rows.repartition(4).write.option("header", True).option("quoteAll", True).option("escape", '"').csv(root)
+    return delimited.read_delimited(spark, root, multi_line=True).select("ID", "NOTE", "TAIL")
 
 
 @binding("k5_csv_quotes", """SELECT c_custkey, 'a "' || c_name || '" b, c' AS note FROM customer""")
@@ -45,13 +45,15 @@ def q_k5(spark, d):
 
 
 # ---------------------------------------------------------------- S2 / S4 / U1: members of any shape
-def _members(spark, d, header: str, line, name: str):
+def _members(spark, d, header: str, line, name: str, spread=F.col("c_custkey")):
+    """Customers as members of bundles, one bundle per hash of ``spread``;
+    the bundles' paths."""
     c = table(spark, d, "customer")
     root = scratch_path(spark, "bundles")
-    lines = c.select(F.lit("2024_05_01").alias("folder"), F.concat(F.lit(name), F.col("c_nationkey").cast("string"), F.lit(".txt")).alias("member"),
+    folder = F.concat(F.lit("2024_05_01/"), F.pmod(F.xxhash64(spread), F.lit(8)).cast("string"))
+    lines = c.select(folder.alias("folder"), F.concat(F.lit(name), F.col("c_nationkey").cast("string"), F.lit(".txt")).alias("member"),
                      F.col("c_custkey").alias("seq"), line.alias("line"))
-    write_zip_bundles(lines, root, header, "b.zip").count()
-    return root
+    return [r.path for r in write_zip_bundles(lines, root, header, "b.zip").collect()]
 
 
 @binding("s2_member_headers", """
@@ -61,7 +63,7 @@ def q_s2(spark, d):
     vid = F.col("c_custkey").cast("string")
     one = _members(spark, d, "﻿VOTER_ID\tCOUNTY", F.concat_ws("\t", vid, "c_mktsegment"), "r_")
     two = _members(spark, d, "EXTRA\tVOTER_ID", F.concat_ws("\t", F.concat("c_name", F.lit("\x0cx")), vid), "r_")
-    both = zipped.read_zip_tsv(spark, [one + "/2024_05_01/b.zip", two + "/2024_05_01/b.zip"])
+    both = zipped.read_zip_tsv(spark, one + two)
     return both.select("county", "VOTER_ID", "`COUNTY.1`", "EXTRA")
 
 
@@ -75,8 +77,45 @@ def q_s4(spark, d):
             .when(k == 1, F.concat(vid, F.lit('\t"in \ttab"\tz')))
             .when(k == 2, F.concat(vid, F.lit('\tmid"quote\tz')))
             .otherwise(F.concat(vid, tab, F.col("c_name"))))                      # short: padded
-    root = _members(spark, d, "A\tB\tC", line, "m_")
-    return zipped.read_zip_tsv(spark, [root + "/2024_05_01/b.zip"]).select("A", "B", "C")
+    return zipped.read_zip_tsv(spark, _members(spark, d, "A\tB\tC", line, "m_")).select("A", "B", "C")
+
+
+@binding("s4_unclosed_quote", """
+    SELECT CAST(c_nationkey AS VARCHAR) AS county, CAST(c_custkey AS VARCHAR) AS "A", CASE WHEN c_custkey = last THEN '"open ' || c_name ELSE c_name END AS "B", c_custkey = last AS open_quote
+    FROM (SELECT *, max(c_custkey) OVER (PARTITION BY c_nationkey) AS last FROM customer)""")
+def q_s4_unclosed(spark, d):
+    """The last record of every member opens a quote that nothing closes; in
+    front of it stand records with quoted line ends, behind it a blank line."""
+    last = F.max("c_custkey").over(Window.partitionBy("c_nationkey"))
+    c = table(spark, d, "customer").withColumn("last", last)
+    vid = F.col("c_custkey").cast("string")
+    line = F.when(F.col("c_custkey") == F.col("last"), F.concat(vid, F.lit('\t"open '), "c_name", F.lit("\n"))).otherwise(F.concat_ws("\t", vid, "c_name"))
+    root = scratch_path(spark, "bundles")
+    lines = c.select(F.concat(F.lit("2024_05_01/"), F.pmod("c_nationkey", F.lit(8)).cast("string")).alias("folder"),
+                     F.concat(F.lit("m_"), F.col("c_nationkey").cast("string"), F.lit(".txt")).alias("member"), F.col("c_custkey").alias("seq"), line.alias("line"))
+    paths = [r.path for r in write_zip_bundles(lines, root, "A\tB", "b.zip").collect()]
+    return zipped.read_zip_tsv(spark, paths).select("county", "A", "B", "open_quote")
+
+
+@binding("s2_many_members", """
+    SELECT CAST(o_orderkey % 97 AS VARCHAR) AS county, CAST(o_orderkey AS VARCHAR) AS "ID", o_orderpriority AS "PRIORITY", 'OK ' || o_orderstatus AS "STATUS" FROM orders""")
+def q_s2_many(spark, d):
+    """Bundles of up to 97 members each, read in ranges of 64 KB: a bundle's
+    members go to several tasks."""
+    o = table(spark, d, "orders")
+    root = scratch_path(spark, "bundles")
+    lines = o.select(F.concat(F.lit("2024_05_01/"), F.pmod(F.xxhash64("o_orderkey"), F.lit(4)).cast("string")).alias("folder"),
+                     F.concat(F.lit("m_"), F.pmod("o_orderkey", F.lit(97)).cast("string"), F.lit(".txt")).alias("member"), F.col("o_orderkey").alias("seq"),
+                     F.concat_ws("\t", F.col("o_orderkey").cast("string"), "o_orderpriority", F.concat(F.lit("OK "), "o_orderstatus")).alias("line"))
+    paths = [r.path for r in write_zip_bundles(lines, root, "ID\tPRIORITY\tSTATUS", "b.zip").collect()]
+    ranges = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(ranges)
+    spark.conf.set(ranges, "64k")
+    try:
+        rows = zipped.read_zip_tsv(spark, paths)
+    finally:
+        spark.conf.set(ranges, before)
+    return rows.select("county", "ID", "PRIORITY", "STATUS")
 
 
 # ---------------------------------------------------------------- S8 / S9
@@ -142,17 +181,21 @@ def q_k8(spark, d):
     return sinks.upsert_store(o.where(F.col("n") > middle), root, ["id"], ["n"])
 
 
-@binding("e6_store", f"""
-    SELECT 'OR-' || strftime(election_date, '%Y-%m-%d') || '-' || state_voter_id AS id, state, state_voter_id, election_date,
-           max(voted_on_date) AS voted_on_date FROM ({_DAILY_SQL}) GROUP BY ALL""")
+@binding("e6_store", """
+    WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS state_voter_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS election_date,
+                 CAST(o_orderdate AS DATE) AS voted_on_date, o_orderkey FROM orders WHERE NOT (o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'))
+    SELECT 'OR-' || strftime(election_date, '%Y-%m-%d') || '-' || state_voter_id AS id, 'OR' AS state, state_voter_id, election_date,
+           arg_max(voted_on_date, o_orderkey) AS voted_on_date FROM o GROUP BY state_voter_id, election_date""")
 def q_e6_store(spark, d):
-    """The keyed store after two deliveries. The order of writing is that of
-    the receive date here, so that SQL can tell the later line."""
-    ballots = feeds.daily_voted(spark, _daily_bundles(spark, d), "OR")
+    """The keyed store after two deliveries, by the order of the files: the
+    later line of a voter's county file is the ballot that stays (a bundle's
+    lines stand in the order of their order key)."""
+    root = _daily_bundles(spark, d, buckets=1)
     out = scratch_path(spark, "daily-tables")
+    ballots = stage(feeds.daily_voted(spark, root, "OR", positions=True), "ballots")
     feeds.daily_voted_load(ballots.where(F.dayofmonth("voted_on_date") < 20), out)
     feeds.daily_voted_load(ballots, out)
-    return sinks.read_store(spark, out + "/store").select("id", "state", "state_voter_id", "election_date", "voted_on_date")
+    return KeyedStore.open(spark, out + "/store").read().select("id", "state", "state_voter_id", "election_date", "voted_on_date")
 
 
 # ---------------------------------------------------------------- E5 / T2
@@ -167,14 +210,37 @@ def q_e5_empty(spark, d):
 
 @binding("t2_key_ledger", "SELECT user_id, event_type, min(CAST(ts AS DATE)) AS file_date FROM events GROUP BY user_id, event_type")
 def q_t2_keys(spark, d):
-    """Key-subset stream: files arrive in the order of their dates."""
+    """Key stream: the first third of the dates is a ledger that seeds the
+    state, the next arrives before the last; the stream stops in between and
+    goes on under its checkpoint."""
     e = table(spark, d, "events").select("user_id", "event_type", F.to_date("ts").alias("file_date"))
-    src, target = scratch_path(spark, "ledger-src"), scratch_path(spark, "ledger")
-    middle = e.agg(F.expr("date_add(min(file_date), CAST(datediff(max(file_date), min(file_date)) / 2 AS INT))")).first()[0]
-    for part in (e.where(F.col("file_date") <= F.lit(middle)), e.where(F.col("file_date") > F.lit(middle))):
-        part.coalesce(1).write.mode("append").parquet(src)
-        append_unseen_stream(spark, src, "user_id LONG, event_type STRING, file_date DATE", target, src + "-ckpt", on=["user_id", "event_type"], max_files=1)
-    return spark.read.parquet(target).select("user_id", "event_type", "file_date")
+    src, target, key = scratch_path(spark, "ledger-src"), scratch_path(spark, "ledger"), ["user_id", "event_type"]
+    lo, hi = e.agg(F.min("file_date"), F.max("file_date")).first()
+    cuts = [lo + (hi - lo) * k / 3 for k in (1, 2)]
+    first = F.col("file_date") <= F.lit(cuts[0])
+    ledger = stage(diff.first_seen(e.where(first), key), "ledger")
+    for k, part in enumerate((e.where(~first & (F.col("file_date") <= F.lit(cuts[1]))), e.where(F.col("file_date") > F.lit(cuts[1])))):
+        part.write.parquet(f"{src}/{k}")
+        first_seen_stream(spark, f"{src}/*", "user_id LONG, event_type STRING, file_date DATE", target, f"{target}-ckpt", key, ledger=ledger, max_files=None)
+    added = spark.read.schema("user_id LONG, event_type STRING, file_date DATE").option("recursiveFileLookup", True).parquet(target)
+    return ledger.unionByName(added).select("user_id", "event_type", "file_date")
+
+
+@binding("t1_bad_lines", """
+    SELECT CASE WHEN event_id % 10 <> 3 THEN event_id END AS event_id, CASE WHEN event_id % 10 <> 3 THEN event_type END AS event_type,
+           CASE WHEN event_id % 20 = 3 THEN '{"event_id": ' || event_id WHEN event_id % 20 = 13 THEN '[' || event_id || ']' END AS line FROM events""")
+def q_t1_bad(spark, d):
+    """Every tenth line is cut off or JSON of another shape: it is in the
+    quarantine, and no row of nulls is among the parsed ones."""
+    e = table(spark, d, "events").select("event_id", "event_type")
+    k, text = F.col("event_id") % 20, F.col("event_id").cast("string")
+    line = F.when(k == 3, F.concat(F.lit('{"event_id": '), text)).when(k == 13, F.concat(F.lit("["), text, F.lit("]"))).otherwise(F.to_json(F.struct("event_id", "event_type")))
+    src, good, bad = (scratch_path(spark, n) for n in ("json-src", "json-good", "json-bad"))
+    e.select(line.alias("value")).repartition(4).write.text(src)
+    tail_with_quarantine(spark, src, "event_id LONG, event_type STRING", good, bad, scratch_path(spark, "json-ckpt"), max_files=2)
+    rows = spark.read.schema("event_id LONG, event_type STRING").option("recursiveFileLookup", True).parquet(good).withColumn("line", F.lit(None).cast("string"))
+    lines = spark.read.option("recursiveFileLookup", True).text(bad)
+    return rows.unionByName(lines.select(F.lit(None).cast("long").alias("event_id"), F.lit(None).cast("string").alias("event_type"), F.col("value").alias("line")))
 
 
 # ---------------------------------------------------------------- E3 / E8 / K7 outputs

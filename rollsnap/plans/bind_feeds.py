@@ -143,14 +143,10 @@ def resolved_roll(spark, d):
     # E1 hands over through its processed layer (K1 -> S6), as the feeds do;
     # the cascade then reads files instead of recomputing the clean step
     clean = sinks.write_layer(clean_roll(spark, d), scratch_path(spark, "processed-voters"))
+    places, units = places_from_part(spark, d), places_from_part(spark, d, units=True)
     return feeds.voters_resolve(
-        clean,
-        places_from_part(spark, d),
-        places_from_part(spark, d, units=True),
-        name_labels(spark, d),
-        FILE_DATE,
-        "OR",
-        resolve.reference_passes(),
+        clean, places, units, name_labels(spark, d), FILE_DATE, "OR", resolve.reference_passes(),
+        place_index=resolve.stored_index(places), unit_index=resolve.stored_index(units, group_col=None),
     )
 
 

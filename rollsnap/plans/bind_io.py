@@ -172,11 +172,11 @@ _DAILY_SQL = """
 """
 
 
-def _daily_bundles(spark, d) -> str:
+def _daily_bundles(spark, d, buckets: int = BUCKETS) -> str:
     root = scratch_path(spark, "raw-daily")
     # one folder per (election month, bucket) at any size
-    write_zip_bundles(_ballot_lines(spark, d, True, BUCKETS), root, _BALLOT_HEADER, "older.zip").count()
-    write_zip_bundles(_ballot_lines(spark, d, False, BUCKETS), root, _BALLOT_HEADER, "ballots.zip").count()
+    write_zip_bundles(_ballot_lines(spark, d, True, buckets), root, _BALLOT_HEADER, "older.zip").count()
+    write_zip_bundles(_ballot_lines(spark, d, False, buckets), root, _BALLOT_HEADER, "ballots.zip").count()
     return root
 
 

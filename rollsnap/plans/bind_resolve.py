@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..operators import dims, metrics, resolve
+from ..operators.place_index import PlaceIndex
+from ..session import scratch_path
 from .bind_clean import _homeless_sql
 from .registry import binding, table
 
@@ -94,9 +96,12 @@ def q_j3(spark, d):
 
 # ---------------------------------------------------------------- J4 / J5 / C20
 def _token_binding(spark, d, collapse: bool):
+    index = resolve.stored_index(places_from_part(spark, d, units=not collapse), group_col="group_id" if collapse else None)
+    return _looked_up(spark, d, index, collapse)
+
+
+def _looked_up(spark, d, index, collapse: bool):
     rows = table(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("text"))
-    index = resolve.index_places(places_from_part(spark, d, units=not collapse), "place_id",
-                                 "group_id" if collapse else None)
     acc = resolve.token_lookup(rows.select("text"), index, collapse)
     out = rows.join(acc, "text", "left")
     return out.select(
@@ -130,6 +135,24 @@ def q_j5(spark, d):
     return _token_binding(spark, d, collapse=False)
 
 
+@binding("j4_index_update", _token_sql(True))
+def q_j4_update(spark, d):
+    """The index after three deliveries: first other addresses for a third of
+    the places and places that are no longer there, then the right ones for
+    half of that third, then the rest and the removals; compacted in between
+    and opened anew. It answers as an index of the final places does."""
+    places = places_from_part(spark, d)
+    key = F.col("place_id").cast("long")
+    wrong = places.where(key % 3 == 0).withColumn("PropertyAddressFull", F.reverse("PropertyAddressFull")).withColumn("group_id", F.lit("moved"))
+    gone = places.where(key % 5 == 0).withColumn("place_id", F.concat(F.lit("gone-"), "place_id"))
+    root = scratch_path(spark, "place-index")
+    index = resolve.stored_index(places.where(key % 3 != 0).unionByName(wrong).unionByName(gone), root)
+    index.update(resolve.index_places(places.where(key % 6 == 0)))
+    index.compact()
+    PlaceIndex.open(spark, root).update(resolve.index_places(places.where(key % 3 == 0)), removed=gone.select("place_id"))
+    return _looked_up(spark, d, PlaceIndex.open(spark, root), True)
+
+
 # ---------------------------------------------------------------- J6 + R1-R4
 def lineitem_voters(spark, d):
     """Line items as voters living at their part's 'address'."""
@@ -214,9 +237,9 @@ FROM r
 @binding("j6_address_cascade", _J6_SQL)
 def q_j6(spark, d):
     v = resolve.mark_pass01(lineitem_voters(spark, d))
-    out = resolve.cascade(
-        v, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], CASCADE_PASSES, places_from_part(spark, d), places_from_part(spark, d, units=True)
-    )
+    places, units = places_from_part(spark, d), places_from_part(spark, d, units=True)
+    out = resolve.cascade(v, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], CASCADE_PASSES, places, units,
+                          place_index=resolve.stored_index(places), unit_index=resolve.stored_index(units, group_col=None))
     out = resolve.post_rules(out)
     return out.select("l_orderkey", "l_linenumber", "results", "physical_id", "PropertyAddressFull",
                       "PropertyAddressZIP", "address_type", "PropertyLatitude")

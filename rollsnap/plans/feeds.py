@@ -13,9 +13,11 @@ from ..functions import dates as D
 from ..functions import keys as K
 from ..functions.text import strip_ws
 from ..operators import dedup, diff, dims, filters, project, reshape, resolve
+from ..operators.place_index import PlaceIndex
 from ..operators.metrics import observe_rows, observed_rows
 from ..session import stage
 from ..sources import delimited, sinks, zipped
+from ..sources.keyed_store import KeyedStore
 
 
 PASS_COL = "pass_no"
@@ -81,17 +83,20 @@ def voters_resolve(
     seed: int = 42,
     report: dict | None = None,
     strategy: str = "all",
+    place_index: PlaceIndex | None = None,
+    unit_index: PlaceIndex | None = None,
 ) -> DataFrame:
     """Blanks -> query texts -> pass 01 -> passes 02-07 (one cascade job)
     -> file date / state -> R1-R4 -> year-only birth dates -> gender -> mail id.
-    Column ``pass_no`` holds the pass that resolved a row (A5 per pass)."""
+    Column ``pass_no`` holds the pass that resolved a row (A5 per pass);
+    stored indexes of places and units are used where given."""
     if sample:
         clean = project.fixed_sample(clean, sample, seed, ["state_voter_id"])
     df = project.fill_blank(_counted(clean, "clean", report))
     df = resolve.reference_texts(df)
     df = resolve.mark_pass01(df)
     df = resolve.cascade(df, "state_voter_id", passes or resolve.reference_passes(), places, units, strategy=strategy,
-                         pass_col=PASS_COL)
+                         pass_col=PASS_COL, place_index=place_index, unit_index=unit_index)
     df = project.with_constants(df, {"file_date": F.lit(str(_as_date(file_date))).cast("date"),
                                      "state": state.lower()})
     df = resolve.post_rules(df)
@@ -103,19 +108,26 @@ def voters_resolve(
 
 # --------------------------------------------------------------------------- E3
 def voters_publish(resolved: DataFrame, table_path: str | None, file_date, view: str | None = None,
-                   json_path: str | None = None):
-    """Missing registration date -> file date, blanks, final typed
-    projection; replace the dated partition and make its date current (K2,
-    K7), and/or write JSON documents (K6). Returns ``(good, rejects)``.
+                   json_path: str | None = None, sample: int | None = None, seed: int = 42,
+                   report: dict | None = None, staged: bool = False):
+    """(sample) -> missing registration date -> file date, blanks, final
+    typed projection; replace the dated partition and make its date current
+    (K2, K7), and/or write JSON documents (K6). Returns ``(good, rejects)``.
 
     With an output the checked rows are staged first: clean and cascade run
-    once, however many tables are written from them."""
+    once, however many tables are written from them (``staged`` says that
+    ``resolved`` is a written layer already). With ``report`` (a dict) and a
+    table, the rows loaded and rejected are counted in it (K9)
+    once they are written; ``load_counts`` reads it."""
     fd = _as_date(file_date)
+    if sample:
+        resolved = project.fixed_sample(resolved, sample, seed, ["state_voter_id"])
     df = resolved.withColumn("registration_date", D.fill_date("registration_date", str(fd)))
     df = project.fill_blank(df)
-    if table_path or json_path:
+    if (table_path or json_path) and not (staged and not sample):
         df = stage(df.select(*C.VOTERS_FINAL_COLUMNS), "voters-final")
     good, rejects = project.typed_projection(df, C.VOTERS_TYPES, C.VOTERS_FINAL_COLUMNS)
+    good, rejects = _counted(good, "loaded", report), _counted(rejects, "rejected", report)
     if table_path:
         sinks.replace_snapshot(good, table_path, "file_date")
         sinks.current_view(good.sparkSession, table_path, view, fd)
@@ -124,6 +136,11 @@ def voters_publish(resolved: DataFrame, table_path: str | None, file_date, view:
     return good, rejects
 
 
+def load_counts(report: dict) -> dict[str, int]:
+    """K9: the numbers in a report whose stages have run."""
+    return {name: observed_rows(seen) for name, seen in report.items()}
+
+
 # --------------------------------------------------------------------------- E4 / E5
 def history_long(raw: DataFrame, state: str = "or", id_header: str = "VOTER_ID", sample: int | None = None,
                  seed: int = 42, report: dict | None = None) -> DataFrame:
@@ -142,10 +159,13 @@ def history_long(raw: DataFrame, state: str = "or", id_header: str = "VOTER_ID",
     return _counted(dedup.distinct_rows(project.final_projection(df, C.HISTORY_FINAL_COLUMNS)), "long", report)
 
 
-def history_publish(long: DataFrame, table_path: str) -> int:
-    """E5: append unseen rows, one partition per election date; only the
-    touched election partitions of the table are read. Returns rows added."""
+def history_publish(long: DataFrame, table_path: str, sample: int | None = None, seed: int = 42) -> int:
+    """E5: (sample) -> append unseen rows, one partition per election date;
+    only the touched election partitions of the table are read. Returns rows
+    added."""
     df = project.final_projection(long, C.HISTORY_FINAL_COLUMNS)
+    if sample:
+        df = project.fixed_sample(df, sample, seed)
     return sinks.append_unseen(df, table_path, partition_by=["election_date"])
 
 
@@ -226,25 +246,30 @@ def precincts(raw: DataFrame, file_date, state: str = "or", sample: int | None =
 
 # --------------------------------------------------------------------------- loads
 def daily_voted_load(ballots: DataFrame, root: str) -> dict[str, int]:
-    """E6 loads: processed layer (K1); keyed document store by
-    ``STATE-election_date-voter`` (C3 + K8, the later line of the files wins);
-    insert-only current and history tables partitioned by election date (J1 +
-    K3, only touched partitions read). Returns rows appended per table.
+    """E6 loads: processed layer by election date (K1); keyed document store
+    by ``STATE-election_date-voter`` (C3 + K8, the later line of the files
+    wins; ``KeyedStore`` in ``<root>/store``); insert-only current and history
+    tables partitioned by election date (J1 + K3, only touched partitions
+    read). Returns rows appended per table.
 
     ``ballots`` should carry ``BALLOT_ORDER`` (``daily_voted(...,
     positions=True)``); without it the later receive date counts as later."""
     order = [c for c in BALLOT_ORDER if c in ballots.columns] or ["voted_on_date", "county"]
-    processed = sinks.write_layer(ballots, f"{root}/processed")
-    documents = ballot_ids(processed)
+    # one file set per election date: a newer delivery leaves other dates' layers
+    staged = stage(ballots, "ballots")
+    sinks.replace_snapshot(staged, f"{root}/processed", "election_date", "gzip")
+    documents = ballot_ids(staged)
     if order[0] not in BALLOT_ORDER:
         documents = documents.withColumns({f"__{c}": F.col(c) for c in order})
         order = [f"__{c}" for c in order]
-    store = sinks.upsert_store(documents, f"{root}/store", ["id"], order)
-    rows = processed.select(*C.DAILY_FINAL_COLUMNS)
+    documents = documents.select("id", *C.DAILY_FINAL_COLUMNS, *order)
+    store = KeyedStore.of(documents.drop(*order), f"{root}/store", ["id"])
+    store.upsert(documents, order)
+    rows = staged.select(*C.DAILY_FINAL_COLUMNS)
     return {
         "current": sinks.append_unseen(rows, f"{root}/current", partition_by=["election_date"]),
         "history": sinks.append_unseen(rows, f"{root}/history", partition_by=["election_date"]),
-        "store": store.count(),
+        "store": store.read().count(),
     }
 
 
@@ -267,6 +292,19 @@ def motor_voter_load(snapshot: DataFrame, ledger_path: str, state: str = "or") -
     return observed_rows(obs)
 
 
+def motor_voter_merge(snapshot: DataFrame, ledger_root: str, state: str = "or") -> int:
+    """E7 (back-fill correct): new snapshots merged into a keyed store that
+    holds the first date of every (state, county, voter), in whatever order
+    the snapshots arrive. Only keys that are new or get an earlier date are
+    written. An empty delivery changes nothing (F9). Returns rows written."""
+    if not filters.has_rows(snapshot):
+        return 0
+    keys = ["state", "county", "state_voter_id"]
+    df = project.with_constants(snapshot.select("state_voter_id", "county", "file_date"), {"state": state.lower()})
+    first = project.final_projection(diff.first_seen(df, keys, "file_date"), C.MOTOR_FINAL_COLUMNS)
+    return KeyedStore.of(first, ledger_root, keys, least="file_date").upsert(first)
+
+
 def precincts_load(df: DataFrame, table_path: str, csv_folder: str | None = None,
                    view: str | None = None, file_date=None, layer: str | None = None) -> DataFrame:
     """E8 loads: final layer (K1, at ``layer``), the dated table replaced

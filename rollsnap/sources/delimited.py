@@ -131,10 +131,10 @@ def snapshot_date(path_col) -> "F.Column":
     return F.try_to_date(txt, "yyyy-MM-dd")
 
 
-def read_snapshots(spark: SparkSession, root_glob: str, sep: str = ",", encoding: str = "UTF-8",
+def read_snapshots(spark: SparkSession, root_glob: str | list[str], sep: str = ",", encoding: str = "UTF-8",
                    contract: dict[str, list[str]] | None = None) -> DataFrame:
-    """Every dated snapshot under ``root_glob`` (e.g. ``raw/*/omv``) in
-    **one** job, each row tagged with ``file_date`` from its folder name.
+    """Every dated snapshot under ``root_glob`` (e.g. ``raw/*/omv``, or
+    a list of files) in **one** job, each row tagged with ``file_date`` from its folder name.
     Files outside a dated folder belong to no snapshot and are skipped."""
     df = read_delimited(spark, root_glob, sep, encoding, with_path=True, contract=contract)
     return df.withColumn("file_date", snapshot_date("_source_path")).where("file_date IS NOT NULL").drop("_source_path")

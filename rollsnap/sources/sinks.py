@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..operators.diff import new_rows
 from ..operators.metrics import observe_rows, observed_rows
 from ..session import stage
+from .manifest import Manifest
 from .tables import table_exists
 
 
@@ -30,13 +31,14 @@ def write_layer(df: DataFrame, path: str, compression: str = "gzip") -> DataFram
     return df.sparkSession.read.parquet(path)
 
 
-def replace_snapshot(df: DataFrame, path: str, partition_col: str = "file_date") -> None:
+def replace_snapshot(df: DataFrame, path: str, partition_col: str = "file_date", compression: str = "snappy") -> None:
     """K2: replace the dated table(s) present in ``df``; other dates stay
     untouched (dynamic partition overwrite). Rows are dealt by date first, so
     a date is a few files, not one per task."""
     (
         df.hint("rebalance", F.col(partition_col)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", compression)
         .partitionBy(partition_col)
         .parquet(path)
     )
@@ -82,10 +84,15 @@ def touched_partitions(old: DataFrame, new: DataFrame, partition_by: list[str])
     return old.alias("__o").join(t, cond, "left_semi")
 
 
+def timestamp() -> str:
+    """Seconds since 1970, the name of a drop."""
+    return str(int(_dt.datetime.now(_dt.timezone.utc).timestamp()))
+
+
 def csv_drop(df: DataFrame, folder: str, name: str | None = None) -> str:
     """K5: header-less CSV drop in a timestamp-named subfolder; quotes inside
     a quoted field are doubled."""
-    name = name or str(int(_dt.datetime.now(_dt.timezone.utc).timestamp()))
+    name = name or timestamp()
     out = os.path.join(folder, name)
     df.write.mode("overwrite").option("header", False).option("escape", '"').csv(out)
     return out
@@ -97,9 +104,10 @@ def json_lines(df: DataFrame, path: str) -> None:
 
 
 def point_current(spark: SparkSession, path: str, date) -> None:
-    """K7: make one dated snapshot the current one. The choice is kept beside
-    the table (``<path>__current``), so it outlives the session."""
-    spark.createDataFrame([(str(date),)], "date string").coalesce(1).write.mode("overwrite").json(f"{path}__current")
+    """K7: make one dated snapshot the current one. The choice is a numbered
+    record beside the table (``<path>__current``), so it outlives the session;
+    until the new record is whole, readers take the one before."""
+    Manifest(spark, f"{path}__current").commit({"date": str(date)})
 
 
 def current_view(spark: SparkSession, path: str, view: str | None = None, date=None, date_col: str = "file_date") -> DataFrame:
@@ -109,10 +117,8 @@ def current_view(spark: SparkSession, path: str, view: str | None = None, date=N
     if date is not None:
         point_current(spark, path, date)
     df = spark.read.parquet(path)
-    if table_exists(spark, f"{path}__current"):
-        date = spark.read.schema("date string").json(f"{path}__current").first()[0]
-    elif date is None:
-        date = df.agg(F.max(date_col)).first()[0]
+    chosen = Manifest(spark, f"{path}__current").newest()
+    date = chosen["date"] if chosen else df.agg(F.max(date_col)).first()[0]
     cur = df.where(F.col(date_col) == F.lit(str(date)).cast("date"))
     if view:
         cur.createOrReplaceTempView(view)

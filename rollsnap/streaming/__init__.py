@@ -1,3 +1,3 @@
-"""Structured Streaming forms of the feeds (T1 JSON tail, T2 insert-only load)."""
+"""Structured Streaming forms of the feeds."""
 
-from .streams import append_unseen_stream, json_tail, run_to_parquet  # noqa: F401
+from .streams import append_unseen_stream, first_seen_stream, json_tail, run_to_parquet, tail_with_quarantine  # noqa: F401

@@ -1,16 +1,21 @@
 """Structured Streaming forms of the feeds.
 
 * T1 tails a folder of JSON-lines files, parses each line into fields and
-  drops the raw text.
+  drops the raw text. Lines that are no such JSON go to a quarantine.
 * T2 is the repeated insert-only load as a file-source stream: every
   micro-batch is de-duplicated and anti-joined (null-safe) against the target
   before it is appended. ``foreachBatch`` is at-least-once, and the anti-join
   makes a replayed batch append nothing, so the sink is effectively
   exactly-once. Checkpoints live in the shared folder.
+* ``first_seen_stream`` keeps the keys it has seen in a state store instead:
+  a micro-batch meets the state of its own keys, never the ledger, which is
+  read once to seed the state.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,13 +26,52 @@ from ..operators.dedup import first_by_order
 from ..sources.sinks import append_rows, read_existing, touched_partitions
 
 
-def json_tail(spark: SparkSession, folder: str, schema: T.StructType | str, max_files: int | None = None) -> DataFrame:
-    """Streaming frame of the parsed lines of every file in ``folder``."""
+def json_tail(spark: SparkSession, folder: str, schema: T.StructType | str, max_files: int | None = None,
+              corrupt: str | None = None) -> DataFrame:
+    """Streaming frame of the parsed lines of every file in ``folder``.
+    A line that is no JSON of the schema is a row of nulls; ``corrupt`` names
+    a further column that holds such a line's text (null for good lines)."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     lines = reader.load(folder)
-    return lines.select(F.from_json("value", schema).alias("j")).select("j.*")
+    if not corrupt:
+        return lines.select(F.from_json("value", fields).alias("j")).select("j.*")
+    whole = T.StructType([*fields.fields, T.StructField(corrupt, T.StringType())])
+    parsed = lines.select("value", F.from_json("value", whole, {"columnNameOfCorruptRecord": corrupt}).alias("j"))
+    # JSON of another shape (a number, a list) parses to no struct at all
+    bad = F.when(F.col("j").isNull(), F.col("value")).otherwise(F.col(f"j.`{corrupt}`"))
+    return parsed.select(*[F.col(f"j.`{f.name}`").alias(f.name) for f in fields.fields], bad.alias(corrupt))
+
+
+def _drain(stream: DataFrame, checkpoint: str, load) -> None:
+    q = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
+def _epoch(folder: str, checkpoint: str, epoch_id: int) -> str:
+    """Where one micro-batch of one checkpoint writes: a replay overwrites
+    its own rows and nothing else."""
+    return f"{folder}/stream={hashlib.md5(checkpoint.encode()).hexdigest()[:12]}/epoch={epoch_id}"
+
+
+def tail_with_quarantine(spark: SparkSession, folder: str, schema: T.StructType | str, target: str, quarantine: str,
+                         checkpoint: str, max_files: int | None = None) -> None:
+    """T1 with dead letters: drain ``folder``; parsed lines go to ``target``
+    (parquet), the text of the others to ``quarantine`` (one text line each).
+    Every line lands in exactly one of them, also when a batch is replayed."""
+    lines = json_tail(spark, folder, schema, max_files, corrupt="__line")
+
+    def load(batch: DataFrame, epoch_id: int) -> None:
+        batch.persist()
+        try:
+            batch.where("__line IS NULL").drop("__line").write.mode("overwrite").parquet(_epoch(target, checkpoint, epoch_id))
+            batch.where("__line IS NOT NULL").select("__line").write.mode("overwrite").text(_epoch(quarantine, checkpoint, epoch_id))
+        finally:
+            batch.unpersist()
+
+    _drain(lines, checkpoint, load)
 
 
 def run_to_parquet(stream: DataFrame, target: str, checkpoint: str) -> None:
@@ -88,3 +132,60 @@ def append_unseen_stream(
     )
     q.awaitTermination()
     return appended
+
+
+def _first_seen_processor(date_col: str, names: list[str], key: list[str]):
+    """Keeps the first date of a key; a key's row comes out once, when it is
+    first seen."""
+    import pandas as pd
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    class FirstSeen(StatefulProcessor):
+        def init(self, handle):
+            self._seen = handle.getValueState("first", "first DATE")
+
+        def handleInputRows(self, key_values, rows, timer_values):
+            least = min((d for part in rows for d in part[date_col] if d is not None and d == d), default=None)
+            if not self._seen.exists():
+                self._seen.update((least,))
+                yield pd.DataFrame({n: [least if n == date_col else key_values[key.index(n)]] for n in names})
+
+        def handleInitialState(self, key_values, seed, timer_values):
+            self._seen.update((min((d for d in seed[date_col] if d is not None and d == d), default=None),))
+
+        def close(self):
+            pass
+
+    return FirstSeen()
+
+
+def first_seen_stream(spark: SparkSession, source: str, schema: T.StructType | str, target: str, checkpoint: str,
+                      key: list[str], date_col: str = "file_date", ledger: DataFrame | None = None,
+                      max_files: int | None = 1, source_format: str = "parquet") -> None:
+    """T2 on keys: drain ``source`` (rows of the key and a date) and append
+    to ``target`` one row per key not seen before, with the least date of the
+    micro-batch that brought it.
+
+    The keys seen live in a state store (RocksDB, under the checkpoint); a
+    micro-batch touches the state of its own keys only. ``ledger`` (key and
+    date) seeds the state of a new checkpoint. A restarted stream goes on with
+    its state; a replayed micro-batch overwrites its own output."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.readStream.format(source_format).schema(fields)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    rows = reader.load(source).select(*[f"`{c}`" for c in (*key, date_col)])
+    out = T.StructType([f for f in fields.fields if f.name in (*key, date_col)])
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        first = rows.groupBy(*[F.col(f"`{k}`") for k in key]).transformWithStateInPandas(
+            _first_seen_processor(date_col, out.names, key), out, "Append", "None",
+            initialState=ledger.select(*[f"`{c}`" for c in (*key, date_col)]).groupBy(*[F.col(f"`{k}`") for k in key]) if ledger is not None else None)
+        _drain(first, checkpoint, lambda batch, epoch_id: batch.write.mode("overwrite").parquet(_epoch(target, checkpoint, epoch_id)))
+    finally:
+        if before is None:
+            spark.conf.unset(provider)
+        else:
+            spark.conf.set(provider, before)

@@ -259,29 +259,28 @@ def test_history_long_shuffles_once(spark):
     assert _exchanges(out) == 1 and out.count() == 1
 
 
+
+
 def test_candidates_per_query_do_not_grow_with_places(spark):
     """Addresses of a large vocabulary: ten times the places hold every single
     token ten times as often, but a pair of them hardly more often."""
     from pyspark.sql import functions as F
 
-    def pairs_met(n):
+    from rollsnap.operators.place_index import PassingIndex
+
+    def met(n):
         places = spark.range(n).selectExpr(
             "CAST(id AS STRING) AS place_id", "CAST(id AS STRING) AS group_id",
             "concat_ws(' ', id % 997, concat('st', id DIV 7 % 5003), concat('zip', id % 89), 'or') AS PropertyAddressFull")
-        index = resolve.index_places(places).cache()
-        freq = resolve.token_frequencies(index)
+        index = PassingIndex(resolve.index_places(places).cache())
         texts = places.where("id % 50 = 0").select(F.col("PropertyAddressFull").alias("text"))
-        q = texts.select(resolve.token_key("text").alias("key")).distinct()
-        rare = (q.select("key", F.explode(F.split("key", " ")).alias("t")).join(freq, "t").groupBy("key")
-                .agg(F.array_join(F.array_sort(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("df", "t"))), 1, 2), lambda x: x["t"])), " ").alias("probe")))
-        postings = index.select("place_id", F.explode(resolve._token_pairs(F.col("pt"))).alias("probe"))
-        found = rare.join(postings, "probe").count() / rare.count()
-        accepted = resolve.token_lookup(texts, index, True).count()
-        index.unpersist()
-        return found, accepted
-
-    (small, _), (large, accepted) = pairs_met(2_000), pairs_met(20_000)
-    assert large <= 2 * small and large < 4
+        keys = texts.select(resolve.token_key("text").alias("key")).distinct()
+        probes = index.probes(keys)
+        pairs = probes.join(index.pairs(probes).select("pair"), "pair").count()
+        return pairs / probes.count(), index.candidates(keys).count() / keys.count(), resolve.token_lookup(texts, index, True).count()
+
+    (small, _, _), (large, candidates, accepted) = met(2_000), met(20_000)
+    assert large <= 2 * small and large < 4 and candidates <= large
     assert accepted > 0
 
 
