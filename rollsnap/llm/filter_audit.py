@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import PLAIN_WORD, byte_set, chunks, ids, per_row, rows_of, span_hashes
+from .common import PLAIN_WORD, Scratch, byte_set, chunks, ids, per_row, rows_of, span_hashes
 
 #: fixed values of the audit: fewest words, least percentage of distinct words, largest of capitals, symbols
 WORDS, DISTINCT, CAPITALS, SYMBOLS = 50, 65, 5, b"#$%&*|"
@@ -121,7 +121,9 @@ def tally(docs: DataFrame, labels: DataFrame) -> DataFrame:
     lab = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"))
     no = F.lit(False)
-    one = failures(docs).groupBy("doc_id", "part", "digest", "failed").agg(F.count(F.lit(1)).alias("n"))
+    # written once: both branches below read it, and the texts are read once
+    one = Scratch(docs.sparkSession, "audit").write(failures(docs), "failures")
+    one = one.groupBy("doc_id", "part", "digest", "failed").agg(F.count(F.lit(1)).alias("n"))
     named = one.where("doc_id IS NOT NULL").join(lab, "doc_id", "left").withColumn("good", F.coalesce("good", no)).withColumn("toxic", F.coalesce("toxic", no))
     kind = ["part", "digest", "failed", "good", "toxic"]
     named = named.groupBy(*kind).agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "n")).alias("first"))
