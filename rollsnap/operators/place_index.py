@@ -28,10 +28,11 @@ remains is verified against the place's tokens.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stage, together
 from ..sources import bucketed
 from ..sources.manifest import Manifest
 
@@ -40,22 +41,21 @@ MISSING = "\u0000missing"
 
 #: table -> (columns, column it is bucketed by)
 _TABLES = {
-    "places": (T.StructType.fromDDL("pid STRING, place_id STRING, group_id STRING, pt ARRAY<STRING>, gen INT"), "pid"),
-    "postings": (T.StructType.fromDDL("th BIGINT, pid STRING, sig BIGINT, gen INT"), "th"),
-    "tokens": (T.StructType.fromDDL("th BIGINT, n BIGINT, gen INT"), "th"),
-    "changed": (T.StructType.fromDDL("pid STRING, gen INT"), "pid"),
+    "places": ("pid STRING, place_id STRING, group_id STRING, pt ARRAY<STRING>, gen INT", "pid"),
+    "postings": ("th BIGINT, pid STRING, sig BIGINT, gen INT", "th"),
+    "tokens": ("th BIGINT, n BIGINT, gen INT", "th"),
+    "changed": ("pid STRING, gen INT", "pid"),
 }
 
 
-def hashes(tokens: Column) -> Column:
-    """Distinct 64-bit hashes of an array of tokens."""
-    return F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t)))
+def hashes(tokens: str) -> str:
+    """SQL: distinct 64-bit hashes of an array of tokens."""
+    return f"array_distinct(transform({tokens}, t -> xxhash64(t)))"
 
 
-def signature(token_hashes: Column) -> Column:
-    """64 bits, one set by each token."""
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))
-    return F.aggregate(token_hashes, F.lit(0).cast("long"), lambda s, h: s.bitwiseOR(bit(h)))
+def signature(token_hashes: str) -> str:
+    """SQL: 64 bits, one set by each token."""
+    return f"aggregate({token_hashes}, 0L, (s, h) -> s | shiftleft(1L, CAST(pmod(h, 64) AS INT)))"
 
 
 class PlaceIndex:
@@ -84,7 +84,7 @@ class PlaceIndex:
     def _place(self, part: str, state: dict | None = None) -> tuple:
         columns, key = _TABLES[part]
         state = state or self.state
-        return f"{self.root}/{state['data']}/{part}", columns, [key], state["buckets"]
+        return f"{self.root}/{state['data']}/{part}", T.StructType.fromDDL(columns), [key], state["buckets"]
 
     def _add(self, rows: DataFrame, part: str, state: dict | None = None) -> None:
         bucketed.add(rows, *self._place(part, state))
@@ -108,7 +108,6 @@ class PlaceIndex:
         pid = F.coalesce(F.col("place_id").cast("string"), F.lit(MISSING)).alias("pid")
         self._add(places.select(pid, "place_id", "group_id", "pt", F.lit(gen).alias("gen")), "places")
         new = self.read("places", [gen])
-        self._add(self._postings(new), "postings")
         change = self._frequencies(new)
         replaced = self.state["replaced"]
         if self.state["gens"]:
@@ -119,7 +118,7 @@ class PlaceIndex:
             self._add(old.select("pid").distinct().withColumn("gen", F.lit(gen)), "changed")
             change = change.unionAll(self._frequencies(old).withColumn("n", -F.col("n")))
             replaced = replaced or not self.read("changed", [gen]).isEmpty()
-        self._add(change.withColumn("gen", F.lit(gen)), "tokens")
+        together(lambda: self._add(self._postings(new), "postings"), lambda: self._add(change.withColumn("gen", F.lit(gen)), "tokens"))
         self._commit({**self.state, "gens": [*self.state["gens"], gen], "replaced": replaced})
 
     def compact(self, buckets: int | None = None) -> None:
@@ -129,8 +128,7 @@ class PlaceIndex:
         new = PlaceIndex(self.spark, self.root, {"buckets": int(buckets or self.state["buckets"]), "data": f"data-{gen}", "gens": [gen], "replaced": False})
         new._add(self.live(self.read("places")).withColumn("gen", F.lit(gen)), "places")
         rows = new.read("places")
-        new._add(self._postings(rows), "postings")
-        new._add(self._frequencies(rows).withColumn("gen", F.lit(gen)), "tokens")
+        together(lambda: new._add(self._postings(rows), "postings"), lambda: new._add(self._frequencies(rows).withColumn("gen", F.lit(gen)), "tokens"))
         self._commit(new.state)
 
     def _commit(self, state: dict) -> None:
@@ -139,61 +137,59 @@ class PlaceIndex:
 
     @staticmethod
     def _postings(places: DataFrame) -> DataFrame:
-        h = places.select("pid", "gen", hashes(F.col("pt")).alias("h"))
-        return h.select("pid", "gen", signature(F.col("h")).alias("sig"), F.explode("h").alias("th")).distinct()
+        h = places.selectExpr("pid", "gen", f"{hashes('pt')} AS h")
+        return h.selectExpr("pid", "gen", f"{signature('h')} AS sig", "explode(h) AS th").distinct()
 
     @staticmethod
     def _frequencies(places: DataFrame) -> DataFrame:
-        each = places.select("pid", F.explode(hashes(F.col("pt"))).alias("th")).distinct()
-        return each.groupBy("th").agg(F.count(F.lit(1)).alias("n"))
+        each = places.selectExpr("pid", f"explode({hashes('pt')}) AS th").distinct()
+        return each.groupBy("th").agg(F.expr("count(1) AS n"))
 
     # ------------------------------------------------------------------ lookups
     def frequencies(self) -> DataFrame:
         """(th, n): places per token; a bucket's rows add up where they lie."""
-        return self.read("tokens").groupBy("th").agg(F.sum("n").alias("n")).where("n > 0")
+        return self.read("tokens").groupBy("th").agg(F.expr("sum(n) AS n")).where("n > 0")
 
     def probes(self, keys: DataFrame) -> DataFrame:
-        """(key, sig, a, b) of every query all of whose tokens occur: its
-        rarest token and the next one (itself if there is no other)."""
-        h = keys.select("key", hashes(F.split("key", " ")).alias("h"))
-        h = h.select("key", "h", signature(F.col("h")).alias("sig"))
-        known = h.select("key", "sig", F.size("h").alias("size"), F.explode("h").alias("th")).join(self.frequencies(), "th")
-        # the first two of a few tokens: smallest, and smallest of the others
-        met = known.groupBy("key", "sig", "size").agg(F.count(F.lit(1)).alias("k"), F.array_sort(F.collect_list(F.struct("n", "th"))).alias("t"))
-        met = met.where("k = size").select("key", "sig", F.col("t")[0].alias("a"), F.coalesce(F.get("t", F.lit(1)), F.col("t")[0]).alias("b"))
-        return met.select("key", "sig", "a", "b", F.xxhash64("a.th", "b.th").alias("pair"))
+        """(key, sig, a, b, pair) of every query all of whose tokens occur:
+        its rarest token and the next one (itself if there is no other), each
+        with its frequency."""
+        h = keys.selectExpr("key", f"{hashes("split(key, ' ')")} AS h").selectExpr("key", "h", f"{signature('h')} AS sig")
+        known = h.selectExpr("key", "sig", "size(h) AS size", "explode(h) AS th").join(self.frequencies(), "th")
+        met = known.groupBy("key", "sig", "size").agg(F.expr("count(1) AS k"), F.expr("array_sort(collect_list(struct(n, th))) AS t")).where("k = size")
+        return met.selectExpr("key", "sig", "t[0] AS a", "coalesce(get(t, 1), t[0]) AS b").selectExpr("*", "xxhash64(a.th, b.th) AS pair")
 
     def pairs(self, probes: DataFrame) -> DataFrame:
         """(pair, pid, gen, sig): of every place the pairs that some query may probe."""
-        no, yes = F.lit(False), F.lit(True)
-        one = F.col("a.th") == F.col("b.th")
-        role = F.explode(F.array(
-            F.struct(F.col("a.th").alias("th"), F.col("a.n").alias("n"), (~one).alias("first"), no.alias("second"), one.alias("alone")),
-            F.struct(F.col("b.th").alias("th"), F.col("b.n").alias("n"), no.alias("first"), (~one).alias("second"), no.alias("alone")))).alias("r")
-        asked = probes.select("a", "b").distinct().select(role).select("r.*")
-        asked = asked.groupBy("th", "n").agg(*[F.max(c).alias(c) for c in ("first", "second", "alone")])
+        role = """inline(array(named_struct('th', a.th, 'n', a.n, 'first', a.th <> b.th, 'second', false, 'alone', a.th = b.th),
+                               named_struct('th', b.th, 'n', b.n, 'first', false, 'second', a.th <> b.th, 'alone', a.th = b.th)))"""
+        asked = probes.selectExpr(role).groupBy("th", "n").agg(*[F.expr(f"max({c}) AS {c}") for c in ("first", "second", "alone")])
         left = self.read("postings").join(asked, "th")
-        have = left.groupBy("pid", "gen", "sig").agg(F.array_sort(F.collect_list(F.struct("n", "th", "first", "second", "alone"))).alias("t"))
-        alone = F.transform(F.filter("t", lambda x: x["alone"]), lambda x: F.xxhash64(x["th"], x["th"]))
-        later = lambda x: F.filter("t", lambda y: y["second"] & ((y["n"] > x["n"]) | ((y["n"] == x["n"]) & (y["th"] > x["th"]))))
-        two = F.flatten(F.transform(F.filter("t", lambda x: x["first"]), lambda x: F.transform(later(x), lambda y: F.xxhash64(x["th"], y["th"]))))
-        return have.select("pid", "gen", "sig", F.explode(F.concat(alone, two)).alias("pair"))
+        have = left.groupBy("pid", "gen", "sig").agg(F.expr("array_sort(collect_list(struct(n, th, first, second, alone))) AS t"))
+        # a token that some query probes alone, and each first with every second behind it
+        alone = "transform(filter(t, x -> x.alone), x -> xxhash64(x.th, x.th))"
+        behind = "filter(t, y -> y.second AND (y.n > x.n OR (y.n = x.n AND y.th > x.th)))"
+        two = f"flatten(transform(filter(t, x -> x.first), x -> transform({behind}, y -> xxhash64(x.th, y.th))))"
+        return have.selectExpr("pid", "gen", "sig", f"explode(concat({alone}, {two})) AS pair")
 
     def candidates(self, keys: DataFrame) -> DataFrame:
         """(key, pid, gen): places that may hold all tokens of a query."""
-        probes = self.probes(keys)
-        places = self.pairs(probes).select("pair", "pid", "gen", F.col("sig").alias("held"))
-        met = probes.select("pair", "key", "sig").join(places, "pair").where(F.col("held").bitwiseAND(F.col("sig")) == F.col("sig"))
+        probes = self._once(self.probes(keys))               # read twice: for the tokens asked and the pairs met
+        places = self.pairs(probes).withColumnRenamed("sig", "held")
+        met = probes.select("pair", "key", "sig").join(places, "pair").where("held & sig = sig")
         return self.live(met.select("key", "pid", "gen"))
 
+    def _once(self, rows: DataFrame) -> DataFrame:
+        return stage(rows, "probes")
+
     def lookup_keys(self, keys: DataFrame, collapse: bool) -> DataFrame:
         """(key, place_id) of every accepted query, for distinct ``keys``
         (sorted distinct tokens joined by blanks)."""
         rows = self.read("places").select("pid", "gen", "place_id", "group_id", "pt")
-        hits = self.candidates(keys).join(rows, ["pid", "gen"]).where(F.forall(F.split("key", " "), lambda x: F.array_contains("pt", x)))
-        g = F.coalesce(F.col("group_id"), F.lit(MISSING))
-        agg = hits.groupBy("key").agg(F.count(F.lit(1)).alias("n_hits"), F.min(g).alias("lo"), F.max(g).alias("hi"), F.min("place_id").alias("place_id"))
-        return agg.where(F.col("lo") == F.col("hi") if collapse else F.col("n_hits") == 1).select("key", "place_id")
+        hits = self.candidates(keys).join(rows, ["pid", "gen"]).where("forall(split(key, ' '), t -> array_contains(pt, t))")
+        hits = hits.withColumn("g", F.coalesce(F.col("group_id"), F.lit(MISSING)))
+        agg = hits.groupBy("key").agg(*[F.expr(e) for e in ("count(1) AS n_hits", "min(g) AS lo", "max(g) AS hi", "min(place_id) AS place_id")])
+        return agg.where("lo = hi" if collapse else "n_hits = 1").select("key", "place_id")
 
 
 class PassingIndex(PlaceIndex):
@@ -205,6 +201,9 @@ class PassingIndex(PlaceIndex):
         pid = F.coalesce(F.col("place_id").cast("string"), F.lit(MISSING)).alias("pid")
         self._rows = places.select(pid, "place_id", "group_id", "pt", F.lit(0).alias("gen"))
 
+    def _once(self, rows: DataFrame) -> DataFrame:
+        return rows
+
     def read(self, part: str, gens: list[int] | None = None) -> DataFrame:
         if part == "tokens":
             return self._frequencies(self._rows)

@@ -29,7 +29,7 @@ from ..contracts import PLACE_RESULT_COLUMNS, PLACE_TEXT_FIELDS
 from ..functions.keys import number_or_zero
 from ..functions.predicates import contains_literal, equals_flag, pattern_flag
 from ..functions.text import analyze, search_text
-from ..session import scratch_path, stage
+from ..session import scratch_path, stage, together
 from .place_index import PassingIndex, PlaceIndex
 
 NOT_FOUND = "Not Found"
@@ -76,6 +76,12 @@ def stored_index(places: DataFrame, root: str | None = None, id_col: str = "plac
     return index
 
 
+def stored_indexes(places: DataFrame, units: DataFrame, id_col: str = "place_id", group_col: str | None = "group_id") -> dict[str, PlaceIndex]:
+    """Stored indexes of the two place tables, as ``cascade`` takes them."""
+    both = together(lambda: stored_index(places, None, id_col, group_col), lambda: stored_index(units, None, id_col, None))
+    return dict(zip(("place_index", "unit_index"), both))
+
+
 def token_lookup(texts: DataFrame, index: PlaceIndex | DataFrame, collapse: bool, text_col: str = "text") -> DataFrame:
     """J4 (``collapse=True``) / J5 (``collapse=False``) against a stored index
     or the rows of ``index_places``.
@@ -300,15 +306,17 @@ def _answers(pending: DataFrame, passes: list[Pass], lookups: dict) -> DataFrame
         pending.select(F.col(c).alias("text"), *[F.lit((c, kind) in wanted).alias(f"ask_{kind}") for kind in lookups]).distinct()
         for c in sorted({c for c, _ in wanted})])
     asked = stage(_analysed(texts.groupBy("text").agg(*[F.max(f"ask_{kind}").alias(f"ask_{kind}") for kind in lookups])), "cascade-texts")
+    kinds = [kind for kind in lookups if any(k == kind for _, k in wanted)]
+
+    def hits(kind: str) -> DataFrame:
+        index, collapse, _ = lookups[kind]
+        return index.lookup_keys(asked.where(f"ask_{kind}").select("key").distinct(), collapse).select("key", F.col("place_id").alias(kind))
+
     out = asked
-    for kind, (index, collapse, _) in lookups.items():
-        if any(k == kind for _, k in wanted):
-            hit = index.lookup_keys(asked.where(f"ask_{kind}").select("key").distinct(), collapse).select("key", F.col("place_id").alias(kind))
-            out = out.join(hit, "key", "left")
-            # a key shared with a text of other passes answers only who asked
-            out = out.withColumn(kind, F.when(F.col(f"ask_{kind}"), F.col(kind)))
-        else:
-            out = out.withColumn(kind, F.lit(None).cast("string"))
+    for kind, hit in zip(kinds, together(*[lambda kind=kind: hits(kind) for kind in kinds])):
+        # a key shared with a text of other passes answers only who asked
+        out = out.join(hit, "key", "left").withColumn(kind, F.when(F.col(f"ask_{kind}"), F.col(kind)))
+    out = out.withColumns({kind: F.lit(None).cast("string") for kind in lookups if kind not in kinds})
     return stage(out.select("text", *lookups).where(" OR ".join(f"{kind} IS NOT NULL" for kind in lookups)), "cascade-answers")
 
 

@@ -146,7 +146,7 @@ def resolved_roll(spark, d):
     places, units = places_from_part(spark, d), places_from_part(spark, d, units=True)
     return feeds.voters_resolve(
         clean, places, units, name_labels(spark, d), FILE_DATE, "OR", resolve.reference_passes(),
-        place_index=resolve.stored_index(places), unit_index=resolve.stored_index(units, group_col=None),
+        **resolve.stored_indexes(places, units),
     )
 
 

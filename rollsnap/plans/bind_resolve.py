@@ -239,7 +239,7 @@ def q_j6(spark, d):
     v = resolve.mark_pass01(lineitem_voters(spark, d))
     places, units = places_from_part(spark, d), places_from_part(spark, d, units=True)
     out = resolve.cascade(v, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], CASCADE_PASSES, places, units,
-                          place_index=resolve.stored_index(places), unit_index=resolve.stored_index(units, group_col=None))
+                          **resolve.stored_indexes(places, units))
     out = resolve.post_rules(out)
     return out.select("l_orderkey", "l_linenumber", "results", "physical_id", "PropertyAddressFull",
                       "PropertyAddressZIP", "address_type", "PropertyLatitude")

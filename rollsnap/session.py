@@ -7,6 +7,7 @@ import contextvars
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +78,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def together(*jobs) -> list:
+    """Run independent Spark jobs at the same time (each a function without
+    arguments): the tasks of one fill the cores that the other leaves idle."""
+    scope = contextvars.copy_context()
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(scope.copy().run, job) for job in jobs]]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through Spark's file system, if it exists."""
     jvm = spark.sparkContext._jvm
