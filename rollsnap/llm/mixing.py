@@ -28,6 +28,8 @@ MOST = 3
 UNIT = 1 << 24
 #: steps of the offset that are tried
 PHASES = 16
+#: so many sources at most make a broadcast table
+SOURCES = 100_000
 #: names the offsets
 SEED = "mix-1"
 
@@ -73,18 +75,25 @@ def _crossed(offset: Column) -> Column:
     return (F.floor(upto / UNIT) - F.floor((upto - F.col("unit")) / UNIT)).cast("long")
 
 
+def _few(per_source: DataFrame) -> DataFrame:
+    """A written table of one row per source, broadcast where their counted
+    number bounds its size; so the rows of a large source stay where they are.
+    With more sources than that it is joined by a shuffle."""
+    return F.broadcast(per_source) if per_source.count() <= SOURCES else per_source
+
+
 def copies(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """doc_id, source, size, source_size, target, copies of every row."""
     scratch = Scratch(sized.sparkSession, "mix")
     rows = in_order(sized, scratch, "rows", ["source"], ["size", "doc_id"])
-    share = targets(rows, weights, most).withColumnRenamed("source", "__source")
+    share = _few(scratch.write(targets(rows, weights, most).withColumnRenamed("source", "__source"), "share"))
     rows = rows.join(share, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     rows = scratch.write(running_total(rows, "source", "unit", "upto").withColumn("start", start()).drop("part", "row"), "sums")
     scratch.drop("rows")
     step = UNIT // PHASES
     sums = rows.groupBy("source").agg(F.first("target").alias("target"), *[F.sum(_crossed(F.col("start") + k * step) * F.col("size")).alias(f"s{k}") for k in range(PHASES)])
     best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"s{k}") - F.col("target")).alias("miss"), F.lit(k * step).alias("add")) for k in range(PHASES)]))
-    best = sums.select(F.col("source").alias("__source"), best["add"].alias("add"))
+    best = _few(scratch.write(sums.select(F.col("source").alias("__source"), best["add"].alias("add")), "offsets"))
     rows = rows.join(best, F.col("source").eqNullSafe(F.col("__source")))
     return rows.select("doc_id", "source", "size", "source_size", "target", _crossed(F.col("start") + F.col("add")).alias("copies"))
 
@@ -94,12 +103,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
     columns they came with."""
     whole = boxed(docs, "doc_id", "source", words().alias("size"))
     taken = copies(whole.select("doc_id", "source", "size"), weights, most)
-    # rows of one doc_id, source and size are interchangeable: met by number
+    # rows of one doc_id, source and size are interchangeable: their numbers of
+    # copies are told as how many rows are taken how often, and dealt out again
+    # where the row meets them; so the texts are shuffled once
     key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("d"), F.col("doc_id").isNull().alias("dn"),
            F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("sn"), "size"]
     names = ["d", "dn", "s", "sn", "size"]
-    nth = F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0)))
-    left = whole.select("row", *key).withColumn("nth", nth)
-    right = taken.select("copies", *key).withColumn("nth", F.row_number().over(Window.partitionBy(*names).orderBy("copies"))).where("copies > 0")
-    out = left.join(right, [*names, "nth"]).select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return unboxed(out)
+    told = taken.select("copies", *key).groupBy(*names, "copies").agg(F.count(F.lit(1)).alias("n"))
+    # a source's rows are taken one of two numbers of times: two entries at most
+    told = told.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("copies", "n"))).alias("t")).where("t[size(t) - 1].copies > 0")
+    met = whole.select("row", *key).join(told, names).withColumn("nth", _nth(names))
+    often = F.when((F.size("t") == 1) | (F.col("nth") <= F.col("t")[0]["n"]), F.col("t")[0]["copies"]).otherwise(F.element_at("t", -1)["copies"])
+    return unboxed(met.withColumn("often", often).where("often > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "often"))))
+
+
+def _nth(names: list[str]) -> Column:
+    """Number of a row among those of its names, in the order of the rows
+    themselves where these differ in their hash: reruns agree."""
+    return F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64("row")))
