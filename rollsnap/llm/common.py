@@ -4,6 +4,7 @@ bounded label samples and vectorised word kernels over Arrow text columns."""
 from __future__ import annotations
 
 import functools
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -73,15 +74,17 @@ def fold(doc_id: str, folds: int) -> Column:
 
 def label_sample(docs: DataFrame, labels: DataFrame, target: str, max_rows: int, where: Column | None = None) -> DataFrame:
     """At most ``max_rows`` labelled documents (doc_id, text, y), the same on
-    every run: ids in the order of their hash. Ids labelled twice with
-    different values and null labels are left out. The bound makes the
-    broadcast of the id list safe."""
+    every run: ids in the order of their hash, of repeated rows one. Ids
+    labelled twice with different values and null labels are left out. The
+    bound holds for ids, which makes the broadcast of their list safe, and for
+    rows, however often an id or its text is repeated."""
     lab = labels.select("doc_id", F.col(target).cast("int").alias("y")).where("doc_id IS NOT NULL AND y IS NOT NULL")
     if where is not None:
         lab = lab.where(where)
     lab = lab.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("__hi")).where("y = __hi").drop("__hi")
     lab = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(lab), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(lab), "doc_id").dropDuplicates(["doc_id", "text"])
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text").limit(max_rows)
 
 
 # --------------------------------------------------------------------------
@@ -196,6 +199,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: spans of more bytes are hashed by BLAKE2: sums modulo 2^64 agree for some
+#: pairs of long words (Thue-Morse words, from 1,024 bytes on), whatever the base
+LONG_SPAN = 256
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold_case: bool = False) -> np.ndarray:
     """Hash of each byte span: prefix sums of code(b_i)*base^i, shifted back
     to the span's start, so equal spans hash alike wherever they stand."""
@@ -203,7 +211,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold_cas
     pre = np.empty(len(data) + 1, np.uint64)
     pre[0] = 0
     np.cumsum(codes[data] * powers(len(data)), out=pre[1:])
-    return mix((pre[ends] - pre[starts]) * powers(len(data) + 1, True)[starts] + (ends - starts).astype(np.uint64))
+    out = mix((pre[ends] - pre[starts]) * powers(len(data) + 1, True)[starts] + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > LONG_SPAN):
+        span = data[starts[i]:ends[i]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(span.lower() if fold_case else span, digest_size=8).digest(), "big")
+    return out
 
 
 def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
