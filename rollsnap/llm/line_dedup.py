@@ -18,7 +18,7 @@ one comparison a line and round, and no candidate pair between different
 groups is left out.
 
 A line is named by the 64-bit hash of its text; equal lines are one line from
-the start. Shingles are of UTF-16 units.
+the start. Shingles are of code points.
 
 Defined cases: lines without words are never removed and not counted; a null
 or empty text has no lines; a line shorter than a shingle is one shingle; the
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, boxed
 from .graph import components
 
-#: UTF-16 units of a shingle
+#: code points of a shingle
 SHINGLE = 8
 #: bands, and minima of each; a pair at similarity 0.8 shares a band with
 #: probability 1 - (1 - 0.8^4)^12 = 0.998, one at 0.85 with 0.9999
@@ -51,9 +51,9 @@ ROUNDS = 3
 def shingles(line: str | Column, size: int = SHINGLE) -> Column:
     """Hashes of the distinct shingles of a line."""
     # the outer transform binds the encoded line: a lambda would encode it anew for every shingle
-    return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-16BE")), lambda raw: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.octet_length(raw) / 2 - size, F.lit(0)).cast("int")),
-        lambda i: F.xxhash64(F.substring(raw, 2 * i + 1, 2 * size))))[0])
+    return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-32")), lambda raw: F.transform(
+        F.sequence(F.lit(0), F.greatest(F.octet_length(raw) / 4 - size, F.lit(0)).cast("int")),
+        lambda i: F.xxhash64(F.substring(raw, 4 * i + 1, 4 * size))))[0])
 
 
 def with_bands(lines: DataFrame, bands: int = BANDS, minima: int = MINIMA) -> DataFrame:
