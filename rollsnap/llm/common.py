@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
+from ..sources import bucketed
 
 #: bytes of text handled by one numpy pass (a longer document is a pass of its own)
 CHUNK_BYTES = 2 << 20
@@ -40,6 +41,23 @@ class Scratch:
         self.paths[part] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, part: str, key: str, dealt: bool = False) -> DataFrame:
+        """Like ``write``, in buckets of ``key``: joins on it do not shuffle
+        the table again. ``dealt``: ``df`` is partitioned by the key already."""
+        ship_package(self.spark)
+        path = scratch_path(self.spark, f"{self.name}-{part}")
+        place = (path, df.schema, [key], int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        bucketed.add(df, *place, dealt=dealt)
+        self.paths[part] = path
+        return bucketed.rows_of(self.spark, *place)
+
+    def clear(self, *keep: str) -> None:
+        """Delete all tables but those named, and let Spark's cleaner find
+        the shuffles of the plans that nothing holds any more: it learns of
+        them when the driver collects garbage."""
+        self.drop(*[p for p in self.paths if p not in keep])
+        self.spark._jvm.System.gc()
+
     def drop(self, *parts: str) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for part in parts:

@@ -412,11 +412,12 @@ def link_groups(docs: DataFrame, per_bucket: int = BUCKET_ENTRIES, rounds: int =
     buckets = max(8, -(-shingles // (5 * per_bucket)))
 
     blocks = posting_blocks(docs, count_grades(measured), buckets)
-    lists = scratch.write(posting_lists(blocks), "lists")
+    # read in every round: lists and members lie in buckets of the class, so the rounds do not deal them anew
+    lists = scratch.bucketed(posting_lists(blocks), "lists", "sig")
     # one text for every class that stands in a list
     one = sets.where("n > 0").groupBy("sig").agg(F.min("k").alias("k")).join(lists.select("sig").distinct(), "sig", "left_semi").select("k")
     texts = _keyed(docs).select("k", "text").join(one, "k", "left_semi").select("text")
-    members = scratch.write(texts.mapInArrow(_members, "sig long, members binary").dropDuplicates(["sig"]), "members")
+    members = scratch.bucketed(texts.mapInArrow(_members, "sig long, members binary").dropDuplicates(["sig"]), "members", "sig", dealt=True)
 
     comp = seen = None
     hubs = scratch.write(lists.select("sig").distinct().withColumn("met", F.array().cast(_MET)), "hubs")
@@ -449,13 +450,17 @@ def link_groups(docs: DataFrame, per_bucket: int = BUCKET_ENTRIES, rounds: int =
             hub = now.groupBy(F.col("v").alias("sig")).agg(F.min(F.struct((1 - F.col("shared") / F.col("joint")).alias("far"), "u")).alias("b"))
             here = F.struct(F.coalesce("b.u", "sig").alias("hub"), F.coalesce("b.far", F.lit(0.0)).alias("far"))
             hubs = scratch.write(hubs.join(hub, "sig", "left").select("sig", F.concat("met", F.array(here)).alias("met")), f"hubs{k}")
+            scratch.drop(f"hubs{k - 1}" if k else "hubs")
 
     classes = sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("low")).join(comp.withColumnRenamed("node", "sig"), "sig", "left")
     classes = classes.select("sig", "low", F.coalesce("root", "sig").alias("root"))
     least = classes.groupBy("root").agg(F.min("low").alias("component_id"))
     classes = classes.select("sig", "root").join(least, "root")
     out = sets.join(classes, (sets["sig"] == classes["sig"]) & (sets["n"] > 0), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "k", "root")
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "k", "root")
+    out = scratch.write(out, "groups")
+    scratch.clear("groups")
+    return out
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
