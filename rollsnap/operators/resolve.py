@@ -213,7 +213,8 @@ def cascade(
 ) -> DataFrame:
     """Resolve rows still 'Not Found' through ``passes`` in order.
 
-    ``row_key`` names the column(s) that identify a row uniquely. With
+    ``row_key`` names the column(s) that identify a row (rows that share them
+    get the same answer). With
     ``materialize`` the narrow lookup inputs of the unresolved rows (key and
     query texts) are written once to the shared folder, since every pass
     reads them; the full rows are read once more for the final merge.
@@ -261,6 +262,8 @@ def cascade(
         if pass_col:
             blanks[pass_col] = F.lit(None).cast("double")
         return df.drop("__row").withColumns(blanks)
+    # a key that the rows repeat gets one answer, so no row is multiplied
+    best = best.groupBy("row_key").agg(F.min(F.struct("pass_no", "src", "place_id")).alias("w")).select("row_key", "w.*")
     attrs = _attr_table(places, "places", place_id)
     if units is not places:
         attrs = attrs.unionByName(_attr_table(units, "units", place_id))

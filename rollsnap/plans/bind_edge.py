@@ -45,12 +45,12 @@ def q_k5(spark, d):
 
 
 # ---------------------------------------------------------------- S2 / S4 / U1: members of any shape
-def _members(spark, d, header: str, line, name: str, spread=F.col("c_custkey")):
-    """Customers as members of bundles, one bundle per hash of ``spread``;
-    the bundles' paths."""
+def _members(spark, d, header: str, line, name: str):
+    """Customers as members of bundles, dealt to the bundles by the hash of
+    their key; the bundles' paths."""
     c = table(spark, d, "customer")
     root = scratch_path(spark, "bundles")
-    folder = F.concat(F.lit("2024_05_01/"), F.pmod(F.xxhash64(spread), F.lit(8)).cast("string"))
+    folder = F.concat(F.lit("2024_05_01/"), F.pmod(F.xxhash64("c_custkey"), F.lit(8)).cast("string"))
     lines = c.select(folder.alias("folder"), F.concat(F.lit(name), F.col("c_nationkey").cast("string"), F.lit(".txt")).alias("member"),
                      F.col("c_custkey").alias("seq"), line.alias("line"))
     return [r.path for r in write_zip_bundles(lines, root, header, "b.zip").collect()]

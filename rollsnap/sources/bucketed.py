@@ -22,11 +22,14 @@ def known(spark: SparkSession, path: str, schema: T.StructType, key: list[str],
     return name
 
 
-def add(df: DataFrame, path: str, schema: T.StructType, key: list[str], buckets: int) -> None:
+def add(df: DataFrame, path: str, schema: T.StructType, key: list[str], buckets: int, dealt: bool = False) -> None:
     """Append rows. They are dealt as the buckets are, so a bucket gets one
-    file; a bucket without new rows gets none."""
+    file; a bucket without new rows gets none. ``dealt`` says that ``df`` is
+    partitioned by the key already."""
     rows = df.select(*[f"`{f.name}`" for f in schema.fields])
-    rows.repartition(buckets, *[f"`{k}`" for k in key]).write.insertInto(known(df.sparkSession, path, schema, key, buckets))
+    if not dealt:
+        rows = rows.repartition(buckets, *[f"`{k}`" for k in key])
+    rows.write.insertInto(known(df.sparkSession, path, schema, key, buckets))
 
 
 def rows_of(spark: SparkSession, path: str, schema: T.StructType, key: list[str], buckets: int) -> DataFrame:
