@@ -55,7 +55,7 @@ ROUNDS = 4
 #: a round compares a class with at most this many leaders to the power of the round
 LEADERS = 4
 #: pairs looked at in one numpy pass
-PAIR_CHUNK = 4_000_000
+PAIR_CHUNK = 1_000_000
 
 _KEY_BITS = np.uint64(58)
 
