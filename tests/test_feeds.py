@@ -84,3 +84,50 @@ def test_voters_job_from_raw_files_equals_feed(spark):
     key = lambda r: tuple("" if v is None else str(v) for v in r)
     assert sorted(map(key, got.select(*C.VOTERS_FINAL_COLUMNS).collect())) == \
         sorted(map(key, want.select(*C.VOTERS_FINAL_COLUMNS).collect()))
+
+
+def test_jobs_write_their_layers_by_date(spark, tmp_path):
+    """History and precincts from files: a newer delivery leaves the layers of
+    other dates, a sample is that many rows, a re-delivery adds nothing."""
+    from rollsnap.plans import jobs
+
+    def drop(name, text):
+        (tmp_path / name).mkdir(parents=True, exist_ok=True)
+        (tmp_path / name / "f.csv").write_text(text)
+        return str(tmp_path / name / "*.csv")
+
+    table = str(tmp_path / "history")
+    first = drop("2022_06_01", "VOTER_ID,5/17/2022,NOTES\n1,yes,x\n2,no,y\n")
+    assert jobs.run_history(spark, first, table, "or") == 2
+    second = drop("2024_06_01", "VOTER_ID,5/17/2022,5/21/2024\n1,yes,yes\n2,no,-\n")
+    assert jobs.run_history(spark, second, table, "or") == 1
+    assert jobs.run_history(spark, second, table, "or") == 0
+    layer = spark.read.parquet(f"{table}__processed")
+    assert {str(r[0]) for r in layer.select("election_date").distinct().collect()} == {"2022-05-17", "2024-05-21"}
+    assert jobs.run_history(spark, second, str(tmp_path / "sampled"), "or", sample=1) >= 1
+
+    raw = drop("raw", "COUNTY,DISTRICT_TYPE,DISTRICT_NAME,PRECINCT,PRECINCT_NAME,SPLIT\nLane,City,X,1,P1,0\nLane,City,X,1,P1,0\nLinn,City,Y,2,P2,0\n")
+    links = str(tmp_path / "precincts")
+    jobs.run_precincts(spark, raw, links, "2024-01-01", "OR")
+    jobs.run_precincts(spark, raw, links, "2024-02-01", "OR", sample=1)
+    got = {str(r.file_date): r["count"] for r in spark.read.parquet(links).groupBy("file_date").count().collect()}
+    assert got == {"2024-01-01": 2, "2024-02-01": 1}
+    for name in ("processed", "final"):
+        assert spark.read.parquet(f"{links}__{name}").groupBy("file_date").count().count() == 2
+
+
+def test_voters_job_counts_what_it_loads(spark, tmp_path):
+    from rollsnap.plans import bind_feeds, jobs
+    from rollsnap.plans.bind_resolve import places_from_part
+    from rollsnap.operators import resolve
+
+    raw = bind_feeds.raw_roll(spark, SF).withColumn("LAST_NAME", F.when(F.expr("try_cast(VOTER_ID AS INT) % 2 = 0"), F.repeat(F.lit("x"), 101)).otherwise(F.col("LAST_NAME")))
+    raw.write.option("header", True).csv(str(tmp_path / "raw"))
+    places, units = places_from_part(spark, SF), places_from_part(spark, SF, units=True)
+    report = {}
+    got = jobs.run_voters(spark, str(tmp_path / "raw"), places, units, bind_feeds.name_labels(spark, SF), str(tmp_path / "voters"), "2024-06-30", "OR", 2024,
+                          tie_breakers=["physical_address_1"], report=report, **resolve.stored_indexes(places, units))
+    rejects = spark.read.json(str(tmp_path / "voters__rejects"))
+    assert report == {"loaded": got.count(), "rejected": rejects.count()} and min(report.values()) > 0
+    resolved = spark.read.parquet(str(tmp_path / "voters__resolved"))
+    assert resolved.count() == sum(report.values())
