@@ -9,7 +9,9 @@ host, and Spark folds those of all tasks, so a host of any size is inferred
 from all its pages while only wrappers travel.
 
 Wrappers carry sums (pages, characters, link characters, least and greatest
-text hash) per token. They decide, per host, which part of the wrapper is the
+text hash) per token. On how many of the host's differing pages a constant
+slot stands is counted by Spark from a short row a page (the page's digest and
+the ids of its slots), over all pages. They decide, per host, which part of the wrapper is the
 article: the part with most running text, less what is marked as boilerplate
 by its tag, its class or role, by links, or, outside of an article, by one
 constant text on nearly all of the host's differing pages.
@@ -22,6 +24,8 @@ columns are ignored."""
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import html as references
 import json
 import re
@@ -66,8 +70,6 @@ LAYOUT_WORDS = CHROME_WORDS | frozenset("article body byline caption card center
 MAX_DEPTH = 150
 #: allowed inside an article
 ARTICLE_PARTS = frozenset(["header"])
-#: a host's differing pages are known by the least of their hashes, so many
-PAGE_SAMPLE = 10
 #: never left out for a class word
 WHOLE_TAGS = frozenset("#root html body main article".split())
 HEADINGS = frozenset(["h1", "h2"])
@@ -253,7 +255,7 @@ class Wrapper:
         self.key, self.optional, self.repeated = key, False, False
         self.pages = self.chars = self.linked = self.hi = 0
         self.most = 0       # pages of which it holds more than half of the text outside links
-        self.seen: list[int] = []       # least hashes of the differing pages it stands on: of the root and of constant slots
+        self.seen: list[str] = []       # digests of the differing pages it stands on: of the root and of constant slots (none where Spark counts them)
         self.lo, self.kids = 1 << 40, {}
 
     def pack(self) -> list:
@@ -266,7 +268,7 @@ class Wrapper:
         w.kids = {k.key: k for k in map(cls.unpack, v[10])}
         return w
 
-    def sampled(self) -> bool:
+    def apart(self) -> bool:
         """Whether its pages are told apart."""
         return self.key == "#root" or (self.key == "#text" and not self.repeated and self.lo == self.hi)
 
@@ -282,13 +284,28 @@ class Wrapper:
         return f"({body})" + ("+" if self.repeated else "") + ("?" if self.optional else "") if self.optional or self.repeated else body
 
 
+@functools.lru_cache(1 << 16)
+def slot_id(path: tuple[str, ...]) -> int:
+    """Names a token of a host's wrapper by its path; () is the root."""
+    return int.from_bytes(hashlib.blake2b("\n".join(path).encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def apart_slots(root: Wrapper) -> Iterator[tuple[int, Wrapper]]:
+    """The tokens whose pages are told apart, with their ids."""
+    todo: list[tuple[Wrapper, tuple[str, ...]]] = [(root, ())]
+    while todo:
+        w, path = todo.pop()
+        if w.apart():
+            yield slot_id(path), w
+        todo += [(k, (*path, k.key)) for k in w.kids.values()]
+
+
 def page_wrapper(page: Node) -> Wrapper:
     """The wrapper of a single page: siblings of one key fold into a
     repeated group."""
-    number = 0
+    texts = hashlib.blake2b(digest_size=16)     # of all texts of the page
 
     def fold(nodes: list[Node], into: Wrapper) -> None:
-        nonlocal number
         for node in nodes:
             met: dict[str, list] = {}
             for kid in node.kids:
@@ -302,8 +319,9 @@ def page_wrapper(page: Node) -> Wrapper:
                 if key == "#text":
                     for t in kids:
                         value = t.value()
-                        code = zlib.crc32(value.encode("utf-8", "surrogatepass"))
-                        number = zlib.crc32(code.to_bytes(4, "little"), number)
+                        raw = value.encode("utf-8", "surrogatepass")
+                        code = zlib.crc32(raw)
+                        texts.update(raw + b"\n")
                         w.chars += len(value)
                         w.linked += min(t.linked, len(value))
                         w.lo, w.hi = min(w.lo, code), max(w.hi, code)
@@ -313,12 +331,8 @@ def page_wrapper(page: Node) -> Wrapper:
     out = Wrapper("#root")
     out.pages = 1
     fold([page], out)
-    todo = [out]
-    while todo:
-        w = todo.pop()
-        if w.sampled():
-            w.seen = [number]
-        todo += w.kids.values()
+    for _, w in apart_slots(out):
+        w.seen = [texts.hexdigest()]
     whole = out.unlinked()
     todo = [out]
     while todo:     # no part of an element without most of the text has most of it
@@ -340,10 +354,10 @@ def align(a: Wrapper, b: Wrapper) -> Wrapper:
     a.linked += b.linked
     a.most += b.most
     a.lo, a.hi = min(a.lo, b.lo), max(a.hi, b.hi)
-    if not a.sampled():
+    if not a.apart():
         a.seen = []
     elif a.seen != b.seen:
-        a.seen = sorted({*a.seen, *b.seen})[:PAGE_SAMPLE]
+        a.seen = sorted({*a.seen, *b.seen})
     if a.kids.keys() == b.kids.keys():
         for key, kid in b.kids.items():
             align(a.kids[key], kid)
@@ -375,11 +389,15 @@ def _parts(key: str) -> tuple[str, list[str], str]:
     return name, words, role
 
 
-def article_paths(root: Wrapper) -> tuple[tuple[str, ...], set[tuple[str, ...]]]:
-    """(path of the article, paths left out of it) in a wrapper."""
+def article_paths(root: Wrapper, apart: dict[int, int] | None = None) -> tuple[tuple[str, ...], set[tuple[str, ...]]]:
+    """(path of the article, paths left out of it) in a wrapper. ``apart``:
+    number of differing pages by slot id; without it the wrapper's own lists
+    of pages are counted."""
     left_out: set[tuple[str, ...]] = set()
     constants: set[tuple[str, ...]] = set()
-    differing = set(root.seen)
+    if apart is None:
+        apart = {slot: len(w.seen) for slot, w in apart_slots(root)}
+    differing = apart.get(slot_id(()), 0)
     weight: dict[tuple[str, ...], int] = {}
     named: list[tuple[str, ...]] = []
 
@@ -390,8 +408,8 @@ def article_paths(root: Wrapper) -> tuple[tuple[str, ...], set[tuple[str, ...]]]
     def weigh(w: Wrapper, path: tuple[str, ...], inside: bool) -> int:
         if w.key == "#text":
             heading = len(path) > 1 and _parts(path[-2])[0] in ALL_HEADINGS
-            # a page among the least hashes of the host is among those of each slot it has, so copies of a page count once
-            constant = not inside and not heading and w.sampled() and len(root.seen) >= 3 and 10 * len(differing.intersection(w.seen)) >= 9 * len(root.seen)
+            # copies of a page count once
+            constant = not inside and not heading and w.apart() and differing >= 3 and 10 * apart.get(slot_id(path), 0) >= 9 * differing
             if constant:
                 constants.add(path)
             weight[path] = 0 if constant else w.chars - w.linked
@@ -468,22 +486,37 @@ def host_of(url: str | Column = "url") -> Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit(""))
 
 
-_WRAPPED = "host string, wrapper string"
+_FOLDED = "host string, wrapper string, page binary, slots array<long>"
+_WRAPPED = "host string, wrapper string, constant array<long>"
 
 
 def _fold_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a page: its digest and the slots it has; and the wrappers of
+    the task's hosts, which hold no list of pages."""
     held: dict[str, Wrapper] = {}
 
+    def rows(hosts: list, packed: list, pages: list, slots: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(packed, pa.string()), pa.array(pages, pa.binary()), pa.array(slots, pa.list_(pa.int64()))],
+                                          ["host", "wrapper", "page", "slots"])
+
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([json.dumps(w.pack()) for w in held.values()], pa.string())], ["host", "wrapper"])
+        return rows(list(held), [json.dumps(w.pack()) for w in held.values()], [None] * len(held), [None] * len(held))
 
     for batch in batches:
+        hosts, pages, slots = [], [], []
         for host, page in zip(ids(batch, "host"), ids(batch, "html")):
             host, one = host.as_py(), page_wrapper(parse(page.as_py() or ""))
+            hosts.append(host)
+            pages.append(bytes.fromhex(one.seen[0]))
+            found = list(apart_slots(one))
+            slots.append([slot for slot, _ in found])
+            for _, w in found:
+                w.seen = []
             held[host] = align(held[host], one) if host in held else one
             if len(held) > HELD_HOSTS:
                 yield out()
                 held = {}
+        yield rows(hosts, [None] * len(hosts), pages, slots)
     if held:
         yield out()
 
@@ -494,27 +527,35 @@ def _fold_wrappers(part: pa.Table) -> pa.Table:
     whole = Wrapper.unpack(json.loads(got[0]))
     for w in got[1:]:
         whole = align(whole, Wrapper.unpack(json.loads(w)))
-    return pa.table([pa.array([part.column("host")[0].as_py()], pa.string()), pa.array([json.dumps(whole.pack())], pa.string())], ["host", "wrapper"])
+    return pa.table([pa.array([part.column("host")[0].as_py()], pa.string()), pa.array([json.dumps(whole.pack())], pa.string()),
+                     pa.array([[slot for slot, _ in apart_slots(whole)]], pa.list_(pa.int64()))], ["host", "wrapper", "constant"])
 
 
-def infer(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) from all pages (url, html)."""
-    tasks = pages.select(host_of().alias("host"), "html").mapInArrow(_fold_pages, _WRAPPED)
-    some = tasks.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(64)))
+def infer(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """(host, wrapper, apart) from all pages (url, html); ``apart``: on how
+    many differing pages each constant slot stands."""
+    folded = scratch.write(pages.select(host_of().alias("host"), "html").mapInArrow(_fold_pages, _FOLDED), "folded")
+    some = folded.where("wrapper IS NOT NULL").select("host", "wrapper", F.pmod(F.spark_partition_id(), F.lit(64)).alias("part"))
     some = some.groupBy("host", "part").applyInArrow(_fold_wrappers, _WRAPPED)
-    return some.groupBy("host").applyInArrow(_fold_wrappers, _WRAPPED)
+    wrappers = scratch.write(some.select("host", "wrapper").groupBy("host").applyInArrow(_fold_wrappers, _WRAPPED), "whole")
+    met = folded.where("page IS NOT NULL").select("host", "page", "slots").join(wrappers.select("host", "constant"), "host")
+    # pages of the same texts are one page, which has the slots that any of them has
+    each = met.groupBy("host", "page").agg(F.collect_set(F.array_sort(F.array_intersect("slots", "constant"))).alias("slots"))
+    each = each.select("host", F.explode(F.array_distinct(F.flatten("slots"))).alias("slot"))
+    apart = each.groupBy("host", "slot").agg(F.count(F.lit(1)).alias("n")).groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("slot", "n"))).alias("apart"))
+    return wrappers.join(apart, "host").select("host", "wrapper", "apart")
 
 
 def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[str, tuple] = {}
     for batch in batches:
         texts = []
-        for host, wrapper, page in zip(ids(batch, "host"), ids(batch, "wrapper"), ids(batch, "html")):
+        for host, wrapper, apart, page in zip(*[ids(batch, c) for c in ("host", "wrapper", "apart", "html")]):
             host = host.as_py()
             if host not in known:
                 if len(known) > HELD_HOSTS:
                     known = {}
-                known[host] = article_paths(Wrapper.unpack(json.loads(wrapper.as_py())))
+                known[host] = article_paths(Wrapper.unpack(json.loads(wrapper.as_py())), dict(apart.as_py()))
             tree = parse(page.as_py() or "")
             blocks = read_page(tree, *known[host])
             if not blocks:      # a page unlike its host's others is its own wrapper
@@ -526,6 +567,7 @@ def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and article text of every page."""
     kinds = dict(pages.dtypes)
-    wrappers = Scratch(pages.sparkSession, "wrappers").write(infer(pages), "wrappers")
+    scratch = Scratch(pages.sparkSession, "wrappers")
+    wrappers = scratch.write(infer(pages, scratch), "wrappers")
     met = pages.select("page_id", "url", "html", host_of().alias("host")).join(wrappers, "host")
     return met.mapInArrow(_read_pages, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")

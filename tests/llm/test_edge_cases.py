@@ -253,3 +253,15 @@ def test_runs_keep_their_names_when_a_task_runs_again(spark, odd):
     assert by_row(blocks, "run", "bucket") == by_row(blocks, "run", "bucket")
     heads = blocks.where("bucket < 0")
     assert heads.count() == heads.distinct().count() > 1
+
+
+@pytest.mark.parametrize("with_note", [range(34), [i for i in range(40) if i % 10]])
+def test_constant_texts_are_counted_on_all_pages(spark, with_note):
+    """A note on 34 or 36 of a host's 40 pages, 90 % being the bound."""
+    note = "<div>All rights are ours.</div>"
+    rows = [(i, "http://n.example/x", f"<body><h1>Title {i}</h1><p>{LONG}{i}</p>{note if i in with_note else ''}</body>") for i in range(40)]
+    rows += rows[:5] * 30                   # copies count once
+    got = wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)).collect()
+    assert len(got) == 190
+    stays = len(with_note) < 36
+    assert all(("All rights" in r.text) == (stays and r.page_id in with_note) for r in got)
