@@ -85,7 +85,7 @@ class DatedTable:
         """Rewrite the dates that at least ``min_runs`` runs make up, as one
         run. Returns them; rows and readers are the same before and after."""
         state = self.state()
-        many = [d for d, runs in state["dates"].items() if len(runs) >= min_runs]
+        many = sorted(d for d, runs in state["dates"].items() if len(runs) >= min_runs)
         if many:
             run, _, _ = self._write(self.read(many))
             self._manifest.commit({**state, "dates": {**state["dates"], **{d: [run] for d in many}}})
