@@ -24,6 +24,7 @@ from ..operators.diff import new_rows
 from ..operators.metrics import observe_rows, observed_rows
 from ..operators.dedup import first_by_order
 from ..sources.sinks import append_rows, read_existing, touched_partitions
+from ..sources.tables import table_exists
 
 
 def json_tail(spark: SparkSession, folder: str, schema: T.StructType | str, max_files: int | None = None,
@@ -45,8 +46,8 @@ def json_tail(spark: SparkSession, folder: str, schema: T.StructType | str, max_
     return parsed.select(*[F.col(f"j.`{f.name}`").alias(f.name) for f in fields.fields], bad.alias(corrupt))
 
 
-def _drain(stream: DataFrame, checkpoint: str, load) -> None:
-    q = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def _drain(stream: DataFrame, checkpoint: str, load, mode: str = "append") -> None:
+    q = stream.writeStream.foreachBatch(load).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
@@ -134,31 +135,6 @@ def append_unseen_stream(
     return appended
 
 
-def _first_seen_processor(date_col: str, names: list[str], key: list[str]):
-    """Keeps the first date of a key; a key's row comes out once, when it is
-    first seen."""
-    import pandas as pd
-    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-
-    class FirstSeen(StatefulProcessor):
-        def init(self, handle):
-            self._seen = handle.getValueState("first", "first DATE")
-
-        def handleInputRows(self, key_values, rows, timer_values):
-            least = min((d for part in rows for d in part[date_col] if d is not None and d == d), default=None)
-            if not self._seen.exists():
-                self._seen.update((least,))
-                yield pd.DataFrame({n: [least if n == date_col else key_values[key.index(n)]] for n in names})
-
-        def handleInitialState(self, key_values, seed, timer_values):
-            self._seen.update((min((d for d in seed[date_col] if d is not None and d == d), default=None),))
-
-        def close(self):
-            pass
-
-    return FirstSeen()
-
-
 def first_seen_stream(spark: SparkSession, source: str, schema: T.StructType | str, target: str, checkpoint: str,
                       key: list[str], date_col: str = "file_date", ledger: DataFrame | None = None,
                       max_files: int | None = 1, source_format: str = "parquet") -> None:
@@ -168,22 +144,36 @@ def first_seen_stream(spark: SparkSession, source: str, schema: T.StructType | s
 
     The keys seen live in a state store (RocksDB, under the checkpoint); a
     micro-batch touches the state of its own keys only. ``ledger`` (key and
-    date) seeds the state of a new checkpoint. A restarted stream goes on with
-    its state; a replayed micro-batch overwrites its own output."""
+    date) seeds the state of a new checkpoint: it is kept under the checkpoint
+    and all of it arrives with the first micro-batch. A restarted stream goes
+    on with its state; a replayed micro-batch overwrites its own output.
+
+    The state is that of a running aggregate: the least date of a key, the
+    first and the last micro-batch (by the time that the checkpoint records
+    for it) that brought it, and whether the ledger holds it. A key is new
+    when all its rows are of one micro-batch and none is the ledger's."""
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     reader = spark.readStream.format(source_format).schema(fields)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.load(source).select(*[f"`{c}`" for c in (*key, date_col)])
-    out = T.StructType([f for f in fields.fields if f.name in (*key, date_col)])
+    names = [f.name for f in fields.fields if f.name in (*key, date_col)]
+    rows = reader.load(source).select(*[f"`{c}`" for c in names], F.lit(False).alias("__seed"))
+    seed, new = f"{checkpoint}/seed", not table_exists(spark, f"{checkpoint}/offsets")
+    if new and ledger is not None:
+        kinds = {f.name: f.dataType for f in fields.fields}
+        ledger.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in names]).write.mode("overwrite").parquet(seed)
+    if ledger is not None if new else table_exists(spark, seed):
+        # the checkpoint has this second source from its first start on
+        known = spark.readStream.schema(T.StructType([f for f in fields.fields if f.name in names])).parquet(seed)
+        rows = rows.unionByName(known.withColumn("__seed", F.lit(True)))
+    seen = rows.withColumn("__at", F.current_timestamp()).groupBy(*[F.col(f"`{k}`") for k in key]).agg(
+        F.min(f"`{date_col}`").alias(date_col), F.min("__at").alias("__first"), F.max("__at").alias("__last"), F.max("__seed").alias("__seed"))
+    first = seen.where("__first = __last AND NOT __seed").select(*[f"`{c}`" for c in names])
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider, None)
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        first = rows.groupBy(*[F.col(f"`{k}`") for k in key]).transformWithStateInPandas(
-            _first_seen_processor(date_col, out.names, key), out, "Append", "None",
-            initialState=ledger.select(*[f"`{c}`" for c in (*key, date_col)]).groupBy(*[F.col(f"`{k}`") for k in key]) if ledger is not None else None)
-        _drain(first, checkpoint, lambda batch, epoch_id: batch.write.mode("overwrite").parquet(_epoch(target, checkpoint, epoch_id)))
+        _drain(first, checkpoint, lambda batch, epoch_id: batch.write.mode("overwrite").parquet(_epoch(target, checkpoint, epoch_id)), mode="update")
     finally:
         if before is None:
             spark.conf.unset(provider)

@@ -314,6 +314,32 @@ def test_first_seen_stream_keeps_its_state(spark):
     assert read() == [("b", DAY(2024, 1, 6)), ("c", DAY(2024, 2, 1)), (None, None)]
 
 
+def test_first_seen_stream_by_files(spark, monkeypatch):
+    """A file a micro-batch, keys of the ledger in any of them; the state is
+    an aggregate's, so no key passes through Python."""
+    from rollsnap.streaming import first_seen_stream, streams
+
+    plans, drain = [], streams._drain
+    monkeypatch.setattr(streams, "_drain", lambda stream, *a, **k: (plans.append(stream._jdf.queryExecution().analyzed().toString()), drain(stream, *a, **k)))
+    schema = "k string, n long, file_date date"
+    src, out = scratch_path(spark, "src"), scratch_path(spark, "out")
+    ledger = spark.createDataFrame([("a", 1, DAY(2024, 1, 1)), ("a", 1, None), (None, 2, DAY(2024, 1, 1))], schema)
+    files = [[("b", 1, DAY(2024, 3, 2)), ("b", 1, DAY(2024, 3, 1)), ("a", 2, None)], [("b", 1, DAY(2024, 1, 1)), ("a", 1, DAY(2023, 1, 1)), ("a", 2, DAY(2024, 1, 1))],
+             [(None, 2, DAY(2023, 1, 1)), (None, None, DAY(2024, 5, 1)), ("c", 1, DAY(2024, 5, 2))], [(None, None, DAY(2024, 1, 1)), ("c", 1, DAY(2024, 1, 1))]]
+
+    def run(part, known):
+        for rows in part:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        first_seen_stream(spark, src, schema, out, f"{out}-ckpt", ["k", "n"], ledger=known)
+
+    run(files[:3], ledger)
+    run(files[3:], ledger.limit(1).withColumn("k", F.lit("z")))     # a checkpoint keeps the ledger it began with
+    run([[("z", 1, DAY(2024, 6, 1))]], None)
+    got = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("b", 1, DAY(2024, 3, 1)), ("a", 2, None), (None, None, DAY(2024, 5, 1)), ("c", 1, DAY(2024, 5, 2)), ("z", 1, DAY(2024, 6, 1))], key=str)
+    assert len(plans) == 3 and not any("TransformWithState" in p for p in plans)
+
+
 # ---------------------------------------------------------------- S2: entries of a bundle
 def _zip(path, members, method=8):
     import zipfile
