@@ -174,14 +174,11 @@ class PlaceIndex:
 
     def candidates(self, keys: DataFrame) -> DataFrame:
         """(key, pid, gen): places that may hold all tokens of a query."""
-        probes = self._once(self.probes(keys))               # read twice: for the tokens asked and the pairs met
+        probes = stage(self.probes(keys), "probes")               # read twice: for the tokens asked and the pairs met
         places = self.pairs(probes).withColumnRenamed("sig", "held")
         met = probes.select("pair", "key", "sig").join(places, "pair").where("held & sig = sig")
         return self.live(met.select("key", "pid", "gen"))
 
-    def _once(self, rows: DataFrame) -> DataFrame:
-        return stage(rows, "probes")
-
     def lookup_keys(self, keys: DataFrame, collapse: bool) -> DataFrame:
         """(key, place_id) of every accepted query, for distinct ``keys``
         (sorted distinct tokens joined by blanks)."""
@@ -194,17 +191,21 @@ class PlaceIndex:
 
 class PassingIndex(PlaceIndex):
     """The same lookups over analysed places that are not kept: what a stored
-    index holds is derived from the rows whenever it is read."""
+    index holds is derived from the rows whenever it is read. With ``kept``
+    several lookups share what the first one derived."""
 
-    def __init__(self, places: DataFrame):
+    def __init__(self, places: DataFrame, kept: bool = False):
         super().__init__(places.sparkSession, "", {"buckets": 0, "data": "", "gens": [0], "replaced": False})
         pid = F.coalesce(F.col("place_id").cast("string"), F.lit(MISSING)).alias("pid")
         self._rows = places.select(pid, "place_id", "group_id", "pt", F.lit(0).alias("gen"))
-
-    def _once(self, rows: DataFrame) -> DataFrame:
-        return rows
+        self._kept: dict[str, DataFrame] | None = {} if kept else None
 
     def read(self, part: str, gens: list[int] | None = None) -> DataFrame:
-        if part == "tokens":
-            return self._frequencies(self._rows)
-        return self._postings(self._rows) if part == "postings" else self._rows
+        if part not in ("tokens", "postings"):
+            return self._rows
+        derive = self._frequencies if part == "tokens" else self._postings
+        if self._kept is None:
+            return derive(self._rows)
+        if part not in self._kept:
+            self._kept[part] = stage(derive(self._rows), part)
+        return self._kept[part]

@@ -97,8 +97,12 @@ def token_lookup(texts: DataFrame, index: PlaceIndex | DataFrame, collapse: bool
 
 
 def _analysed(texts: DataFrame) -> DataFrame:
-    """``texts`` with the canonical form ``key`` of each, without empty ones."""
-    return texts.where(F.col("text").isNotNull()).withColumn("key", token_key("text")).where(F.col("key") != "")
+    """Distinct ``texts`` with the canonical form ``key`` of each, without
+    empty ones. They are written once: in one plan with the rows that ask,
+    Spark pushes the test for empty keys below the aggregate and across the
+    joins on the text, and so analyses every row instead of every text."""
+    keyed = stage(texts.withColumn("key", token_key("text")), "analysed-texts")
+    return keyed.where("text IS NOT NULL AND key <> ''")
 
 
 def unique_keys(places: DataFrame, keys: list[str], id_col: str = "place_id") -> DataFrame:
@@ -247,9 +251,9 @@ def cascade(
     if strategy not in ("all", "chain"):
         raise ValueError(f"unknown cascade strategy {strategy!r}")
     if place_index is None:
-        place_index = PassingIndex(stage(index_places(places, place_id, group_id if group_id else None), "analysed"))
+        place_index = PassingIndex(stage(index_places(places, place_id, group_id if group_id else None), "analysed"), kept=strategy == "chain")
     if unit_index is None:
-        unit_index = place_index if units is places else PassingIndex(stage(index_places(units, place_id, None), "analysed"))
+        unit_index = place_index if units is places else PassingIndex(stage(index_places(units, place_id, None), "analysed"), kept=strategy == "chain")
     lookups = {"group": (place_index, True, "places"), "doc": (unit_index, False, "places" if units is places else "units")}
     run = _all_at_once if strategy == "all" else _chain
     best = run(pending, row_key, passes, lookups, places, place_id) if passes else None
@@ -293,14 +297,6 @@ def cascade(
 
 
 # --------------------------------------------------------------------------- post-pass rules
-def _exact_hits(rows: DataFrame, row_key: str, p: Pass, places: DataFrame, place_id: str) -> DataFrame:
-    r = rows.select(F.col(row_key).alias("row_key"), *[F.col(rc).alias(f"__k{i}") for i, (rc, _) in enumerate(p.keys)])
-    u = unique_keys(places, [pc for _, pc in p.keys], place_id)
-    u = u.select(*[F.col(pc).alias(f"__k{i}") for i, (_, pc) in enumerate(p.keys)], "place_id")
-    hit = r.join(u, [f"__k{i}" for i in range(len(p.keys))])
-    return hit.select("row_key", F.lit(float(p.number)).alias("pass_no"), "place_id", F.lit("places").alias("src"))
-
-
 def _answers(pending: DataFrame, passes: list[Pass], lookups: dict) -> DataFrame:
     """(text, group, doc): what each distinct text of the token passes leads
     to by either kind of lookup, written once."""
@@ -308,7 +304,7 @@ def _answers(pending: DataFrame, passes: list[Pass], lookups: dict) -> DataFrame
     texts = reduce(lambda a, b: a.unionByName(b), [
         pending.select(F.col(c).alias("text"), *[F.lit((c, kind) in wanted).alias(f"ask_{kind}") for kind in lookups]).distinct()
         for c in sorted({c for c, _ in wanted})])
-    asked = stage(_analysed(texts.groupBy("text").agg(*[F.max(f"ask_{kind}").alias(f"ask_{kind}") for kind in lookups])), "cascade-texts")
+    asked = _analysed(texts.groupBy("text").agg(*[F.max(f"ask_{kind}").alias(f"ask_{kind}") for kind in lookups]))
     kinds = [kind for kind in lookups if any(k == kind for _, k in wanted)]
 
     def hits(kind: str) -> DataFrame:
@@ -348,17 +344,20 @@ def _chain(pending, row_key, passes, lookups, places, place_id) -> DataFrame:
     found: list[DataFrame] = []
     for p in sorted(passes, key=lambda x: x.number):
         if p.kind == "exact":
-            hit = _exact_hits(pending, row_key, p, places, place_id)
+            u = unique_keys(places, [pc for _, pc in p.keys], place_id)
+            answers = u.select(*[F.col(pc).alias(f"__k{i}") for i, (_, pc) in enumerate(p.keys)], F.col("place_id").alias("__hit"))
+            src, asked = "places", [rc for rc, _ in p.keys]
         else:
             index, collapse, src = lookups[p.kind]
-            asks = pending.select(F.col(row_key).alias("row_key"), F.col(p.text).alias("text"))
-            hit = asks.join(token_lookup(asks, index, collapse), "text").select(
-                "row_key", F.lit(float(p.number)).alias("pass_no"), "place_id", F.lit(src).alias("src"))
-        hit = stage(hit.select("row_key", "src", "place_id", "pass_no"), "cascade-hits")
-        found.append(hit)
-        # only rows this pass left unresolved go on to the next pass
-        pending = stage(pending.join(hit.select(F.col("row_key").alias(row_key)), row_key, "left_anti"),
-                        "cascade-pending")
+            answers = stage(token_lookup(pending.select(F.col(p.text).alias("text")), index, collapse), "cascade-answers")
+            answers, asked = answers.select(F.col("text").alias("__k0"), F.col("place_id").alias("__hit")), [p.text]
+        on = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__k{i}") for i, c in enumerate(asked)])
+        met = pending.join(answers, on, "left").select(*pending.columns, "__hit")
+        met = stage(met, "cascade-met")
+        found.append(met.where("__hit IS NOT NULL").select(F.col(row_key).alias("row_key"), F.lit(src).alias("src"), F.col("__hit").alias("place_id"), F.lit(float(p.number)).alias("pass_no")))
+        # only rows this pass left unresolved go on to the next pass (rows that share a key and differ in text may
+        # both go on and be found; the key's answer is that of its first pass)
+        pending = met.where("__hit IS NULL").drop("__hit")
         if pending.isEmpty():
             break
     return reduce(lambda a, b: a.unionByName(b), found)

@@ -3,6 +3,7 @@ invariants of the test strategy."""
 
 import datetime as dt
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -296,3 +297,31 @@ def test_repeated_place_ids_do_not_multiply_rows(spark):
         rows = rows.withColumn(c, F.lit(None).cast("double" if c.startswith("PropertyL") else "string"))
     out = resolve.cascade(rows, "id", [resolve.Pass(2.0, "group", "t")], places, pass_col="pass_no")
     assert [(r.id, r.results, r.pass_no) for r in out.collect()] == [("a", "Success", 2.0)]
+
+
+@pytest.mark.parametrize("kind", ["group", "doc"])
+def test_texts_are_analysed_once_each(spark, kind):
+    """No analysis in the plan that meets the rows: Spark would push it to every row."""
+    places = _places(spark, [("d1", "P1", "1 MAIN ST 97000"), ("d2", "P2", "5 OAK RD 97000")])
+    texts = spark.createDataFrame([("1 main st",), ("1 main st",), ("",), (None,), ("--",)], "text string")
+    for index in (resolve.index_places(places).cache(), resolve.stored_index(places)):
+        got = resolve.token_lookup(texts, index, kind == "group")
+        assert "lower(" not in got._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
+        assert [tuple(r) for r in got.collect()] == [("1 main st", "d1")]
+
+
+def test_chain_gives_a_repeated_key_its_first_pass(spark):
+    """Rows that share a key or have none, with different texts and passes;
+    the chain keeps no join of the pending rows on their key."""
+    places = _places(spark, [("d1", "P1", "1 MAIN ST 97000"), ("d2", "P2", "5 OAK RD 97000"), ("d3", "P3", "7 PINE 97001")])
+    rows = spark.createDataFrame(
+        [("1", "zzz", "5 oak rd"), ("1", "7 pine", None), ("1", "zzz", "zzz"), (None, "zzz", "1 main"), (None, "zzz", "5 oak"), ("2", None, None), ("3", "1 main st", "7 pine")],
+        "id string, t string, u string").withColumn("results", F.lit("Not Found"))
+    for c in ["physical_id", "PropertyAddressFull"] + resolve.PLACE_ATTRS:
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None).cast("double" if c.startswith("PropertyL") else "string"))
+    passes = [resolve.Pass(2.0, "group", "t"), resolve.Pass(3.0, "doc", "u")]
+    got = [sorted((str(r.id), str(r.t), str(r.u), r.results, r.physical_id, r.n) for r in resolve.cascade(rows, "id", passes, places, strategy=s, pass_col="n").collect())
+           for s in ("all", "chain")]
+    assert got[0] == got[1]
+    assert {(r[0], r[4], r[5]) for r in got[1]} == {("1", "d3", 2.0), ("None", "d1", 3.0), ("2", "", None), ("3", "d1", 2.0)}
