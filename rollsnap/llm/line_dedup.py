@@ -15,7 +15,10 @@ buckets, in a few rounds with other leaders; lines that are connected by then
 need no comparison any more, and every remaining pair of a bucket whose sets
 are near enough in size is compared at the end. So a large group costs about
 one comparison a line and round, and no candidate pair between different
-groups is left out.
+groups is left out. At the end the lines of a bucket carry 16 bits of every
+shingle: the common ones bound the overlap from above, so a pair that cannot
+be similar never leaves the bucket, and only the few others are compared by
+their texts.
 
 A line is named by the 64-bit hash of its text; equal lines are one line from
 the start. Shingles are of code points.
@@ -105,6 +108,26 @@ def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.where("100 * shared >= 80 * (sizes - shared)").select("u", "v")
 
 
+def short_set(line: str | Column) -> Column:
+    """The distinct upper 16 bits of a line's shingle hashes."""
+    return F.array_distinct(F.transform(shingles(line), lambda s: F.shiftright(s, 48).cast("short")))
+
+
+def _open_pairs(held: DataFrame, sets: DataFrame) -> DataFrame:
+    """(x, y) of a bucket in different components (held: band, h, n, c) that
+    can have a similarity of 0.8 by their short sets (h, few). Two sets share
+    at most as many shingles as short ones, and those that fell together in
+    the set where fewer did; the bound is part of the join, so the pairs that
+    it rules out are never rows."""
+    each = held.join(sets, "h")
+    cols = ("band", "h", "n", "c", "few")       # all renamed on both sides, so that both read one exchange
+    left, right = (each.select(*[F.col(c).alias(f"{c}_{side}") for c in cols]) for side in ("x", "y"))
+    near = F.expr("h_x < h_y AND c_x <> c_y AND 5 * least(n_x, n_y) >= 4 * greatest(n_x, n_y)")
+    most = F.expr("size(array_intersect(few_x, few_y)) + least(n_x - size(few_x), n_y - size(few_y))")
+    pairs = left.join(right, (F.col("band_x") == F.col("band_y")) & near & (9 * most >= F.expr("4 * (n_x + n_y)")))
+    return pairs.select(F.col("h_x").alias("x"), F.col("h_y").alias("y"))
+
+
 def line_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(occurrences, components): rid, doc_id, pos, h of every line with a
     word; and (node, root) of every distinct line with a link."""
@@ -115,6 +138,7 @@ def line_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
     place = Window.partitionBy("band").orderBy("h")
     shared = entries.withColumn("near", F.coalesce(F.lag("h").over(place), F.lead("h").over(place))).where("near IS NOT NULL")
     buckets = scratch.write(shared.select("band", "h", "n"), "buckets")
+    scratch.clear(*scratch.paths)       # all keys were shuffled, and all lines will be
 
     wanted = buckets.select("h").distinct()
     split = docs.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.xxhash64("line").alias("h"))
@@ -122,14 +146,13 @@ def line_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
 
     comp, seen, held = None, None, buckets.withColumn("c", F.col("h"))
     for k in range(ROUNDS + 1):
-        near = "5 * least(n, m) >= 4 * greatest(n, m)"
         if k < ROUNDS:
             turn = Window.partitionBy("band").orderBy(F.xxhash64(F.lit(k), "h"))
-            asked = held.withColumn("lead", F.first(F.struct("h", "c", "n")).over(turn)).where("lead.c <> c").withColumn("m", F.col("lead.n")).where(near)
+            asked = held.withColumn("lead", F.first(F.struct("h", "c", "n")).over(turn)).where("lead.c <> c").withColumn("m", F.col("lead.n")).where("5 * least(n, m) >= 4 * greatest(n, m)")
             pairs = asked.groupBy(F.col("h").alias("y")).agg(F.min_by("lead.h", F.xxhash64(F.lit(k), "lead.h")).alias("x"))
         else:
-            right = held.select("band", F.col("h").alias("y"), F.col("c").alias("d"), F.col("n").alias("m"))
-            pairs = held.join(right, "band").where("h < y AND c <> d").where(near).select(F.col("h").alias("x"), "y")
+            scratch.clear(*scratch.paths)       # the rounds' shuffles are not read again
+            pairs = _open_pairs(held, scratch.write(texts.join(held.select("h").distinct(), "h", "left_semi").select("h", short_set("line").alias("few")), "sets"))
         pairs = pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
         if seen is not None:        # never compare twice
             pairs = pairs.join(seen, ["u", "v"], "left_anti")

@@ -248,6 +248,34 @@ def test_near_short_lines_always_meet(spark):
     assert line_dedup.removed_lines(docs).first().n_removed == len(texts) - len({top(t) for t in sets})
 
 
+def test_unlike_lines_of_a_group_are_not_compared_by_text(spark, monkeypatch):
+    """Copies of one line, most of them below the threshold against each
+    other: the bound in the buckets leaves few pairs, and loses no link."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(60)]
+    texts = []
+    for i in range(60):
+        mine = list(words)
+        for at in rng.sample(range(60), 1 if i % 10 == 0 else 5):
+            mine[at] = f"other{i}x{at}"
+        texts.append(" ".join(mine))
+    sets = [{t[i:i + 8] for i in range(len(t) - 7)} for t in texts]
+    root = list(range(60))
+
+    def top(i):
+        return i if root[i] == i else top(root[i])
+
+    links = [(a, b) for a, b in itertools.combinations(range(60), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for a, b in links:
+        root[top(b)] = top(a)
+    compared, alike = [], line_dedup._alike
+    monkeypatch.setattr(line_dedup, "_alike", lambda pairs, lines: compared.append(pairs.count()) or alike(pairs, lines))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    gone = line_dedup.removed_lines(docs).agg(F.sum("n_removed")).first()[0]
+    assert gone == 60 - len({top(i) for i in range(60)}) > 0
+    assert sum(compared) < 600 < 60 * 59 // 2 - len(links)
+
+
 def test_runs_keep_their_names_when_a_task_runs_again(spark, odd):
     blocks = repeats.window_blocks(odd, 4, run_bytes=1_000).select("run", "bucket")
     assert by_row(blocks, "run", "bucket") == by_row(blocks, "run", "bucket")
