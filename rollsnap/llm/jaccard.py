@@ -11,6 +11,11 @@ skipped over by size and by the overlap still possible behind the position.
 Of several lists with the same classes only the first in the global order
 is kept: a pair's first common shingle is never in another of them.
 
+A set has a sketch: how many of its shingles fall to each of about a quarter
+as many counters. The lesser counts of two sketches add up to at least the
+overlap of the sets, so an entry of a list none of whose partners there can
+reach the threshold leaves it, before any shingles are sent.
+
 A set's answers are derived from those of a similar set: in a few rounds
 every class outside the largest component of one of its lists is compared
 with some leaders out of that component, with 1, 4, 16, 64 of them as rounds
@@ -38,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import PLAIN_WORD, Scratch, chunks, ids, boxed, row_key, unboxed, mix, powers, rows_of, runs, span_hashes, window_hashes
+from .common import PLAIN_WORD, Scratch, chunks, ids, boxed, row_key, text_bytes, unboxed, mix, powers, rows_of, runs, span_hashes, window_hashes
 from .graph import components
 from .repeats import _new_group, _records, _slices, pack, unpack
 
@@ -56,6 +61,10 @@ ROUNDS = 4
 LEADERS = 4
 #: pairs looked at in one numpy pass
 PAIR_CHUNK = 1_000_000
+#: an entry with more partners near in size stays in its list without a look at their sketches
+PARTNERS = 64
+#: counters of sketches looked at in one numpy pass
+SKETCH_CHUNK = 4 << 20
 
 _KEY_BITS = np.uint64(58)
 
@@ -101,15 +110,46 @@ def signatures(key: np.ndarray, index: np.ndarray) -> np.ndarray:
     return mix(pre[index[1:]] - pre[index[:-1]] ^ np.diff(index).astype(np.uint64)).view(np.int64)
 
 
+def sketches(key: np.ndarray, index: np.ndarray) -> pa.Array:
+    """One byte a counter of each set: its shingles by their lowest bits. A
+    set with a counter that a byte cannot hold has an empty sketch."""
+    n = np.diff(index)
+    width = 1 << np.ceil(np.log2(np.maximum(n, 32) / 4)).astype(np.int64)
+    edge = np.append(0, np.cumsum(width))
+    owner = rows_of(index)
+    counts = np.bincount(edge[owner] + (key & (width[owner] - 1).astype(np.uint64)).astype(np.int64), minlength=edge[-1])
+    held = np.maximum.reduceat(counts, edge[:-1]) < 256 if len(n) else n > 0
+    raw = counts.astype(np.uint8).tobytes()
+    return pa.array([raw[a:b] if ok else b"" for a, b, ok in zip(edge[:-1].tolist(), edge[1:].tolist(), held.tolist())], pa.binary())
+
+
+def most_shared(data: np.ndarray, start: np.ndarray, width: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What the sets a and b can share at most by their sketches; a wide
+    sketch is folded to the width of the other."""
+    def counts(i: np.ndarray, wide: int, w: int) -> np.ndarray:
+        return data[start[i][:, None] + np.arange(wide)].reshape(len(i), wide // w, w).sum(1, dtype=np.uint16)
+
+    out = np.full(len(a), np.iinfo(np.int64).max // 16)
+    by = np.lexsort((width[b], width[a]))
+    for s, e in _slices((width[a] << 32 | width[b])[by]):
+        wa, wb = int(width[a[by[s]]]), int(width[b[by[s]]])
+        if wa and wb:
+            step = max(1, SKETCH_CHUNK // max(wa, wb))
+            for at in range(s, e, step):
+                i = by[at:min(e, at + step)]
+                out[i] = np.minimum(counts(a[i], wa, min(wa, wb)), counts(b[i], wb, min(wa, wb))).sum(1, dtype=np.int64)
+    return out
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("k"))
 
 
-_SETS = "doc_id long, k long, n long, sig long, block int, counts binary"
+_SETS = "doc_id long, k long, n long, sig long, sketch binary, block int, counts binary"
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size and signature of every set; at the end the task's part of the
+    """Size, signature and sketch of every set; at the end the task's part of the
     table of shingle counts."""
     counts = np.zeros(COUNTERS, np.int64)
     for rows, data, off in chunks(batches):
@@ -117,11 +157,11 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts += np.bincount((key & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
         n = rows.num_rows
         yield pa.RecordBatch.from_arrays([
-            ids(rows), ids(rows, "k"), pa.array(np.diff(index)), pa.array(signatures(key, index)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-            ["doc_id", "k", "n", "sig", "block", "counts"])
+            ids(rows), ids(rows, "k"), pa.array(np.diff(index)), pa.array(signatures(key, index)), sketches(key, index), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+            ["doc_id", "k", "n", "sig", "sketch", "block", "counts"])
     for b, part in enumerate(np.split(counts.astype(np.uint32), COUNTER_BLOCKS)):
         if part.any():
-            yield _records([(None, None, None, None, b, zlib.compress(part.tobytes(), 1))], _SETS)
+            yield _records([(None, None, None, None, None, b, zlib.compress(part.tobytes(), 1))], _SETS)
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,6 +301,41 @@ def posting_lists(blocks: DataFrame) -> DataFrame:
     return lists.select("l.key", F.inline(F.arrays_zip("l.sig", "l.n", "l.pos")))
 
 
+def _plausible(block: pa.Table) -> pa.Table:
+    """Entries with a partner in their list that their sketches do not rule
+    out. Those with more than ``PARTNERS`` near in size stay unseen."""
+    key, sig, n, pos = (block.column(c).to_numpy() for c in ("key", "sig", "n", "pos"))
+    order = np.lexsort((sig, n, key))
+    key, sig, n, pos = key[order], sig[order], n[order].astype(np.int64), pos[order]
+    data, off = text_bytes(block.column("sketch").combine_chunks())
+    start, width = off[:-1][order], np.diff(off)[order]
+    group, base = np.cumsum(_new_group(key)) - 1, np.int64(1) << 32
+    place = group * base + n
+    lo = np.searchsorted(place, group * base + (4 * n + 4) // 5)
+    hi = np.searchsorted(place, group * base + 5 * n // 4, side="right")
+    reach = hi - lo
+    keep = reach > PARTNERS
+    i = np.flatnonzero(~keep)
+    unseen = keep.copy()
+    for s, e in _spans(reach[i], PAIR_CHUNK):
+        r = reach[i[s:e]]
+        a = np.repeat(i[s:e], r)
+        b = np.arange(len(a)) - np.repeat(np.cumsum(r) - r, r) + np.repeat(lo[i[s:e]], r)
+        ok = ((a < b) | unseen[b]) & (a != b) & may_link(n[a], pos[a], n[b], pos[b])
+        a, b = a[ok], b[ok]
+        ok = 9 * most_shared(data, start, width, a, b) >= 4 * (n[a] + n[b])
+        keep[a[ok]] = True
+        keep[b[ok]] = True
+    return pa.table([pa.array(key[keep]), pa.array(sig[keep]), pa.array(n[keep].astype(np.int32)), pa.array(pos[keep])], ["key", "sig", "n", "pos"])
+
+
+def plausible(entries: DataFrame, classes: DataFrame, buckets: int) -> DataFrame:
+    """The entries (key, sig, n, pos) that sketches of their classes (sig,
+    sketch) leave in their lists."""
+    each = entries.join(classes.select("sig", "sketch"), "sig").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    return each.groupBy("bucket").applyInArrow(_plausible, "key long, sig long, n int, pos int")
+
+
 # --------------------------------------------------------------------------
 # Comparison
 # --------------------------------------------------------------------------
@@ -412,12 +487,18 @@ def link_groups(docs: DataFrame, per_bucket: int = BUCKET_ENTRIES, rounds: int =
     buckets = max(8, -(-shingles // (5 * per_bucket)))
 
     blocks = posting_blocks(docs, count_grades(measured), buckets)
-    # read in every round: lists and members lie in buckets of the class, so the rounds do not deal them anew
-    lists = scratch.bucketed(posting_lists(blocks), "lists", "sig")
+    entries = scratch.write(posting_lists(blocks), "entries")
+    scratch.clear(*scratch.paths)       # the blocks' shuffle is not read again
     # one text for every class that stands in a list
-    one = sets.where("n > 0").groupBy("sig").agg(F.min("k").alias("k")).join(lists.select("sig").distinct(), "sig", "left_semi").select("k")
+    classes = measured.where("n > 0").groupBy("sig").agg(F.min("k").alias("k"), F.first("sketch").alias("sketch"))
+    classes = scratch.write(classes.join(entries.select("sig").distinct(), "sig", "left_semi"), "classes")
+    # read in every round: lists and members lie in buckets of the class, so the rounds do not deal them anew
+    lists = scratch.bucketed(plausible(entries, classes, 4 * buckets), "lists", "sig")
+    one = scratch.write(classes.join(lists.select("sig").distinct(), "sig", "left_semi").select("k"), "one")
+    scratch.clear(*[p for p in scratch.paths if p not in ("entries", "classes")])
     texts = _keyed(docs).select("k", "text").join(one, "k", "left_semi").select("text")
     members = scratch.bucketed(texts.mapInArrow(_members, "sig long, members binary").dropDuplicates(["sig"]), "members", "sig", dealt=True)
+    scratch.clear(*[p for p in scratch.paths if p != "one"])
 
     comp = seen = None
     hubs = scratch.write(lists.select("sig").distinct().withColumn("met", F.array().cast(_MET)), "hubs")

@@ -230,3 +230,35 @@ def test_pipeline_against_its_stages_by_brute_force(spark):
     assert (got.shard == sharding.jump(got.doc_id.to_numpy(), 16)).all()
     for c in ("text", "lang", "source", "n_chars"):
         assert (got[c] == source.loc[got.doc_id, c].to_numpy()).all()
+
+
+def test_sketches_bound_the_overlap(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 58, 600, dtype=np.uint64)
+    sets = [np.unique(np.append(rng.choice(base, k, replace=False), rng.integers(0, 1 << 58, m, dtype=np.uint64))) for k in (0, 1, 60, 300, 600) for m in (0, 5, 40, 700)]
+    index = np.append(0, np.cumsum([len(s) for s in sets]))
+    raw = jaccard.sketches(np.concatenate(sets), index).to_pylist()
+    width = np.array([len(r) for r in raw])
+    a, b = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    most = jaccard.most_shared(np.frombuffer(b"".join(raw), np.uint8), np.cumsum(width) - width, width, a, b)
+    assert len(set(width)) > 3 and all(m >= len(np.intersect1d(sets[i], sets[j])) for m, i, j in zip(most, a, b))
+    assert all(most[a == b] == np.diff(index))
+    full = jaccard.sketches(np.arange(300, dtype=np.uint64) << np.uint64(10), np.array([0, 300]))     # one counter gets all
+    assert full.to_pylist() == [b""]
+
+    # texts that share half their words with each neighbour all stand in lists; only the two alike ones send their shingles
+    counts, plausible, members = {}, jaccard.plausible, jaccard.Scratch.bucketed
+    monkeypatch.setattr(jaccard, "plausible", lambda entries, *a: counts.update(listed=entries.select("sig").distinct().count()) or plausible(entries, *a))
+
+    def bucketed(self, df, part, *a, **k):
+        out = members(self, df, part, *a, **k)
+        counts[part] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard.Scratch, "bucketed", bucketed)
+    half = [" ".join(f"w{d}x{i}" for i in range(60)) for d in range(12)]
+    texts = [f"{half[d]} {half[(d + 1) % 12]}" for d in range(12)]
+    frame = spark.createDataFrame(list(enumerate(texts + [texts[0] + " tail"])), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.link_groups(frame, per_bucket=50).collect()}
+    assert got == {d: d for d in range(12)} | {12: 0}
+    assert counts["members"] == 2 < counts["listed"]
