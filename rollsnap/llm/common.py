@@ -41,13 +41,13 @@ class Scratch:
         self.paths[part] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def bucketed(self, df: DataFrame, part: str, key: str, dealt: bool = False) -> DataFrame:
+    def bucketed(self, df: DataFrame, part: str, key: str, dealt: bool = False, codec: str = "") -> DataFrame:
         """Like ``write``, in buckets of ``key``: joins on it do not shuffle
         the table again. ``dealt``: ``df`` is partitioned by the key already."""
         ship_package(self.spark)
         path = scratch_path(self.spark, f"{self.name}-{part}")
         place = (path, df.schema, [key], int(self.spark.conf.get("spark.sql.shuffle.partitions")))
-        bucketed.add(df, *place, dealt=dealt)
+        bucketed.add(df, *place, dealt=dealt, codec=codec)
         self.paths[part] = path
         return bucketed.rows_of(self.spark, *place)
 

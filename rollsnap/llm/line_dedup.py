@@ -55,8 +55,8 @@ def shingles(line: str | Column, size: int = SHINGLE) -> Column:
     """Hashes of the distinct shingles of a line."""
     # the outer transform binds the encoded line: a lambda would encode it anew for every shingle
     return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-32")), lambda raw: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.octet_length(raw) / 4 - size, F.lit(0)).cast("int")),
-        lambda i: F.xxhash64(F.substring(raw, 4 * i + 1, 4 * size))))[0])
+        F.sequence(F.lit(1), F.greatest(F.octet_length(raw) - 4 * size + 1, F.lit(1)), F.lit(4)),
+        lambda i: F.xxhash64(F.substring(raw, i, F.lit(4 * size)))))[0])
 
 
 def with_bands(lines: DataFrame, bands: int = BANDS, minima: int = MINIMA) -> DataFrame:
@@ -92,6 +92,14 @@ def rare_keys(lines: DataFrame) -> DataFrame:
     return kept.select("h", "n", F.explode(F.slice("met", F.lit(1), F.col("left"))).alias("m")).select("h", "n", F.xxhash64(F.lit(-1), "m.s").alias("band"))
 
 
+def shared_keys(entries: DataFrame) -> DataFrame:
+    """(band, h, n) of the lines that share a band or shingle with a line near
+    enough in size; by size, the nearest such line is a neighbour."""
+    place = Window.partitionBy("band").orderBy("n", "h")
+    near = entries.withColumn("below", F.lag("n").over(place)).withColumn("above", F.lead("n").over(place))
+    return near.where("5 * below >= 4 * n OR 5 * n >= 4 * above").select("band", "h", "n")
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """rid, doc_id, pos, line, h of every line with a word."""
     numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", F.monotonically_increasing_id())
@@ -131,18 +139,19 @@ def _open_pairs(held: DataFrame, sets: DataFrame) -> DataFrame:
 def line_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(occurrences, components): rid, doc_id, pos, h of every line with a
     word; and (node, root) of every distinct line with a link."""
-    lines = scratch.write(with_bands(_lines(docs)), "lines")
-    # equal lines are one line before their bands are dealt
-    entries = lines.where("bands IS NOT NULL").select("h", "n", "bands").dropDuplicates(["h"]).select("h", "n", F.explode("bands").alias("band"))
-    entries = entries.unionAll(rare_keys(lines.where("short IS NOT NULL").select("h", "n", "short").dropDuplicates(["h"])))
-    place = Window.partitionBy("band").orderBy("h")
-    shared = entries.withColumn("near", F.coalesce(F.lag("h").over(place), F.lead("h").over(place))).where("near IS NOT NULL")
-    buckets = scratch.write(shared.select("band", "h", "n"), "buckets")
-    scratch.clear(*scratch.paths)       # all keys were shuffled, and all lines will be
-
-    wanted = buckets.select("h").distinct()
-    split = docs.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.xxhash64("line").alias("h"))
-    texts = scratch.write(split.join(wanted, "h", "left_semi").dropDuplicates(["h"]), "texts")
+    lines = scratch.write(_lines(docs).drop("line"), "lines")
+    # equal lines are one line before they are hashed; the texts are dealt once, into buckets of the line
+    every = scratch.bucketed(_lines(docs).select("h", "line").dropDuplicates(["h"]), "every", "h", dealt=True, codec="zstd")
+    scratch.clear(*scratch.paths)
+    signed = scratch.write(with_bands(every), "signed")
+    rare = scratch.write(rare_keys(signed.where("short IS NOT NULL").select("h", "n", "short")), "rare")
+    scratch.clear(*scratch.paths)
+    entries = signed.where("bands IS NOT NULL").select("h", "n", F.explode("bands").alias("band")).unionAll(rare)
+    buckets = scratch.write(shared_keys(entries), "buckets")
+    scratch.clear("lines", "every", "buckets")
+
+    texts = scratch.bucketed(every.join(buckets.select("h").distinct(), "h", "left_semi"), "texts", "h", dealt=True)
+    scratch.clear("lines", "texts", "buckets")
 
     comp, seen, held = None, None, buckets.withColumn("c", F.col("h"))
     for k in range(ROUNDS + 1):
@@ -169,6 +178,7 @@ def line_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
             buckets = held.select("band", "h", "n")
             if held.isEmpty():
                 break
+    scratch.clear(*scratch.paths)
     return lines.select("rid", "doc_id", "pos", "h"), comp
 
 

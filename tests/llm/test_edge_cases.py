@@ -293,3 +293,19 @@ def test_constant_texts_are_counted_on_all_pages(spark, with_note):
     assert len(got) == 190
     stays = len(with_note) < 36
     assert all(("All rights" in r.text) == (stays and r.page_id in with_note) for r in got)
+
+
+def test_equal_lines_are_hashed_once(spark, monkeypatch):
+    """Before, every occurrence of a line was hashed, and a line stayed a
+    candidate though no line of its buckets was near it in size."""
+    hashed, with_bands = [], line_dedup.with_bands
+    monkeypatch.setattr(line_dedup, "with_bands", lambda lines, *a: hashed.append(lines.count()) or with_bands(lines, *a))
+    rng = random.Random(3)
+    lines = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(20)) for _ in range(5)]
+    docs = documents(spark, [(d, "\n".join(lines), "a") for d in range(6)] + [(9, lines[0] + " end", "a")])
+    got = {r.doc_id: r.n_removed for r in line_dedup.removed_lines(docs).collect()}
+    assert got == {0: 0, 9: 1} | {d: 5 for d in range(1, 6)}
+    assert hashed == [6]
+
+    entries = spark.createDataFrame([(1, 1, 100), (1, 2, 126), (1, 3, 200), (1, 4, 240), (2, 1, 100), (2, 5, 80), (3, 6, 50)], "band long, h long, n int")
+    assert by_row(line_dedup.shared_keys(entries), "band", "h") == [(1, 3), (1, 4), (2, 1), (2, 5)]
