@@ -141,7 +141,7 @@ def line_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
     word; and (node, root) of every distinct line with a link."""
     lines = scratch.write(_lines(docs).drop("line"), "lines")
     # equal lines are one line before they are hashed; the texts are dealt once, into buckets of the line
-    every = scratch.bucketed(_lines(docs).select("h", "line").dropDuplicates(["h"]), "every", "h", dealt=True, codec="zstd")
+    every = scratch.bucketed(_lines(docs).select("h", "line").dropDuplicates(["h"]), "every", "h", dealt=True)
     scratch.clear(*scratch.paths)
     signed = scratch.write(with_bands(every), "signed")
     rare = scratch.write(rare_keys(signed.where("short IS NOT NULL").select("h", "n", "short")), "rare")
