@@ -18,7 +18,8 @@ one comparison a line and round, and no candidate pair between different
 groups is left out. At the end the lines of a bucket carry 16 bits of every
 shingle: the common ones bound the overlap from above, so a pair that cannot
 be similar never leaves the bucket, and only the few others are compared by
-their texts.
+their texts. A pair that meets in several buckets is looked at in the first
+of them only.
 
 A line is named by the 64-bit hash of its text; equal lines are one line from
 the start. Shingles are of code points.
@@ -47,6 +48,8 @@ BANDS, MINIMA = 12, 4
 #: up to BOTH have both, as a line below FEW can be like one of 5/4 its size
 FEW = BANDS * MINIMA
 BOTH = FEW * 5 // 4
+#: turns in which the keys are dealt
+TURNS = 3
 #: rounds of comparison with leaders before all remaining pairs
 ROUNDS = 3
 
@@ -65,17 +68,19 @@ def with_bands(lines: DataFrame, bands: int = BANDS, minima: int = MINIMA) -> Da
     is not of few shingles, and ``short``: the line if it has at most BOTH.
     The regions' lower ends are sorted in among the hashes to find where each
     begins. (Each step is a projection of its own, outside of lambdas, so that
-    it is compiled.)"""
+    it is compiled; the places are columns, as items of an array made on the
+    spot would be looked for anew wherever they are used.)"""
     ends = [F.lit(-(1 << 63) + i * ((1 << 64) // bands)).cast("long") for i in range(bands)]
     hashed = lines.withColumn("hashes", shingles("line")).withColumn("n", F.size("hashes"))
     hashed = hashed.withColumn("short", F.when(F.col("n") <= BOTH, F.col("line"))).drop("line")
     ordered = hashed.withColumn("hashes", F.when(F.col("n") >= FEW, F.sort_array(F.concat("hashes", F.array(*ends)))))
-    placed = ordered.withColumn("at", F.array(*[F.array_position("hashes", e).cast("int") for e in ends], F.size("hashes") + 1))
+    places = {f"at{i}": F.array_position("hashes", e).cast("int") for i, e in enumerate(ends)} | {f"at{bands}": F.size("hashes") + 1}
+    placed = ordered.withColumns(places)
     keys = []
     for i in range(bands):
-        held = F.col("at")[i + 1] - F.col("at")[i] - 1
-        keys.append(F.when(held > 0, F.xxhash64(F.lit(i), F.slice("hashes", F.col("at")[i] + 1, F.least(held, F.lit(minima))))))
-    return placed.withColumn("bands", F.when(F.col("n") >= FEW, F.array_compact(F.array(*keys)))).drop("hashes", "at")
+        held = F.col(f"at{i + 1}") - F.col(f"at{i}") - 1
+        keys.append(F.when(held > 0, F.xxhash64(F.lit(i), F.slice("hashes", F.col(f"at{i}") + 1, F.least(held, F.lit(minima))))))
+    return placed.withColumn("bands", F.when(F.col("n") >= FEW, F.array_compact(F.array(*keys)))).drop("hashes", *places)
 
 
 def rare_keys(lines: DataFrame) -> DataFrame:
@@ -122,17 +127,19 @@ def short_set(line: str | Column) -> Column:
 
 
 def _open_pairs(held: DataFrame, sets: DataFrame) -> DataFrame:
-    """(x, y) of a bucket in different components (held: band, h, n, c) that
-    can have a similarity of 0.8 by their short sets (h, few). Two sets share
+    """(x, y) of a bucket in different components (held: band, h, n, c), each
+    in the first bucket that holds both, that can have a similarity of 0.8 by their short sets (h, few). Two sets share
     at most as many shingles as short ones, and those that fell together in
     the set where fewer did; the bound is part of the join, so the pairs that
     it rules out are never rows."""
-    each = held.join(sets, "h")
-    cols = ("band", "h", "n", "c", "few")       # all renamed on both sides, so that both read one exchange
+    met = held.groupBy("h").agg(F.collect_list("band").alias("met"))
+    each = held.join(met, "h").join(sets, "h")
+    cols = ("band", "h", "n", "c", "few", "met")        # all renamed on both sides, so that both read one exchange
     left, right = (each.select(*[F.col(c).alias(f"{c}_{side}") for c in cols]) for side in ("x", "y"))
     near = F.expr("h_x < h_y AND c_x <> c_y AND 5 * least(n_x, n_y) >= 4 * greatest(n_x, n_y)")
+    once = F.expr("band_x = array_min(array_intersect(met_x, met_y))")
     most = F.expr("size(array_intersect(few_x, few_y)) + least(n_x - size(few_x), n_y - size(few_y))")
-    pairs = left.join(right, (F.col("band_x") == F.col("band_y")) & near & (9 * most >= F.expr("4 * (n_x + n_y)")))
+    pairs = left.join(right, (F.col("band_x") == F.col("band_y")) & near & once & (9 * most >= F.expr("4 * (n_x + n_y)")))
     return pairs.select(F.col("h_x").alias("x"), F.col("h_y").alias("y"))
 
 
@@ -147,7 +154,13 @@ def line_components(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
     rare = scratch.write(rare_keys(signed.where("short IS NOT NULL").select("h", "n", "short")), "rare")
     scratch.clear(*scratch.paths)
     entries = signed.where("bands IS NOT NULL").select("h", "n", F.explode("bands").alias("band")).unionAll(rare)
-    buckets = scratch.write(shared_keys(entries), "buckets")
+    buckets, kept = None, ["lines", "every", "signed", "rare"]
+    for k in range(TURNS):      # one turn's keys are dealt after the other's have gone
+        part = scratch.write(shared_keys(entries.where(F.expr(f"pmod(band, {TURNS})") == k)), f"buckets{k}")
+        buckets = part if buckets is None else buckets.unionAll(part)
+        kept.append(f"buckets{k}")
+        scratch.clear(*kept)
+    buckets = scratch.write(buckets, "buckets")
     scratch.clear("lines", "every", "buckets")
 
     texts = scratch.bucketed(every.join(buckets.select("h").distinct(), "h", "left_semi"), "texts", "h", dealt=True)

@@ -309,3 +309,12 @@ def test_equal_lines_are_hashed_once(spark, monkeypatch):
 
     entries = spark.createDataFrame([(1, 1, 100), (1, 2, 126), (1, 3, 200), (1, 4, 240), (2, 1, 100), (2, 5, 80), (3, 6, 50)], "band long, h long, n int")
     assert by_row(line_dedup.shared_keys(entries), "band", "h") == [(1, 3), (1, 4), (2, 1), (2, 5)]
+
+
+def test_a_pair_of_several_buckets_is_looked_at_once(spark):
+    """Before, an open pair of lines left every bucket that held both."""
+    shared = list(range(100))
+    sets = spark.createDataFrame([(h, shared[:100 - h]) for h in range(1, 5)] + [(9, list(range(200, 300)))], "h long, few array<short>")
+    held = [(band, h, 100 - h, h) for band in (7, -5, 3) for h in range(1, 4)] + [(3, 4, 96, 1), (7, 4, 96, 1), (7, 9, 100, 9)]
+    pairs = line_dedup._open_pairs(spark.createDataFrame(held, "band long, h long, n int, c long"), sets)
+    assert by_row(pairs, "x", "y") == [(1, 2), (1, 3), (2, 3), (2, 4), (3, 4)]
